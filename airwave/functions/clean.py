@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from airwave.functions import rules
-from airwave.functions.text import UNICODE, UNICODE_NOCASE, collapse_ws, py_strip
+from airwave.functions.text import UNICODE, UNICODE_NOCASE, collapse_ws, let, py_strip
 
 
 def _col(c) -> Column:
@@ -44,41 +44,46 @@ def _words(s: Column) -> Column:
 
 def _artist_title_case(s: Column) -> Column:
     """First and last word capitalised; list words lower unless ALL CAPS (F1i)."""
-    words = _words(s)
-    n = F.size(words)
     lower_words = F.array(*[F.lit(w) for w in rules.ARTIST_LOWER_WORDS])
 
-    def one(w, i):
-        return (
-            F.when((i == 0) | (i == n - 1), _capitalize(w))
-            .when(F.array_contains(lower_words, F.lower(w)) & (w != F.upper(w)), F.lower(w))
-            .otherwise(_capitalize(w))
-        )
+    def per_array(words):
+        n = F.size(words)
 
-    return F.array_join(F.transform(words, one), " ")
+        def one(w, i):
+            return (
+                F.when((i == 0) | (i == n - 1), _capitalize(w))
+                .when(F.array_contains(lower_words, F.lower(w)) & (w != F.upper(w)), F.lower(w))
+                .otherwise(_capitalize(w))
+            )
+
+        return F.array_join(F.transform(words, one), " ")
+
+    return let(_words(s), per_array)
 
 
 def _song_title_case(s: Column) -> Column:
     """First word and words after one holding : ! ? . capitalised."""
-    words = _words(s)
     lower_words = F.array(*[F.lit(w) for w in rules.SONG_LOWER_WORDS])
 
-    def one(w, i):
-        previous = F.get(words, i - 1)
-        return (
-            F.when(i == 0, _capitalize(w))
-            .when(previous.rlike("[:!?.]"), _capitalize(w))
-            .when(F.array_contains(lower_words, F.lower(w)), F.lower(w))
-            .otherwise(_capitalize(w))
-        )
+    def per_array(words):
+        def one(w, i):
+            previous = F.get(words, i - 1)
+            return (
+                F.when(i == 0, _capitalize(w))
+                .when(previous.rlike("[:!?.]"), _capitalize(w))
+                .when(F.array_contains(lower_words, F.lower(w)), F.lower(w))
+                .otherwise(_capitalize(w))
+            )
+
+        return F.array_join(F.transform(words, one), " ")
 
-    return F.array_join(F.transform(words, one), " ")
+    return let(_words(s), per_array)
 
 
 def strip_the(name: Column) -> Column:
     """Lower-case name without one leading ``the ``."""
-    low = F.lower(name)
-    return F.when(low.startswith("the "), F.substring(low, 5, 1 << 30)).otherwise(low)
+    return let(F.lower(name), lambda low: F.when(low.startswith("the "), F.substring(low, 5, 1 << 30))
+               .otherwise(low))
 
 
 def _force_the(s: Column) -> Column:
@@ -90,8 +95,7 @@ def _force_the(s: Column) -> Column:
 def clean_artist(raw) -> Column:
     """``clean_artist_name``: '' for missing input, never NULL (F1)."""
     s = _apply(_prepare(_col(raw)), rules.ARTIST_RULES)
-    s = _force_the(s)
-    s = _artist_title_case(s)
+    s = let(s, lambda x: _artist_title_case(_force_the(x)))
     return _apply(s, rules.ARTIST_WORD_FIXES)
 
 

@@ -121,6 +121,19 @@ TIME_FORMATS = [
     ("M/d/yyyy", "%m/%d/%Y"),
 ]
 
+# Shape of each format above as strptime accepts it (%Y four digits, the
+# other fields one or two); a string of another shape cannot parse, so the
+# parser is tried only on matching shapes.
+TIME_SHAPES = [
+    r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$",
+    r"(?i)^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2} [AP]M$",
+    r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}$",
+    r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}$",
+    r"^\d{4}-\d{1,2}-\d{1,2}$",
+    r"^\d{1,2}/\d{1,2}/\d{4}$",
+]
+
 # Default similarity threshold (0-100) for fuzzy artist matching.
 DEFAULT_FUZZY_THRESHOLD = 90.0
 # ------------------------------------------------------------ END FIXED VALUES

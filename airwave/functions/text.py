@@ -11,6 +11,16 @@ UNICODE = "(?U)"
 UNICODE_NOCASE = "(?iU)"
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a one-element transform).
+
+    Catalyst does not share repeated subtrees inside interpreted expressions,
+    so a value used several times (a long regex chain, a word array) is bound
+    to a lambda variable instead of being copied into each use.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def py_strip(c: Column) -> Column:
     """``str.strip()``: remove leading and trailing whitespace of any kind."""
     return F.regexp_replace(c, UNICODE + r"^\s+|\s+$", "")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from airwave.functions import rules
-from airwave.functions.text import collapse_ws, py_strip
+from airwave.functions.text import collapse_ws, let, py_strip
 
 
 def parse_time(raw) -> Column:
@@ -18,8 +18,12 @@ def parse_time(raw) -> Column:
     whitespace where the format has one space.  ``inf``/``nan`` give NULL.
     """
     c = F.col(raw) if isinstance(raw, str) else raw
-    s = collapse_ws(py_strip(c))
-    parsed = [F.unix_seconds(F.try_to_timestamp(s, F.lit(fmt))) for fmt, _ in rules.TIME_FORMATS]
-    number = F.regexp_replace(s, "_", "").try_cast("double")
-    numeric = F.when(s.rlike(rules.NUMBER_PATTERN), number.try_cast("bigint"))
-    return F.when(s != "", F.coalesce(*parsed, numeric))
+
+    def parse(s):
+        parsed = [F.when(s.rlike(shape), F.unix_seconds(F.try_to_timestamp(s, F.lit(fmt))))
+                  for (fmt, _), shape in zip(rules.TIME_FORMATS, rules.TIME_SHAPES)]
+        number = F.regexp_replace(s, "_", "").try_cast("double")
+        numeric = F.when(s.rlike(rules.NUMBER_PATTERN), number.try_cast("bigint"))
+        return F.when(s != "", F.coalesce(*parsed, numeric))
+
+    return let(collapse_ws(py_strip(c)), parse)
