@@ -38,8 +38,13 @@ def blank_to_null(c: Column) -> Column:
 
 
 def truthy(c: Column) -> Column:
-    """Python truthiness of a text or number column: not NULL, not '' / 0."""
-    return c.isNotNull() & (c.cast("string") != "") & (c.cast("string") != "0")
+    """Python truthiness of a text value: not NULL and not ''."""
+    return c.isNotNull() & (c != "")
+
+
+def truthy_number(c: Column) -> Column:
+    """Python truthiness of a number: not NULL and not 0."""
+    return c.isNotNull() & (c != 0)
 
 
 def preview(c: Column, n: int) -> Column:

@@ -84,3 +84,108 @@ def like_filter(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def shape_columns(spark: SparkSession, sf: str) -> DataFrame:
     return shape.to_records(derived.raw_log(spark, sf))
+
+
+# ------------------------------------------------------------ metadata (C4)
+from airwave.operators import enrich  # noqa: E402
+from airwave.plans import metadata  # noqa: E402
+from airwave.sources.responses import (parse_artist_responses, parse_cover_responses,  # noqa: E402
+                                       parse_track_responses)
+
+CACHE_VALUES = ["artist_name", "artist_lastfm", "image_url", "mbid", "fetch_success", "error_message"]
+TRACK_VALUES = ["artist_clean", "song_clean", "artist_lastfm", "song_lastfm", "duration", "track_mbid",
+                "fetch_success", "error_message"]
+
+
+@register
+def cover_response_parse(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_cover_responses(derived.cover_responses(spark, sf))
+
+
+@register
+def artist_response_parse(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_artist_responses(derived.artist_responses(spark, sf), metadata.covers(spark, sf))
+
+
+@register
+def track_response_parse(spark: SparkSession, sf: str) -> DataFrame:
+    return parse_track_responses(derived.track_responses(spark, sf))
+
+
+@register
+def cache_hits(spark: SparkSession, sf: str) -> DataFrame:
+    keys = enrich.lookup_keys(derived.plays(spark, sf), ["artist_clean"])
+    return enrich.cache_hits(keys, metadata.previous_artist_cache(spark, sf), {"artist_clean": "artist_name"})
+
+
+@register
+def cache_misses(spark: SparkSession, sf: str) -> DataFrame:
+    keys = enrich.lookup_keys(derived.plays(spark, sf), ["artist_clean"])
+    return enrich.cache_misses(keys, metadata.previous_artist_cache(spark, sf), {"artist_clean": "artist_name"})
+
+
+@register
+def merge_artist_cache(spark: SparkSession, sf: str) -> DataFrame:
+    merged = metadata.refresh_artist_cache(spark, sf, derived.plays(spark, sf),
+                                           metadata.previous_artist_cache(spark, sf), action_col="action")
+    return merged.select(*CACHE_VALUES, "action")
+
+
+@register
+def merge_track_cache(spark: SparkSession, sf: str) -> DataFrame:
+    merged = metadata.refresh_track_cache(spark, sf, derived.plays(spark, sf),
+                                          metadata.previous_track_cache(spark, sf), action_col="action")
+    return merged.select(*TRACK_VALUES, "action")
+
+
+def _enriched_artists(spark: SparkSession, sf: str):
+    records = derived.plays(spark, sf)
+    cache = metadata.refresh_artist_cache(spark, sf, records, metadata.previous_artist_cache(spark, sf))
+    return records, cache, enrich.enrich_artists(metadata.empty_records(records), cache)
+
+
+@register
+def enrich_artists(spark: SparkSession, sf: str) -> DataFrame:
+    _, _, out = _enriched_artists(spark, sf)
+    return out.select("play_key", "artist_clean", "artist_lastfm", "artist_image_url", "artist_mbid")
+
+
+@register
+def enrich_tracks(spark: SparkSession, sf: str) -> DataFrame:
+    records, _, out = _enriched_artists(spark, sf)
+    tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
+    return enrich.enrich_tracks(out, tracks).select(
+        "play_key", "artist_clean", "song_clean", "artist_lastfm", "song_lastfm", "track_duration", "track_mbid")
+
+
+@register
+def fetch_status(spark: SparkSession, sf: str) -> DataFrame:
+    _, cache, _ = _enriched_artists(spark, sf)
+    return stats.fetch_status(cache)
+
+
+@register
+def summary_stats(spark: SparkSession, sf: str) -> DataFrame:
+    records, cache, _ = _enriched_artists(spark, sf)
+    tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
+    return stats.database_stats(records, cache, tracks).drop("timestamp")
+
+
+@register
+def duration_counts(spark: SparkSession, sf: str) -> DataFrame:
+    records = derived.plays(spark, sf)
+    tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
+    return stats.duration_counts(records, tracks)
+
+
+@register
+def previews(spark: SparkSession, sf: str) -> DataFrame:
+    _, cache, _ = _enriched_artists(spark, sf)
+    return stats.artist_cache_preview(cache)
+
+
+@register
+def random_sample(spark: SparkSession, sf: str) -> DataFrame:
+    records = derived.plays(spark, sf)
+    tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
+    return stats.track_sample(tracks)

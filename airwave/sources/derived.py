@@ -118,3 +118,97 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(" - ", "raw_artist", "raw_song").alias("COMBINED"),
         F.when(F.col("first_play"), F.lit("Y")).otherwise(F.lit("N")).alias("First?"),
     )
+
+
+# ----------------------------------------------------------------- responses
+# Stand-ins for the web-service answers.  A previous run's answers come from
+# ``part`` (one call per part, several per artist); this run's answers come
+# from the plays' own distinct lookups.  Outcomes spread by a CASE over a
+# number derived from the row, covering found / blank image / no image key /
+# not found / bad JSON / timeout (408) / server error (500).
+
+def _artist_body(sel: Column, name: Column, mbid: Column) -> tuple[Column, Column]:
+    status = F.when(sel == 5, F.lit(408)).when(sel == 6, F.lit(500)).otherwise(F.lit(200))
+    body = (
+        F.when(sel == 0, F.concat(F.lit('{"artist":{"name":" '), name, F.lit(' ","mbid":"'), mbid,
+                                  F.lit('","image":[{"#text":"s.png","size":"small"},{"#text":"","size":"large"}]}}')))
+        .when(sel == 1, F.concat(F.lit('{"artist":{"name":"'), name,
+                                 F.lit('","mbid":"","image":[{"#text":" ","size":"small"}]}}')))
+        .when(sel == 2, F.concat(F.lit('{"artist":{"name":"'), name, F.lit('"}}')))
+        .when(sel == 3, F.lit('{"error":6}'))
+        .when(sel == 4, F.lit("{bad"))
+    )
+    return status, body
+
+
+def _track_body(sel: Column, song: Column, artist: Column, mbid: Column) -> tuple[Column, Column]:
+    status = F.when(sel == 6, F.lit(408)).when(sel == 8, F.lit(500)).otherwise(F.lit(200))
+    body = (
+        F.when(sel == 0, F.concat(F.lit('{"track":{"name":" '), song, F.lit(' ","mbid":"'), mbid,
+                                  F.lit('","duration":"215000","artist":{"name":"'), artist, F.lit('"}}}')))
+        .when(sel == 1, F.concat(F.lit('{"track":{"name":"'), song,
+                                 F.lit('","mbid":"","duration":"0","artist":{"name":"'), artist, F.lit('"}}}')))
+        .when(sel == 2, F.concat(F.lit('{"track":{"name":"'), song, F.lit('","duration":"500"}}')))
+        .when(sel == 3, F.concat(F.lit('{"track":{"name":"'), song, F.lit('","mbid":"t1","duration":"215000.5"}}')))
+        .when(sel == 4, F.lit('{"track":{"artist":{"name":""}}}'))
+        .when(sel == 5, F.lit('{"error":6}'))
+        .when(sel == 7, F.lit("{bad"))
+    )
+    return status, body
+
+
+def previous_artist_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A previous run's artist answers: one per part, keyed by the cleaned part name."""
+    p = table(spark, sf_dir, "part")
+    sel = F.pmod(F.col("p_partkey"), F.lit(7))
+    status, body = _artist_body(sel, F.col("p_name"), F.concat(F.lit("m"), F.col("p_size").cast("string")))
+    return p.select(clean_artist("p_name").alias("artist_clean"), F.col("p_name").alias("lookup_name"),
+                    F.col("p_partkey").alias("seq"), status.alias("status_code"), body.alias("body"))
+
+
+def artist_responses(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
+    """This run's artist answers: one per distinct (raw_artist, artist_clean) lookup."""
+    records = records if records is not None else plays(spark, sf_dir)
+    keys = records.where(F.col("artist_clean") != "").select("raw_artist", "artist_clean").distinct()
+    lookup = F.coalesce(F.when(F.col("raw_artist") != "", F.col("raw_artist")), F.col("artist_clean"))
+    sel = F.pmod(F.length(lookup) * 3 + F.length("artist_clean"), F.lit(7))
+    status, body = _artist_body(sel, F.upper("artist_clean"),
+                                F.concat(F.lit("m"), F.length(lookup).cast("string")))
+    return keys.select("artist_clean", lookup.alias("lookup_name"), lookup.alias("seq"),
+                       status.alias("status_code"), body.alias("body"))
+
+
+def cover_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cover-art answers, one per MBID ('m' + part size)."""
+    sizes = table(spark, sf_dir, "part").select("p_size").distinct()
+    sel = F.pmod(F.col("p_size"), F.lit(4))
+    size = F.col("p_size").cast("string")
+    body = (F.when(sel == 0, F.concat(F.lit('{"images":[{"image":"http://img/'), size, F.lit('.jpg"}]}')))
+            .when(sel == 1, F.lit('{"images":[]}'))
+            .when(sel == 3, F.lit('{"images":[{"image":""}]}')))
+    return sizes.select(F.concat(F.lit("m"), size).alias("mbid"),
+                        F.when(sel == 2, F.lit(404)).otherwise(F.lit(200)).alias("status_code"), body.alias("body"))
+
+
+def previous_track_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A previous run's track answers: one per part, keyed by cleaned name and type."""
+    p = table(spark, sf_dir, "part")
+    sel = F.pmod(F.col("p_partkey"), F.lit(9))
+    status, body = _track_body(sel, F.col("p_type"), F.col("p_name"),
+                               F.concat(F.lit("t"), F.col("p_size").cast("string")))
+    return p.select(clean_artist("p_name").alias("artist_clean"), clean_song(F.lower("p_type")).alias("song_clean"),
+                    F.col("p_partkey").alias("seq"), status.alias("status_code"), body.alias("body"))
+
+
+def track_responses(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
+    """This run's track answers: one per distinct (raw artist, raw song, clean keys) lookup."""
+    records = records if records is not None else plays(spark, sf_dir)
+    keys = records.where((F.col("artist_clean") != "") & (F.col("song_clean") != "")).select(
+        "raw_artist", "raw_song", "artist_clean", "song_clean").distinct()
+    la = F.coalesce(F.when(F.col("raw_artist") != "", F.col("raw_artist")), F.col("artist_clean"))
+    ls = F.coalesce(F.when(F.col("raw_song") != "", F.col("raw_song")), F.col("song_clean"))
+    sel = F.pmod(F.length(la) + F.length(ls), F.lit(9))
+    status, body = _track_body(sel, F.upper("song_clean"), F.col("artist_clean"),
+                               F.concat(F.lit("t"), F.length(ls).cast("string")))
+    return keys.select("artist_clean", "song_clean", F.concat(la, F.lit("|"), ls).alias("seq"),
+                       status.alias("status_code"), body.alias("body"))

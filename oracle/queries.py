@@ -73,3 +73,46 @@ SELECT raw_song, raw_artist, song_clean, artist_clean, callsign, raw_time AS tim
   CAST(NULL AS VARCHAR) AS artist_lastfm, CAST(NULL AS INTEGER) AS track_duration,
   CAST(NULL AS VARCHAR) AS track_mbid, CAST(NULL AS VARCHAR) AS song_lastfm
 FROM plays"""))
+
+
+# ---------------------------------------------------------------- metadata
+from oracle import metadata_sql as M  # noqa: E402
+
+oracle("cover_response_parse", "WITH " + M.covers() + " SELECT * FROM covers")
+oracle("artist_response_parse", with_plays(
+    "SELECT * FROM artist_parsed",
+    ", ".join([M.covers(), M.artist_answers(), M.parse_artist("artist_resp", "artist_parsed")])))
+oracle("track_response_parse", with_plays(
+    "SELECT * FROM track_parsed", ", ".join([M.track_answers(), M.parse_track("track_resp", "track_parsed")])))
+oracle("cache_hits", with_plays(
+    "SELECT k.artist_clean, c.artist_lastfm, c.image_url, c.mbid, c.fetch_success, c.error_message "
+    "FROM artist_keys k JOIN prev_artist_cache c ON k.artist_clean = c.artist_name WHERE c.fetch_success",
+    M.artist_cache_ctes()))
+oracle("cache_misses", with_plays("SELECT * FROM artist_misses", M.artist_cache_ctes()))
+oracle("merge_artist_cache", with_plays("SELECT * FROM artist_cache", M.artist_cache_ctes()))
+oracle("merge_track_cache", with_plays("SELECT * FROM track_cache", M.track_cache_ctes()))
+oracle("enrich_artists", with_plays(
+    "SELECT play_key, artist_clean, e_artist_lastfm AS artist_lastfm, artist_image_url, artist_mbid FROM enr_a",
+    M.artist_cache_ctes() + ", " + M.enriched_artists_cte()))
+oracle("enrich_tracks", with_plays(
+    "SELECT e.play_key, e.artist_clean, e.song_clean, "
+    "CASE WHEN t.artist_lastfm IS NOT NULL AND t.artist_lastfm <> '' THEN t.artist_lastfm ELSE e.e_artist_lastfm END AS artist_lastfm, "
+    "CASE WHEN t.song_lastfm IS NOT NULL AND t.song_lastfm <> '' THEN t.song_lastfm END AS song_lastfm, "
+    "CASE WHEN t.duration IS NOT NULL AND t.duration <> 0 THEN t.duration END AS track_duration, "
+    "CASE WHEN t.track_mbid IS NOT NULL AND t.track_mbid <> '' THEN t.track_mbid END AS track_mbid "
+    "FROM enr_a e LEFT JOIN (SELECT * FROM track_cache WHERE fetch_success) t "
+    "ON e.artist_clean = t.artist_clean AND e.song_clean = t.song_clean",
+    M.artist_cache_ctes() + ", " + M.enriched_artists_cte() + ", " + M.track_cache_ctes()))
+oracle("fetch_status", with_plays(
+    "SELECT CASE WHEN fetch_success THEN 'Success' ELSE 'Failed' END AS status, count(*) AS entries "
+    "FROM artist_cache GROUP BY 1", M.artist_cache_ctes()))
+oracle("summary_stats", with_plays(
+    "SELECT (SELECT count(*) FROM plays) AS music_records_count, (SELECT count(time_unix) FROM plays) AS records_with_timestamps, "
+    "(SELECT count(*) FROM artist_cache) AS cached_artists, (SELECT count(*) FROM artist_cache WHERE fetch_success) AS successful_images, "
+    "(SELECT count(*) FROM track_cache) AS cached_tracks", M.artist_cache_ctes() + ", " + M.track_cache_ctes()))
+oracle("duration_counts", with_plays(
+    "SELECT (SELECT count(duration) FROM track_cache) AS tracks_with_duration, "
+    "(SELECT count(track_duration) FROM plays) AS records_with_duration", M.track_cache_ctes()))
+oracle("previews", with_plays(
+    "SELECT artist_name, CASE WHEN fetch_success THEN 'Success' ELSE 'Failed' END AS status, "
+    "substr(image_url, 1, 50) || '...' AS image_preview FROM artist_cache", M.artist_cache_ctes()))
