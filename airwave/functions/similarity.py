@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from airwave.functions.text import let
+
 MAX_NATIVE = 62
 
 
@@ -24,22 +26,35 @@ def _bit(i: Column) -> Column:
 
 
 def _lcs_native(a: Column, b: Column) -> Column:
-    """LCS length for ``length(a) <= 62`` (a: pattern, b: text)."""
-    m = F.length(a)
-    chars = F.split(a, "")
-    keys = F.array_distinct(chars)
-    masks = F.transform(keys, lambda k: F.aggregate(
-        F.sequence(F.lit(0), m - 1), F.lit(0).cast("bigint"),
-        lambda acc, i: acc.bitwiseOR(F.when(F.get(chars, i) == k, _bit(i))
-                                      .otherwise(F.lit(0).cast("bigint")))))
-    table = F.map_from_arrays(keys, masks)
-    full = _bit(m) - 1
-
-    def step(v, c):
-        u = v.bitwiseAND(F.coalesce(F.try_element_at(table, c), F.lit(0).cast("bigint")))
-        return (v + u).bitwiseOR(v - u).bitwiseAND(full)
-
-    return m - F.bit_count(F.aggregate(F.split(b, ""), full, step))
+    """LCS length for ``length(a) <= 62`` (a: pattern, b: text).
+
+    The pattern's characters, their position masks and each step's mask
+    lookup are bound once with ``let``; lambdas would otherwise rebuild them
+    on every character of ``b``.
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def with_chars(chars):
+        m = F.size(chars)
+        full = _bit(m) - 1
+
+        def with_keys(keys):
+            masks = F.transform(keys, lambda k: F.aggregate(
+                F.sequence(F.lit(0), m - 1), zero,
+                lambda acc, i: acc.bitwiseOR(F.when(F.get(chars, i) == k, _bit(i)).otherwise(zero))))
+
+            def with_table(table):
+                def step(v, c):
+                    return let(v.bitwiseAND(F.coalesce(F.try_element_at(table, c), zero)),
+                               lambda u: (v + u).bitwiseOR(v - u).bitwiseAND(full))
+
+                return m - F.bit_count(F.aggregate(F.split(b, ""), full, step))
+
+            return let(F.map_from_arrays(keys, masks), with_table)
+
+        return let(F.array_distinct(chars), with_keys)
+
+    return let(F.split(a, ""), with_chars)
 
 
 def lcs_python(a: str, b: str) -> int:

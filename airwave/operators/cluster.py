@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 from airwave.functions import rules
 from airwave.functions.clean import python_title, strip_the
 from airwave.operators.fuzzy import similar_pairs
-from airwave.session import checkpoint_dir
+from airwave.session import checkpoint_dir, durable
 
 MAX_ROUNDS = 10_000
+DEBUG = False
 
 
 def order_key(count_col: str = "play_count", name_col: str = "name"):
@@ -49,17 +50,19 @@ def greedy_groups(artists: DataFrame, threshold: float, edges: DataFrame | None
         edges = similar_pairs(nodes.select(F.col("node").alias("name")), threshold)
     und = edges.select(F.col("a").alias("u"), F.col("b").alias("v"), "score").unionByName(
         edges.select(F.col("b").alias("u"), F.col("a").alias("v"), "score"))
-    und = und.checkpoint(eager=True)
+    und = durable(und)
     linked = und.select(F.col("u").alias("node")).distinct().withColumn("linked", F.lit(True))
-    state = nodes.join(linked, "node", "left").select(
+    state = durable(nodes.join(linked, "node", "left").select(
         "node", "ord", "multi",
         F.when(F.col("multi") | F.col("linked").isNotNull(), F.lit("U")).otherwise(F.lit("S")).alias("status"),
-        F.lit(None).cast("string").alias("centre")).checkpoint(eager=True)
+        F.lit(None).cast("string").alias("centre")))
 
-    for _ in range(MAX_ROUNDS):
+    for round_no in range(MAX_ROUNDS):
         undecided = state.where(F.col("status") == "U").select("node", "ord", "multi")
         if undecided.isEmpty():
             break
+        if DEBUG:
+            print("round", round_no, undecided.count(), flush=True)
         uu = undecided.select(F.col("node").alias("u"), F.col("ord").alias("ord_u"))
         vv = undecided.select(F.col("node").alias("v"), F.col("ord").alias("ord_v"))
         live = und.join(uu, "u").join(vv, "v")
@@ -76,10 +79,10 @@ def greedy_groups(artists: DataFrame, threshold: float, edges: DataFrame | None
                                                F.col("centre").alias("new_centre")))
                    .unionByName(singles.select("node", F.lit("S").alias("new_status"),
                                                F.lit(None).cast("string").alias("new_centre"))))
-        state = state.join(decided, "node", "left").select(
+        state = durable(state.join(decided, "node", "left").select(
             "node", "ord", "multi",
             F.coalesce("new_status", "status").alias("status"),
-            F.coalesce("new_centre", "centre").alias("centre")).checkpoint(eager=True)
+            F.coalesce("new_centre", "centre").alias("centre")))
     else:
         raise RuntimeError("clustering did not converge")
 

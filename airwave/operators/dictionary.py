@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airwave.session import checkpoint_dir
+from airwave.session import checkpoint_dir, durable
 
 # Broadcast bounds: rows and UTF-8 bytes of the string columns.  A broadcast
 # table is held once per executor, so keep this well under executor memory.
@@ -53,7 +53,7 @@ def map_distinct(df: DataFrame, keys: list[str], outputs: dict[str, Column],
     ``outputs`` may only read the ``keys`` columns.  NULL keys match NULL keys.
     """
     checkpoint_dir(df.sparkSession)
-    table = df.select(*keys).distinct().withColumns(outputs).checkpoint(eager=True)
+    table = durable(df.select(*keys).distinct().withColumns(outputs))
     table, small = broadcast_if_small(table, max_rows, max_bytes)
     if not small:
         return df.withColumns(outputs)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from airwave.functions.text import truthy, truthy_number
 from airwave.operators.dictionary import broadcast_if_small
-from airwave.session import checkpoint_dir
+from airwave.session import checkpoint_dir, durable
 
 
 def lookup_keys(records: DataFrame, keys: list[str]) -> DataFrame:
@@ -40,7 +40,7 @@ def cache_misses(keys: DataFrame, cache: DataFrame, key_map: dict[str, str]) ->
 def _dimension(df: DataFrame) -> DataFrame:
     """Checkpoint a per-key table and broadcast it if its measured size allows."""
     checkpoint_dir(df.sparkSession)
-    dim, _ = broadcast_if_small(df.checkpoint(eager=True))
+    dim, _ = broadcast_if_small(durable(df))
     return dim
 
 

@@ -17,7 +17,7 @@ from airwave.operators import merge, stats
 from airwave.operators.cluster import fuzzy_map, order_key
 from airwave.operators.dictionary import broadcast_if_small
 from airwave.operators.fuzzy import check_threshold
-from airwave.session import checkpoint_dir
+from airwave.session import checkpoint_dir, durable
 
 CHAIN_STEPS = 3  # rename chains up to 2**3 links are followed to the end
 
@@ -69,8 +69,8 @@ def resolve_chains(mapping: DataFrame, steps: int = CHAIN_STEPS) -> DataFrame:
 def apply_mapping(records: DataFrame, mapping: DataFrame, col: str = "artist_clean") -> DataFrame:
     """Rename ``col`` where lower(col) is a mapping key (K6); adds ``renamed`` flag."""
     checkpoint_dir(records.sparkSession)
-    dim, _ = broadcast_if_small(mapping.select(F.col("old_key").alias("__k"),
-                                               F.col("new_name").alias("__n")).checkpoint(eager=True))
+    dim, _ = broadcast_if_small(durable(mapping.select(F.col("old_key").alias("__k"),
+                                                       F.col("new_name").alias("__n"))))
     j = records.join(dim, F.lower(records[col]) == dim["__k"], "left")
     return j.withColumns({col: F.coalesce("__n", col), "renamed": F.col("__k").isNotNull()}).drop("__k", "__n")
 
@@ -90,22 +90,27 @@ class Normalized:
                 "total_records_updated": self.records.where(F.col("renamed")).count()}
 
 
-def normalize_artists(records: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD) -> Normalized:
-    """A4 -> J4 -> J5 -> C1 -> D2 -> K6 on the records.
+def name_mapping(artists: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD):
+    """(name, play_count) -> (mapping, the_map, fuzzy map, matches): J4 -> J5 -> C1 -> D2.
 
     ``threshold`` None or <= 0 skips fuzzy matching, as the original does.
     """
-    spark = records.sparkSession
-    checkpoint_dir(spark)
-    artists = artist_counts(records).checkpoint(eager=True)
+    spark = artists.sparkSession
     the_map = the_prefix_map(artists)
-    empty = spark.createDataFrame([], "old_key string, new_name string")
     if threshold is not None and threshold > 0:
         check_threshold(threshold)
         fuzzy, matches = fuzzy_map(remaining_after(artists, the_map), threshold)
     else:
-        fuzzy, matches = empty, None
+        fuzzy, matches = spark.createDataFrame([], "old_key string, new_name string"), None
     mapping = resolve_chains(merge.union_prefer_last(the_map, fuzzy, ["old_key"]))
+    return mapping, the_map, fuzzy, matches
+
+
+def normalize_artists(records: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD) -> Normalized:
+    """A4 -> J4 -> J5 -> C1 -> D2 -> K6 on the records."""
+    artists = durable(artist_counts(records))
+    mapping, the_map, fuzzy, matches = name_mapping(artists, threshold)
+    mapping = durable(mapping)
     return Normalized(apply_mapping(records, mapping), mapping, the_map, fuzzy, matches)
 
 
@@ -113,16 +118,22 @@ def threshold_sweep(records: DataFrame, thresholds=(95.0, 90.0, 85.0), n: int =
                     cumulative: bool = True) -> DataFrame:
     """Normalise at each threshold and report the top ``n`` artists after each.
 
-    ``cumulative`` applies each step to the previous result, like the
-    original test; otherwise every threshold starts from ``records``.
+    Runs on per-artist play counts only: renaming merges counts, so each step
+    needs the previous step's counts, never the plays again.  ``cumulative``
+    applies each step to the previous result, like the original test;
+    otherwise every threshold starts from ``records``.
     """
-    out = None
-    current = records
+    counts = durable(records.groupBy("artist_clean").agg(F.count(F.lit(1)).alias("play_count")))
+    out, current = None, counts
     for t in thresholds:
-        result = normalize_artists(current if cumulative else records, t)
-        renamed = result.records.drop("renamed").checkpoint(eager=True)
-        top = stats.numbered(renamed.groupBy("artist_clean").agg(F.count(F.lit(1)).alias("play_count")),
-                             [F.desc("play_count"), F.asc_nulls_first("artist_clean")], n)
+        base = current if cumulative else counts
+        artists = base.where(F.col("artist_clean").isNotNull() & (F.col("artist_clean") != "")).select(
+            F.col("artist_clean").alias("name"), "play_count")
+        mapping, _, _, _ = name_mapping(artists, t)
+        renamed = apply_mapping(base, durable(mapping)).groupBy("artist_clean").agg(
+            F.sum("play_count").cast("bigint").alias("play_count"))
+        renamed = durable(renamed)
+        top = stats.numbered(renamed, [F.desc("play_count"), F.asc_nulls_first("artist_clean")], n)
         top = top.withColumn("threshold", F.lit(float(t)))
         out = top if out is None else out.unionByName(top)
         current = renamed

@@ -189,3 +189,54 @@ def random_sample(spark: SparkSession, sf: str) -> DataFrame:
     records = derived.plays(spark, sf)
     tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
     return stats.track_sample(tracks)
+
+
+# ------------------------------------------------------- name normalisation
+from airwave.operators import normalize  # noqa: E402
+from airwave.operators.cluster import fuzzy_map  # noqa: E402
+from airwave.operators.fuzzy import similar_pairs  # noqa: E402
+
+
+def _artists(spark: SparkSession, sf: str):
+    return normalize.artist_counts(derived.plays(spark, sf))
+
+
+@register
+def the_prefix_map(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.the_prefix_map(_artists(spark, sf))
+
+
+@register
+def remaining_after_the(spark: SparkSession, sf: str) -> DataFrame:
+    artists = _artists(spark, sf)
+    return normalize.remaining_after(artists, normalize.the_prefix_map(artists))
+
+
+@register
+def fuzzy_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    names = _artists(spark, sf).select(F.lower("name").alias("name")).distinct()
+    return similar_pairs(names, 90.0).select("a", "b", "lcs")
+
+
+@register
+def fuzzy_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    artists = _artists(spark, sf)
+    _, matches = fuzzy_map(normalize.remaining_after(artists, normalize.the_prefix_map(artists)), 90.0)
+    return matches
+
+
+@register
+def normalize_map(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.normalize_artists(derived.plays(spark, sf), 90.0).mapping
+
+
+@register
+def normalized_plays(spark: SparkSession, sf: str) -> DataFrame:
+    out = normalize.normalize_artists(derived.plays(spark, sf), 90.0).records
+    return out.groupBy("artist_clean").agg(F.count(F.lit(1)).alias("play_count"),
+                                           F.count_if(F.col("renamed")).alias("renamed_plays"))
+
+
+@register
+def threshold_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.threshold_sweep(derived.plays(spark, sf))

@@ -56,3 +56,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="airwave-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def durable(df):
+    """Checkpoint ``df`` to the shared folder, computing it once.
+
+    A reliable checkpoint writes the data in a second job; persisting first
+    lets that job read the cached blocks instead of recomputing the plan.
+    The cache is dropped once the files are written, so a lost executor costs
+    nothing: the checkpoint files are the lineage from here on.
+    """
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

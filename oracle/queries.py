@@ -116,3 +116,36 @@ oracle("duration_counts", with_plays(
 oracle("previews", with_plays(
     "SELECT artist_name, CASE WHEN fetch_success THEN 'Success' ELSE 'Failed' END AS status, "
     "substr(image_url, 1, 50) || '...' AS image_preview FROM artist_cache", M.artist_cache_ctes()))
+
+
+# ------------------------------------------------------- name normalisation
+WK = "[" + ", ".join("'" + b + "'" for b in __import__("airwave.functions.rules", fromlist=["x"]).WELL_KNOWN_THE_BANDS) + "]"
+
+ARTISTS = ("artists AS (SELECT artist_clean AS name, count(*) AS play_count FROM plays "
+           "WHERE artist_clean IS NOT NULL AND artist_clean <> '' GROUP BY 1)")
+THE_MAP = ("by_lower AS (SELECT lower(name) AS lk, arg_max(play_count, (-play_count, name)) AS base_count "
+           "FROM artists GROUP BY 1), "
+           "the_rows AS (SELECT *, regexp_replace(substr(name, 5), '^\\s+|\\s+$', '', 'g') AS base_name "
+           "FROM artists WHERE starts_with(lower(name), 'the ')), "
+           "the_cand AS (SELECT t.*, CASE WHEN list_contains(" + WK + ", lower(t.base_name)) OR t.play_count >= b.base_count "
+           "THEN t.name ELSE t.base_name END AS preferred FROM the_rows t JOIN by_lower b ON lower(t.base_name) = b.lk), "
+           "the_map AS (SELECT lower(CASE WHEN preferred = name THEN base_name ELSE name END) AS old_key, "
+           "arg_min(preferred, (-play_count, name)) AS new_name FROM the_cand GROUP BY 1)")
+
+oracle("the_prefix_map", with_plays("SELECT * FROM the_map", ARTISTS + ", " + THE_MAP))
+oracle("remaining_after_the", with_plays(
+    "SELECT a.* FROM artists a ANTI JOIN (SELECT old_key AS k FROM the_map UNION SELECT lower(new_name) FROM the_map) h "
+    "ON lower(a.name) = h.k", ARTISTS + ", " + THE_MAP))
+
+LCS = ("m - bit_count(list_reduce(list_transform(string_split(pb, ''), lambda c: CAST(list_sum(list_transform("
+       "range(m), lambda i: CASE WHEN pa[i + 1] = c THEN (CAST(1 AS BIGINT) << i) ELSE CAST(0 AS BIGINT) END)) AS BIGINT)), "
+       "lambda v, u: ((v + (v & u)) | (v - (v & u))) & ((CAST(1 AS BIGINT) << m) - 1), (CAST(1 AS BIGINT) << m) - 1))")
+oracle("fuzzy_pairs", with_plays(
+    "SELECT a, b, lcs FROM (SELECT a, b, " + LCS + " AS lcs, length(a) + length(b) AS total FROM ("
+    "SELECT CASE WHEN length(x.n) <= length(y.n) THEN x.n ELSE y.n END AS pa, "
+    "CASE WHEN length(x.n) <= length(y.n) THEN y.n ELSE x.n END AS pb, x.n AS a, y.n AS b, "
+    "least(length(x.n), length(y.n)) AS m FROM nodes x JOIN nodes y ON x.n < y.n "
+    "WHERE 90 * (length(x.n) + length(y.n)) <= 200 * least(length(x.n), length(y.n)) "
+    "AND levenshtein(x.n, y.n) <= floor(10 * (length(x.n) + length(y.n)) / 100.0)) "
+    ") WHERE 200 * lcs >= 90 * total",
+    "nodes AS (SELECT DISTINCT lower(artist_clean) AS n FROM plays WHERE artist_clean IS NOT NULL AND artist_clean <> '')"))
