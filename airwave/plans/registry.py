@@ -240,3 +240,14 @@ def normalized_plays(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def threshold_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.threshold_sweep(derived.plays(spark, sf))
+
+
+# ------------------------------------------------------------- whole job
+from airwave.plans import pipeline  # noqa: E402
+
+
+@register
+def pipeline_records(spark: SparkSession, sf: str) -> DataFrame:
+    out = pipeline.run(spark, sf).records
+    return out.select("unique_id", "artist_clean", "song_clean", "time_unix", "artist_lastfm",
+                      "song_lastfm", "track_duration", "artist_image_url")
