@@ -1,0 +1,6 @@
+"""No streaming operators: the original job reads one log file in batch.
+
+Every transformation in this package is a plain DataFrame function, so the
+same cleaning expressions apply unchanged to a ``readStream`` source if a
+caller wants incremental ingestion.
+"""
