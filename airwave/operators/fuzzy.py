@@ -60,7 +60,7 @@ def _seg_start_len(s, segs, base, extra):
     return start, length
 
 
-def candidate_pairs(names: DataFrame, threshold: float, col: str = "name") -> DataFrame:
+def candidate_pairs(names: DataFrame, threshold: float, col: str = "name", prefilter: bool = False) -> DataFrame:
     """Distinct pairs ``(a, b)``, ``a < b``, that share a block key (superset of matches)."""
     t = check_threshold(threshold)
     base = names.select(F.col(col).alias("str")).where(F.col("str").isNotNull()).distinct()
@@ -94,15 +94,19 @@ def candidate_pairs(names: DataFrame, threshold: float, col: str = "name") -> Da
                          F.substring(F.col("str"), F.col("start") + F.col("delta") + 1, F.col("seglen")).alias("key"))
 
     pairs = seg.join(probe, ["m", "s", "key"]).where(F.col("a") != F.col("b"))
+    if prefilter:
+        # Drop hopeless pairs where the join emits them, before any shuffle:
+        # Levenshtein never exceeds the Indel distance, so no match is lost.
+        la, lb = F.length("a"), F.length("b")
+        budget = _floor(F.lit(100.0 - t) * (la + lb) / F.lit(100.0))
+        pairs = pairs.where(F.call_function("levenshtein", F.col("a"), F.col("b"), budget) >= 0)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def similar_pairs(names: DataFrame, threshold: float, col: str = "name") -> DataFrame:
     """Every pair of distinct values with ``ratio >= threshold``: (a, b, lcs, score), a < b."""
     t = check_threshold(threshold)
-    cand = candidate_pairs(names, t, col)
+    cand = candidate_pairs(names, t, col, prefilter=True)
     la, lb = F.length("a"), F.length("b")
-    budget = _floor(F.lit(100.0 - t) * (la + lb) / F.lit(100.0))
-    cand = cand.where(F.call_function("levenshtein", F.col("a"), F.col("b"), budget) >= 0)
     verified = with_lcs(cand, "a", "b").where(passes(F.col("lcs"), la, lb, t))
     return verified.select("a", "b", "lcs", ratio(F.col("lcs"), la, lb).alias("score"))

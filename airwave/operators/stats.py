@@ -116,21 +116,40 @@ def parse_coverage(records: DataFrame) -> DataFrame:
     return records.agg(F.count("time_unix").alias("parsed_count"), F.count(F.lit(1)).alias("total_count"))
 
 
+def _tagged(records: DataFrame, artist_cache: DataFrame, track_cache: DataFrame) -> DataFrame:
+    """The three tables as one tagged stream of the columns the counts need."""
+    null_b = F.lit(None).cast("boolean")
+    return (records.select(F.lit("r").alias("src"), F.col("time_unix").isNotNull().alias("flag"),
+                           F.col("track_duration").isNotNull().alias("has_duration"))
+            .unionByName(artist_cache.select(F.lit("a").alias("src"), F.col("fetch_success").alias("flag"),
+                                             null_b.alias("has_duration")))
+            .unionByName(track_cache.select(F.lit("t").alias("src"), null_b.alias("flag"),
+                                            F.col("duration").isNotNull().alias("has_duration"))))
+
+
 def database_stats(records: DataFrame, artist_cache: DataFrame, track_cache: DataFrame) -> DataFrame:
-    """One summary row: records, with time, cached artists, successes, cached tracks (A2, A1)."""
-    r = records.agg(F.count(F.lit(1)).alias("music_records_count"),
-                    F.count("time_unix").alias("records_with_timestamps"))
-    a = artist_cache.agg(F.count(F.lit(1)).alias("cached_artists"),
-                         F.count_if(F.col("fetch_success")).alias("successful_images"))
-    t = track_cache.agg(F.count(F.lit(1)).alias("cached_tracks"))
-    # Three single-row aggregates: the joins pair exactly one row each.
-    return r.crossJoin(a).crossJoin(t).withColumn("timestamp", F.current_timestamp())
+    """One summary row: records, with time, cached artists, successes, cached tracks (A2, A1).
+
+    One aggregate over a tagged union of the three tables: a single pass,
+    no join.
+    """
+    src, flag = F.col("src"), F.col("flag")
+    return _tagged(records, artist_cache, track_cache).agg(
+        F.count_if(src == "r").alias("music_records_count"),
+        F.count_if((src == "r") & flag).alias("records_with_timestamps"),
+        F.count_if(src == "a").alias("cached_artists"),
+        F.count_if((src == "a") & flag).alias("successful_images"),
+        F.count_if(src == "t").alias("cached_tracks"),
+    ).withColumn("timestamp", F.current_timestamp())
 
 
 def duration_counts(records: DataFrame, track_cache: DataFrame) -> DataFrame:
     """Non-NULL durations in the track cache and in the records (A3)."""
-    return track_cache.agg(F.count("duration").alias("tracks_with_duration")).crossJoin(
-        records.agg(F.count("track_duration").alias("records_with_duration")))
+    src, has = F.col("src"), F.col("has_duration")
+    empty_cache = track_cache.sparkSession.createDataFrame([], "fetch_success boolean")
+    return _tagged(records, empty_cache, track_cache).agg(
+        F.count_if((src == "t") & has).alias("tracks_with_duration"),
+        F.count_if((src == "r") & has).alias("records_with_duration"))
 
 
 def artist_cache_preview(cache: DataFrame, n: int | None = None) -> DataFrame:
