@@ -47,13 +47,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 
 def map_distinct(df: DataFrame, keys: list[str], outputs: dict[str, Column],
-                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
+                 source: DataFrame | None = None) -> DataFrame:
     """``df.withColumns(outputs)`` computed once per distinct ``keys`` value.
 
     ``outputs`` may only read the ``keys`` columns.  NULL keys match NULL keys.
+    ``source``: a smaller table holding every key of ``df`` (e.g. a shared,
+    checkpointed distinct of several key columns) to take the keys from
+    instead of scanning ``df`` again.
     """
     checkpoint_dir(df.sparkSession)
-    table = durable(df.select(*keys).distinct().withColumns(outputs))
+    keys_from = source if source is not None else df
+    table = durable(keys_from.select(*keys).distinct().withColumns(outputs))
     table, small = broadcast_if_small(table, max_rows, max_bytes)
     if not small:
         return df.withColumns(outputs)

@@ -180,3 +180,8 @@ def like_filter(records: DataFrame, column: str, pattern: str) -> DataFrame:
 def first_rows(df: DataFrame, n: int) -> DataFrame:
     """First ``n`` rows, no order."""
     return df.limit(n)
+
+
+def squares(df: DataFrame, column: str) -> DataFrame:
+    """Element-wise square of a numeric column (F21, the original's smoke test)."""
+    return df.select((F.col(column) * F.col(column)).alias(f"{column}_squared"))

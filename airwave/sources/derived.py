@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from airwave.functions.clean import clean_artist, clean_song
 from airwave.functions.timeparse import parse_time
 from airwave.operators.dictionary import map_distinct
+from airwave.session import durable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,9 +96,15 @@ def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_clean_columns(df: DataFrame, artist: str = "raw_artist", song: str = "raw_song",
                        time: str = "raw_time") -> DataFrame:
-    """artist_clean, song_clean (once per distinct raw value) and time_unix (per row)."""
-    df = map_distinct(df, [artist], {"artist_clean": clean_artist(artist)})
-    df = map_distinct(df, [song], {"song_clean": clean_song(song)})
+    """artist_clean, song_clean (once per distinct raw value) and time_unix (per row).
+
+    One partial + final aggregate over the plays finds the distinct (artist,
+    song) pairs; both dictionaries are built from that checkpoint, so the
+    fact table is scanned once for keys.
+    """
+    pairs = durable(df.select(artist, song).distinct())
+    df = map_distinct(df, [artist], {"artist_clean": clean_artist(artist)}, source=pairs)
+    df = map_distinct(df, [song], {"song_clean": clean_song(song)}, source=pairs)
     return df.withColumn("time_unix", parse_time(time))
 
 

@@ -92,3 +92,9 @@ def test_create_if_absent_and_reports(spark):
     assert rep["fetch_status"].collect()[0]["status"] == "Success"
     reports.register_views(spark, {"music_records": recs})
     assert spark.sql("SELECT count(*) AS n FROM music_records").first().n == 1
+
+
+def test_squares(spark):
+    from airwave.operators.stats import squares
+
+    assert [r[0] for r in squares(spark.range(1, 5), "id").collect()] == [1, 4, 9, 16]
