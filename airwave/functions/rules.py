@@ -121,7 +121,11 @@ TIME_FORMATS = [
     ("M/d/yyyy", "%m/%d/%Y"),
 ]
 
-# Shape of each format above as strptime accepts it (%Y four digits, the
+# Default similarity threshold (0-100) for fuzzy artist matching.
+DEFAULT_FUZZY_THRESHOLD = 90.0
+# ------------------------------------------------------------ END FIXED VALUES
+
+# Shape of each TIME_FORMATS entry as strptime accepts it (%Y four digits, the
 # other fields one or two); a string of another shape cannot parse, so the
 # parser is tried only on matching shapes.
 TIME_SHAPES = [
@@ -134,9 +138,6 @@ TIME_SHAPES = [
     r"^\d{1,2}/\d{1,2}/\d{4}$",
 ]
 
-# Default similarity threshold (0-100) for fuzzy artist matching.
-DEFAULT_FUZZY_THRESHOLD = 90.0
-# ------------------------------------------------------------ END FIXED VALUES
 
 # A plain decimal number as Python's float() reads it (underscores allowed
 # between digits); anything else falls through to NULL.
