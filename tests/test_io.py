@@ -98,3 +98,17 @@ def test_squares(spark):
     from airwave.operators.stats import squares
 
     assert [r[0] for r in squares(spark.range(1, 5), "id").collect()] == [1, 4, 9, 16]
+
+
+def test_dictionary_fallback_matches_broadcast(spark):
+    """Over the size bound the per-row expression runs; results must not change."""
+    from airwave.functions.clean import clean_artist
+    from airwave.operators.dictionary import map_distinct
+    from airwave.sources import derived
+
+    raw = derived.raw_plays(spark, "/root/testdata/sf0.001").select("play_key", "raw_artist")
+    small = map_distinct(raw, ["raw_artist"], {"artist_clean": clean_artist("raw_artist")})
+    big = map_distinct(raw, ["raw_artist"], {"artist_clean": clean_artist("raw_artist")}, max_rows=0)
+    a = sorted(map(tuple, small.select("play_key", "artist_clean").collect()))
+    b = sorted(map(tuple, big.select("play_key", "artist_clean").collect()))
+    assert a == b and len(a) == raw.count()
