@@ -112,3 +112,11 @@ def test_dictionary_fallback_matches_broadcast(spark):
     a = sorted(map(tuple, small.select("play_key", "artist_clean").collect()))
     b = sorted(map(tuple, big.select("play_key", "artist_clean").collect()))
     assert a == b and len(a) == raw.count()
+
+
+def test_lookup_keys_cap_is_ordered(spark):
+    from airwave.operators.enrich import lookup_keys
+
+    df = spark.createDataFrame([("b",), ("a",), ("",), (None,), ("c",), ("a",)], "artist_clean string")
+    assert [r[0] for r in lookup_keys(df, ["artist_clean"]).orderBy("artist_clean").collect()] == ["a", "b", "c"]
+    assert [r[0] for r in lookup_keys(df, ["artist_clean"], limit=2).collect()] == ["a", "b"]
