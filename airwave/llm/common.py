@@ -7,6 +7,8 @@ import uuid
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from airwave.session import checkpoint_dir
 
@@ -39,6 +41,16 @@ def drop_stage(df: DataFrame) -> None:
         target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def rows_of(df: DataFrame) -> DataFrame:
+    """All columns packed into the struct column ``row``, so that none can clash with an operator's own."""
+    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"))
+
+
+def extended(df: DataFrame, fields: str) -> StructType:
+    """The schema of ``df`` with more fields, given as a DDL string."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(fields).fields])
+
+
 def binary_texts(column) -> list:
     """UTF-8 bytes of an Arrow string column (None stays None)."""
     return column.cast(pa.binary()).to_pylist()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airwave.llm import sharding, simhash, substring_dedup
+from airwave.llm import bpe, language_id, quality, sharding, simhash, substring_dedup, warc
 from airwave.llm.common import table
 
 REGISTRY: dict = {}
@@ -30,6 +31,40 @@ def op2_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    out = language_id.held_out(F.col("doc_id"), 4, 2)
+    model = language_id.learn(docs.where(~out))
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        F.col("row.doc_id").alias("doc_id"), "lang_pred", "score").withColumn("held_out", out)
+
+
+@register
+def op8_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    coded = bpe.tokenize(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        F.col("row.doc_id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register
 def op9_feistel_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(table(spark, sf, "documents"), shards=8)
+
+
+@register
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    scored = quality.classify(docs, table(spark, sf, "labels"), lambda i: ~language_id.held_out(i, 5, 0))
+    return scored.select(F.col("row.doc_id").alias("doc_id"), "score").withColumns({
+        "held_out": language_id.held_out(F.col("doc_id"), 5, 0),
+        "predicted": F.when(F.col("score") >= 0.3, 1).otherwise(0)})
+
+
+@register
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    files = warc.write(table(spark, sf, "pages"), warc.archive_folder(spark), min_bytes=0)
+    return warc.read(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import binary_texts, drop_stage, fmix, stage
+from airwave.llm.common import binary_texts, drop_stage, extended, fmix, rows_of, stage
 
 BLOCK_BYTES = 8 << 20
 BUCKET_HASHES = 2_000_000
@@ -290,7 +290,7 @@ class Plan:
         blocks = max(1, -(-n // block_bytes))
         self.buckets = max(1, -(-n // (6 * bucket_hashes)))
         self.id_col, self.text_col, self.full = id_col, text_col, min_words
-        self.rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).withColumn(
+        self.rows = rows_of(docs).withColumn(
             "block", F.pmod(F.xxhash64(F.col(f"row.`{id_col}`")), F.lit(blocks)))
 
     def anchors(self) -> DataFrame:
@@ -340,8 +340,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     full, buckets = min_words, plan.buckets
     halves = plan.anchors()
     answers = halves.unionByName(plan.level(halves, 1))
-    kind = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).schema
-    out = kind.add("n_words", "long").add("n_removed", "long").add("kept_text", "string")
+    out = extended(plan.rows.select("row"), "n_words long, n_removed long, kept_text string")
 
     def finish(key, rows, got):
         block, got = Block(rows, id_col, text_col), by_level(got)
@@ -393,8 +392,7 @@ def longest_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         answers = answers.unionByName(found)
     depth = k
-    kind = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")).schema
-    out = kind.add("longest_repeat", "long")
+    out = extended(plan.rows.select("row"), "longest_repeat long")
 
     def finish(key, rows, got):
         if not rows.num_rows:
