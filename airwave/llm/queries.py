@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airwave.llm import bpe, language_id, quality, sharding, simhash, substring_dedup, warc
+from airwave.llm import bpe, decontaminate, language_id, quality, sharding, simhash, substring_dedup, warc
 from airwave.llm.common import table
 
 REGISTRY: dict = {}
@@ -68,3 +68,11 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
     files = warc.write(table(spark, sf, "pages"), warc.archive_folder(spark), min_bytes=0)
     return warc.read(files).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register
+def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontaminate.contaminated(docs, table(spark, sf, "benchmark"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), "item_id", "score", "question_overlap", "answer_overlap",
+                        "first_word")
