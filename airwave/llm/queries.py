@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airwave.llm import bpe, decontaminate, language_id, quality, sharding, simhash, substring_dedup, warc
+from airwave.llm import ann, bpe, decontaminate, language_id, quality, sharding, simhash, substring_dedup, warc
 from airwave.llm.common import table
 
 REGISTRY: dict = {}
@@ -76,3 +76,24 @@ def op7_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.contaminated(docs, table(spark, sf, "benchmark"))
     return found.select(F.col("row.doc_id").alias("doc_id"), "item_id", "score", "question_overlap", "answer_overlap",
                         "first_word")
+
+
+@register
+def op3_ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+ORACLES["op3_ann"] = """
+WITH part AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND list_aggregate([CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END FOR x IN embedding], 'sum') = 0
+    AND list_aggregate([CASE WHEN x = 0 THEN 0 ELSE 1 END FOR x IN embedding], 'sum') > 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_sum([(p[1] - p[2]) * (p[1] - p[2]) FOR p IN list_zip(q.v, c.v)])) AS score
+  FROM part q JOIN part c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+  SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM pairs
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
