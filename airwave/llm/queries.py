@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airwave.llm import ann, bpe, decontaminate, language_id, quality, sharding, simhash, substring_dedup, warc
+from airwave.llm import ann, bpe, decontaminate, html_extract, language_id, quality, sharding, simhash, substring_dedup, warc
 from airwave.llm.common import table
 
 REGISTRY: dict = {}
@@ -97,3 +97,11 @@ WITH part AS (
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@register
+def op5_html_extract(spark: SparkSession, sf: str) -> DataFrame:
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    model = html_extract.train(html_extract.labelled_sample(pages, table(spark, sf, "documents")))
+    return html_extract.extract(pages, model).select(
+        F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text", "n_chars")
