@@ -316,3 +316,28 @@ def searcher(shared, chunk: int, threshold: float, overlap: float):
                         names=["row", "item_id", "score", "question_overlap", "answer_overlap", "first_word"])
 
     return run
+
+
+def uncontaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                   item_text: str = "text", threshold: float = THRESHOLD, overlap: float = OVERLAP) -> DataFrame:
+    """The rows of ``docs`` in which no test item stands, unchanged; decided row by row, so ids play no part."""
+    at = docs.columns.index(text_col)
+    out = docs
+    for members, frequency, n_items, mean in shards_of(items, item_col, item_text):
+        index = Index(members, frequency, n_items, mean)
+        shared = docs.sparkSession.sparkContext.broadcast(index)
+        out = out.mapInArrow(sieve(shared, at, max(MIN_CHUNK, index.longest), threshold, overlap), docs.schema)
+    return out
+
+
+def sieve(shared, column: int, chunk: int, threshold: float, overlap: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for b in batches:
+            clean = np.ones(b.num_rows, bool)
+            for at, split in batches_of(b.column(column).to_pylist()):
+                for d, _ in matches(split, index, chunk, threshold, overlap):
+                    clean[at + d] = False
+            yield b.filter(pa.array(clean))
+
+    return run
