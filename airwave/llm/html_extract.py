@@ -335,7 +335,7 @@ def labelled_sample(pages: DataFrame, texts: DataFrame, limit: int = TRAIN_PAGES
     broadcast; only their rows of either table go on.
     """
     number = F.regexp_extract("url", r"/(\d+)(?:[./?#][^/]*)?/?$", 1)
-    ids = (pages.select("page_id", number.cast("long").alias("doc_id")).where("page_id IS NOT NULL AND doc_id IS NOT NULL")
+    ids = (pages.select("page_id", number.try_cast("long").alias("doc_id")).where("page_id IS NOT NULL AND doc_id IS NOT NULL")
            .orderBy(F.xxhash64("page_id"), "page_id").limit(limit))
     chosen = texts.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("page_id", "text")
     return pages.select("page_id", "html").join(chosen, "page_id")
