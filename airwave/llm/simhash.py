@@ -5,21 +5,26 @@ each shingle's XXH64 (seed 42) votes on 64 bits, and a bit is set where more
 than half of the shingles set it.  Repeated shingles vote repeatedly.
 
 Keys.  The 64 bits are cut into three segments.  Each segment, padded to 23
-bits, is decoded with the binary Golay code [23, 12, 7] to every codeword
-within 4 bits: one codeword if the nearest is at most 2 bits away, else six.
-Any two words at most 2 bits apart share such a codeword.  Of at most 4
-differing bits, the two best of the three segments together hold at most 2, so
-at least one of the three pairs of segments agrees on a pair of codeword
-indices: (pair number, 12 bits, 12 bits) is the join key.  Candidates are
-verified by their bit distance in the join itself.
+bits, is decoded with the binary Golay code [23, 12, 7]: to its centre, the one
+codeword within 3 bits, and to every codeword within 4 bits (one if the centre
+is at most 2 bits away, else six).  Words at most 2 bits apart share a codeword
+within 4 bits; of words at most 1 bit apart, the centre of either is within 4
+bits of the other.  Of at most 4 differing bits, pigeonhole leaves two cases:
+
+* some segment is equal; then one of the other two differs in at most 2 bits:
+  key (number, equal segment, codeword index of the other), 33 bits and more;
+* every segment differs; then two of them differ in just 1 bit: key (number,
+  two codeword indices), 24 bits, where one side sends its centres only.
+
+Candidates are verified by their bit distance in the join itself.
 
 Links.  Only distinct fingerprints take part, so exact copies cost nothing.  A
 large group of near copies must not become all its pairs, hence two steps:
 
-1. every fingerprint of a key is compared with the key's least fingerprint
-   (an aggregate), which gives at most one link per key and fingerprint;
+1. every fingerprint is compared with the least fingerprint of each of its keys
+   of the first kind, which gives at most one link per key and fingerprint;
    components of these links are found by alternating stars;
-2. the keys that still hold several components are joined with themselves, on
+2. keys that still hold several components are joined with themselves, on
    different components only, and the components are found again.
 
 No link is lost: two fingerprints within the distance share a key, so they are
@@ -34,12 +39,12 @@ id, or null if there is none); an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from airwave.llm.common import binary_texts, drop_stage, stage
@@ -111,31 +116,43 @@ def nearby_indices(words: np.ndarray, patterns: np.ndarray) -> np.ndarray:
     return np.where(errors >= 0, (words[:, None] ^ errors) >> 11, -1)
 
 
-def golay_keys(fp: np.ndarray, patterns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row number) for each pair of segments and each pair of nearby codewords."""
+def golay_keys(fp: np.ndarray, patterns: np.ndarray, both_kinds: bool = True) -> Iterator[tuple]:
+    """(keys, row numbers, whether the row may be the left side) by kind of key."""
     fp = fp.view(np.uint64)
-    near = [nearby_indices((fp >> np.uint64(lo) & np.uint64((1 << width) - 1)).astype(np.int64), patterns)
-            for lo, width in SEGMENTS]
-    keys, rows = [], []
-    for pair, (i, j) in enumerate(combinations(range(len(SEGMENTS)), 2)):
-        both = (near[i][:, :, None] << 12 | near[j][:, None, :]).reshape(len(fp), -1)
-        good = ((near[i] >= 0)[:, :, None] & (near[j] >= 0)[:, None, :]).reshape(len(fp), -1)
-        at, col = np.nonzero(good)
-        keys.append(both[at, col] | pair << 24)
-        rows.append(at)
-    return np.concatenate(keys), np.concatenate(rows)
-
-
-def keyed(fps: DataFrame) -> DataFrame:
-    """(key int, fp long): the fuzzy hash keys of each fingerprint."""
+    segment = [(fp >> np.uint64(lo) & np.uint64((1 << width) - 1)).astype(np.int64) for lo, width in SEGMENTS]
+    near = [nearby_indices(x, patterns) for x in segment]
+    row = np.arange(len(fp))
+    for number, (i, j) in enumerate(permutations(range(len(SEGMENTS)), 2)):
+        at, col = np.nonzero(near[j] >= 0)
+        yield number << 34 | segment[i][at] << 12 | near[j][at, col], row[at], np.ones(len(at), bool)
+    if both_kinds:
+        for number, (i, j) in enumerate(combinations(range(len(SEGMENTS)), 2), 8):
+            pairs = np.where((near[i] >= 0)[:, :, None] & (near[j] >= 0)[:, None, :],
+                             near[i][:, :, None] << 12 | near[j][:, None, :], -1).reshape(len(fp), -1)
+            at, col = np.nonzero(pairs >= 0)
+            # The first pattern of a coset is its lightest, so column 0 holds both centres.
+            yield number << 34 | pairs[at, col], row[at], col == 0
+
+
+def keyed(fps: DataFrame, both_kinds: bool) -> DataFrame:
+    """(key, fp, root, centre): the fuzzy hash keys of each fingerprint (fp, root).
+
+    A fingerprint becomes about a hundred rows, so the input is spread out first.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = coset_patterns()
         for b in batches:
-            fp = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            key, row = golay_keys(fp, patterns)
-            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(fp[row])], names=["key", "fp"])
+            for at in range(0, b.num_rows, 20_000):
+                fp, root = (b.column(k).slice(at, 20_000).to_numpy(zero_copy_only=False).astype(np.int64)
+                            for k in (0, 1))
+                for key, row, centre in golay_keys(fp, patterns, both_kinds):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key), pa.array(fp[row]), pa.array(root[row]), pa.array(centre)],
+                        names=["key", "fp", "root", "centre"])
 
-    return fps.select("fp").mapInArrow(run, "key int, fp long")
+    spread = fps.select("fp", "root").repartition(
+        int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    return spread.mapInArrow(run, "key long, fp long, root long, centre boolean")
 
 
 def close(a: str, b: str, max_bits: int):
@@ -146,32 +163,19 @@ def linked(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, root): the component of each distinct fingerprint, named by its least fingerprint."""
     if not 0 <= max_bits <= 4:
         raise ValueError("three Golay segments find up to 4 differing bits")
-    keys = keyed(fps)
-    heads = keys.groupBy("key").agg(F.min("fp").alias("head"), F.max("fp").alias("tail"))
-    to_head = (keys.join(heads.where(F.col("head") != F.col("tail")), "key")
-               .where((F.col("fp") != F.col("head")) & close("fp", "head", max_bits))
-               .select(F.col("fp").alias("a"), F.col("head").alias("b")).distinct())
+    own_key = Window.partitionBy("key")
+    heads = keyed(fps.select("fp", F.col("fp").alias("root")), False).select(
+        "fp", F.min("fp").over(own_key).alias("head"))
+    to_head = heads.where((F.col("fp") != F.col("head")) & close("fp", "head", max_bits)).select(
+        F.col("fp").alias("a"), F.col("head").alias("b")).distinct()
     first = stage(components(to_head))
+    named = stage(fps.join(first, fps.fp == first.node, "left").select("fp", F.coalesce("component", "fp").alias("root")))
 
-    def rooted(parts: DataFrame) -> DataFrame:
-        return fps.join(parts, fps.fp == parts.node, "left").select(
-            "fp", F.coalesce("component", "fp").alias("root"))
-
-    named = stage(rooted(first))
-
-    def with_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = coset_patterns()
-        for b in batches:
-            fp, root = (b.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-            key, row = golay_keys(fp, patterns)
-            yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int32)), pa.array(fp[row]), pa.array(root[row])],
-                                             names=["key", "fp", "root"])
-
-    again = named.select("fp", "root").mapInArrow(with_roots, "key int, fp long, root long")
-    mixed = again.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    open_keys = stage(again.join(mixed.select("key"), "key"))
-    left = open_keys.select("key", F.col("fp").alias("x"), F.col("root").alias("a"))
-    right = open_keys.select("key", F.col("fp").alias("y"), F.col("root").alias("b"))
+    mixed = keyed(named, True).select(
+        "*", F.min("root").over(own_key).alias("lo"), F.max("root").over(own_key).alias("hi"),
+        F.max("centre").over(own_key).alias("any")).where("lo < hi AND any").select("key", "fp", "root", "centre")
+    left = mixed.where("centre").select("key", F.col("fp").alias("x"), F.col("root").alias("a"))
+    right = mixed.select("key", F.col("fp").alias("y"), F.col("root").alias("b"))
     rest = left.join(right, "key").where((F.col("a") < F.col("b")) & close("x", "y", max_bits)).select(
         "a", "b").distinct()
     second = stage(components(rest))
