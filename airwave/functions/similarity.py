@@ -2,22 +2,20 @@
 
 This is the normalised Indel similarity (insertions and deletions only; a
 substitution costs two), 100 for two empty strings.  LCS is computed in the
-JVM with the bit-parallel recurrence (Allison-Dix / Hyyro) over a BIGINT:
-one AND/ADD/SUB/OR per character of the longer string.  Pairs whose shorter
-string exceeds 62 characters go through a small Arrow-batched helper that runs
-the same recurrence on Python integers.
+JVM with the bit-parallel recurrence (Allison-Dix / Hyyro): a string of up to
+62 characters is one BIGINT, a longer one an array of 62-bit words whose sums
+carry from word to word.  There is no Python worker at any length.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from airwave.functions.text import let
 
-MAX_NATIVE = 62
+WORD_BITS = 62
+FULL_WORD = (1 << WORD_BITS) - 1
 
 
 def _bit(i: Column) -> Column:
@@ -25,27 +23,29 @@ def _bit(i: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), i)
 
 
-def _lcs_native(a: Column, b: Column) -> Column:
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
+
+
+def _lcs_one_word(a: Column, b: Column) -> Column:
     """LCS length for ``length(a) <= 62`` (a: pattern, b: text).
 
     The pattern's characters, their position masks and each step's mask
     lookup are bound once with ``let``; lambdas would otherwise rebuild them
     on every character of ``b``.
     """
-    zero = F.lit(0).cast("bigint")
-
     def with_chars(chars):
         m = F.size(chars)
         full = _bit(m) - 1
 
         def with_keys(keys):
             masks = F.transform(keys, lambda k: F.aggregate(
-                F.sequence(F.lit(0), m - 1), zero,
-                lambda acc, i: acc.bitwiseOR(F.when(F.get(chars, i) == k, _bit(i)).otherwise(zero))))
+                F.sequence(F.lit(0), m - 1), _zero(),
+                lambda acc, i: acc.bitwiseOR(F.when(F.get(chars, i) == k, _bit(i)).otherwise(_zero()))))
 
             def with_table(table):
                 def step(v, c):
-                    return let(v.bitwiseAND(F.coalesce(F.try_element_at(table, c), zero)),
+                    return let(v.bitwiseAND(F.coalesce(F.try_element_at(table, c), _zero())),
                                lambda u: (v + u).bitwiseOR(v - u).bitwiseAND(full))
 
                 return m - F.bit_count(F.aggregate(F.split(b, ""), full, step))
@@ -57,43 +57,65 @@ def _lcs_native(a: Column, b: Column) -> Column:
     return let(F.split(a, ""), with_chars)
 
 
-def lcs_python(a: str, b: str) -> int:
-    """Same recurrence on Python integers (any length)."""
-    if len(a) > len(b):
-        a, b = b, a
-    if not a:
-        return 0
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    v = full
-    for ch in b:
-        u = v & masks.get(ch, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
+def _lcs_many_words(a: Column, b: Column) -> Column:
+    """The same recurrence over an array of 62-bit words, for a pattern of any length."""
+    def with_chars(chars):
+        m = F.size(chars)
+        last = F.floor((m - 1) / WORD_BITS).cast("int")
+        places = F.sequence(F.lit(0), last)
 
+        def mask(k: Column, w: Column) -> Column:
+            return F.aggregate(
+                F.sequence(F.lit(0), F.lit(WORD_BITS - 1)), _zero(),
+                lambda acc, i: acc.bitwiseOR(F.when(F.get(chars, w * WORD_BITS + i) == k, _bit(i)).otherwise(_zero())))
 
-@F.pandas_udf(T.IntegerType())
-def _lcs_batch(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([lcs_python(x, y) for x, y in zip(a, b)], dtype="int32")
+        def with_keys(keys):
+            masks = F.transform(keys, lambda k: F.transform(places, lambda w: mask(k, w)))
 
+            def with_table(table):
+                def next_words(v, marks):
+                    def add(acc, w):
+                        word = F.get(v, w)
+                        return let(word.bitwiseAND(F.get(marks, w)), lambda u: let(
+                            word + u + acc["carry"], lambda s: F.struct(
+                                F.call_function("shiftright", s, F.lit(WORD_BITS)).alias("carry"),
+                                F.array_append(acc["out"], s.bitwiseOR(word - u).bitwiseAND(
+                                    F.lit(FULL_WORD).cast("bigint"))).alias("out"))))
+
+                    start = F.struct(_zero().alias("carry"), F.array().cast("array<bigint>").alias("out"))
+                    return F.aggregate(places, start, add, lambda acc: acc["out"])
 
-def with_lcs(pairs: DataFrame, a: str, b: str, out: str = "lcs") -> DataFrame:
-    """Add the exact LCS length of columns ``a`` and ``b``.
+                def step(v, c):
+                    # A character the pattern lacks leaves the words as they are.
+                    return let(F.try_element_at(table, c),
+                               lambda marks: F.when(marks.isNull(), v).otherwise(next_words(v, marks)))
 
-    Short pairs (the shorter string up to 62 characters) stay in the JVM;
-    the rest is a separate, Arrow-batched branch so the helper never sees
-    the common case.
-    """
+                full = F.transform(places, lambda w: F.lit(FULL_WORD).cast("bigint"))
+                words = F.aggregate(F.split(b, ""), full, step)
+                used = F.transform(words, lambda x, w: F.bit_count(
+                    F.when(w == last, x.bitwiseAND(_bit(m - last * WORD_BITS) - 1)).otherwise(x)))
+                return m - F.aggregate(used, F.lit(0), lambda acc, x: acc + x)
+
+            return let(F.map_from_arrays(keys, masks), with_table)
+
+        return let(F.array_distinct(chars), with_keys)
+
+    return let(F.split(a, ""), with_chars)
+
+
+def lcs(a: Column, b: Column) -> Column:
+    """LCS length of two string columns of any length."""
     la, lb = F.length(a), F.length(b)
-    shorter = F.when(la <= lb, F.col(a)).otherwise(F.col(b))
-    longer = F.when(la <= lb, F.col(b)).otherwise(F.col(a))
-    native = F.least(la, lb) <= MAX_NATIVE
-    short = pairs.where(native).withColumn(
-        out, F.when(F.least(la, lb) == 0, F.lit(0)).otherwise(_lcs_native(shorter, longer)).cast("int"))
-    long = pairs.where(~native).withColumn(out, _lcs_batch(F.col(a), F.col(b)))
-    return short.unionByName(long)
+    shorter, longer = F.when(la <= lb, a).otherwise(b), F.when(la <= lb, b).otherwise(a)
+    least = F.least(la, lb)
+    return (F.when(least == 0, F.lit(0))
+            .when(least <= WORD_BITS, _lcs_one_word(shorter, longer))
+            .otherwise(_lcs_many_words(shorter, longer))).cast("int")
+
+
+def with_lcs(pairs: DataFrame, a: str, b: str, out: str = "lcs") -> DataFrame:
+    """Add the exact LCS length of columns ``a`` and ``b``."""
+    return pairs.withColumn(out, lcs(F.col(a), F.col(b)))
 
 
 def ratio(lcs: Column, len_a: Column, len_b: Column) -> Column:

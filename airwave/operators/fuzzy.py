@@ -1,106 +1,185 @@
 """Similarity self-join of names without comparing all pairs.
 
-Lossless blocking by segments (after PASS-JOIN, Li et al., VLDB 2012),
-adapted to the Indel distance ``d = m + n - 2 * LCS``:
-
-* ``ratio >= t``  <=>  ``d <= D(m, n) = floor((100 - t)(m + n) / 100)``, and
-  the length filter ``t (m + n) <= 200 min(m, n)`` holds.
-* For the shorter string (length ``m``), any admissible partner needs at most
-  ``K(m) = floor(2 (100 - t) m / t)`` edits.  Cut it into ``K + 1`` segments:
-  every edit touches at most one segment, so one segment survives intact and
-  appears in the longer string.  If segment ``s`` is the first intact one,
-  each earlier segment holds an edit, so the shift ``delta`` of its start
-  satisfies ``max(|delta|, s) + |n - m - delta| <= D(m, n)``.
-* The shorter side emits ``(m, s, segment)``; the longer side emits the
-  substrings at exactly those admissible positions; an equi-join on that key
-  yields every pair that can pass -- and only those are verified.
-
-Candidates then pass Spark's bounded ``levenshtein(a, b, D)`` (Levenshtein
-distance never exceeds Indel distance, so this drops no true pair) and the
-exact LCS check.  Everything is joins, explodes and native expressions; the
-name list is never collected.
+``ratio >= t`` means that the Indel distance ``d = m + n - 2 * LCS`` of strings
+of lengths ``m <= n`` is at most ``K(m, n)``: ``floor((100 - t)(m + n) / 100)``,
+lowered by one if its parity differs from ``m + n`` (``d`` has that parity).
+Blocking is lossless and depends on the two lengths alone:
+
+* **Equal letter counts** (up to ``BAG_EDITS`` edits).  One edit changes the
+  count of one character.  Deal the characters into ``G`` groups by a hash: at
+  most ``K`` groups differ, so at least ``G - K`` agree exactly, and the key is
+  any choice of ``s <= G - K`` groups with the letters each holds.  Parts that
+  many names share (a common word, a credit) do not make a candidate by
+  themselves: the rest of the letters must agree too.
+* **Rare characters** (more edits: long strings and low thresholds).  Common
+  characters, counted with multiplicity, number at least ``LCS``; so the pair
+  shares a token (character, occurrence) among the ``length - LCS + 1`` rarest
+  tokens of either string.  This works at any threshold above 0.
+
+The join itself also checks both lengths and the distance of the letter counts
+(two BIGINTs of unary counts: one XOR and a bit count), which no match exceeds.
+Candidates then pass Spark's bounded ``levenshtein(a, b, K)`` (never more than
+the Indel distance) and the exact LCS.  Everything is joins and native
+expressions; the only driver-made table lists the group choices (fixed size).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from airwave.functions.similarity import passes, ratio, with_lcs
+from airwave.functions.similarity import lcs, passes, ratio
 
+EPS = 1e-9
+BAG_EDITS = 12
+BUCKETS = 40
 
-def check_threshold(threshold: float) -> float:
-    t = float(threshold)
-    if not (200.0 / 3.0 < t <= 100.0):
-        # Below 2/3 a short name would need more segments than characters.
-        raise ValueError(f"fuzzy threshold must be in (66.7, 100], got {threshold}")
-    return t
+BAG, CHARS = 1, 0
 
 
-EPS = 1e-9
+def choice(k: int) -> tuple[int, int]:
+    """(groups, chosen groups) for k edits: more equal groups make a longer key, fewer make fewer keys."""
+    if k == 0:
+        return 1, 1
+    if k <= 5:
+        return 8, 8 - k
+    return (9, 3) if k == 6 else (k + 2, 2)
 
 
-def _floor(x):
-    """Floor of a ratio computed numerator-first; the epsilon only ever rounds
-    toward more segments / a wider budget, which keeps the blocking lossless."""
-    return F.floor(x + F.lit(EPS)).cast("int")
+def check_threshold(threshold: float) -> float:
+    """The threshold as a float; above 100 nothing matches, 0 and below is not a similarity join."""
+    t = float(threshold)
+    if not t > 0:
+        raise ValueError(f"fuzzy threshold must be above 0, got {threshold}")
+    return t
 
 
-def _segments(m, t: float):
-    """(K + 1, base length, number of longer segments) for length column ``m``."""
-    k = _floor(F.lit(2.0 * (100.0 - t)) * m / F.lit(t))
-    segs = k + 1
-    return k, segs, (m / segs).cast("int"), F.pmod(m, segs)
+def _floor(x: Column) -> Column:
+    """Floor that an inexact quotient can only raise: a wider budget stays lossless."""
+    return F.floor(x + F.lit(EPS)).cast("int")
 
 
-def _seg_start_len(s, segs, base, extra):
-    short_count = segs - extra
-    start = s * base + F.greatest(F.lit(0), s - short_count)
-    length = base + F.when(s >= short_count, 1).otherwise(0)
-    return start, length
+def edits(m: Column, n: Column, t: float) -> Column:
+    """K(m, n): the most edits of a pair of these lengths."""
+    most = _floor(F.lit(100.0 - t) * (m + n) / F.lit(100.0))
+    return most - F.pmod(most - m - n, F.lit(2))
+
+
+def longest_partner(m: Column, t: float) -> Column:
+    """The largest length that a string of length m can match (m the shorter)."""
+    return _floor(F.lit(200.0 - t) * m / F.lit(t))
+
+
+def method(m: Column, n: Column, t: float) -> Column:
+    """Which blocking serves a pair of lengths m <= n."""
+    return F.when(edits(m, n, t) <= BAG_EDITS, F.lit(BAG)).otherwise(F.lit(CHARS))
+
+
+def shapes(names: DataFrame, t: float) -> DataFrame:
+    """(m, n, k, method) for every pair of occurring lengths that can match."""
+    lengths = names.select("len").distinct()
+    m, n = F.col("m"), F.col("n")
+    pairs = lengths.select(F.col("len").alias("m")).withColumn("n", F.explode(F.sequence(m, longest_partner(m, t))))
+    return pairs.join(lengths.withColumnRenamed("len", "n"), "n").select(
+        "m", "n", edits(m, n, t).alias("k"), method(m, n, t).alias("method"))
+
+
+def _dealt(char: Column, groups: Column | int) -> Column:
+    return F.pmod(F.xxhash64(char), F.lit(groups) if isinstance(groups, int) else groups)
+
+
+def letter_counts(string: Column) -> tuple[Column, Column]:
+    """Unary letter counts (up to 3 for each of 40 buckets) in two BIGINTs.
+
+    The bit count of the XOR of two strings' values is at most their Indel distance.
+    """
+    half = BUCKETS // 2
+
+    def word(first: int) -> Column:
+        def add(acc: Column, g: Column) -> Column:
+            count = F.least(F.lit(3), F.size(F.filter(F.split(string, ""), lambda c: _dealt(c, BUCKETS) == g + first)))
+            unary = F.call_function("shiftleft", F.lit(1).cast("bigint"), count) - 1
+            return acc.bitwiseOR(F.call_function("shiftleft", unary, (g * 3).cast("int")))
+
+        return F.aggregate(F.sequence(F.lit(0), F.lit(half - 1)), F.lit(0).cast("bigint"), add)
+
+    return word(0), word(half)
+
+
+def group_choices(spark: SparkSession) -> DataFrame:
+    """(k, groups, number, members): every choice of groups for each number of edits."""
+    rows = []
+    for k in range(BAG_EDITS + 1):
+        groups, chosen = choice(k)
+        rows += [(k, groups, number, list(members))
+                 for number, members in enumerate(combinations(range(groups), chosen))]
+    return spark.createDataFrame(rows, "k int, groups int, number int, members array<int>")
+
+
+def bag_candidates(names: DataFrame, of_lengths: DataFrame, t: float) -> DataFrame:
+    used = of_lengths.where(F.col("method") == BAG)
+    budgets = used.select(F.col("m").alias("len"), "k").unionByName(used.select(F.col("n").alias("len"), "k")).distinct()
+    choices = F.broadcast(group_choices(names.sparkSession))
+    lo, hi = letter_counts(F.col("str"))
+    budgeted = names.select("str", "len", lo.alias("lo"), hi.alias("hi")).join(budgets, "len")
+    groups = choices.select("k", "groups").distinct()
+    letters = budgeted.join(F.broadcast(groups), "k").withColumn("held", F.transform(
+        F.sequence(F.lit(0), F.col("groups") - 1),
+        lambda g: F.xxhash64(F.array_join(F.array_sort(F.filter(
+            F.split("str", ""), lambda c: _dealt(c, F.col("groups")) == g)), ""))))
+    keyed = letters.join(choices.drop("groups"), "k").select(
+        F.xxhash64("k", "number", F.transform("members", lambda g: F.get("held", g))).alias("key"),
+        "k", "str", "len", "lo", "hi")
+    x, y = keyed.alias("x"), keyed.alias("y")
+    m, n = F.col("x.len"), F.col("y.len")
+    apart = (F.bit_count(F.col("x.lo").bitwiseXOR(F.col("y.lo")))
+             + F.bit_count(F.col("x.hi").bitwiseXOR(F.col("y.hi"))))
+    return x.join(y, F.col("x.key") == F.col("y.key")).where(
+        ((m < n) | ((m == n) & (F.col("x.str") < F.col("y.str")))) & (n <= longest_partner(m, t))
+        & (edits(m, n, t) == F.col("x.k")) & (F.col("x.k") == F.col("y.k")) & (apart <= F.col("x.k"))).select(
+        F.col("x.str").alias("a"), F.col("y.str").alias("b"))
+
+
+def rare_character_candidates(names: DataFrame, of_lengths: DataFrame, t: float) -> DataFrame:
+    rest = of_lengths.where(F.col("method") == CHARS)
+    concerned = rest.select(F.col("m").alias("len")).unionByName(rest.select(F.col("n").alias("len"))).distinct()
+    chars = names.join(concerned, "len", "left_semi").select(
+        "str", "len", F.posexplode(F.split("str", "")).alias("at", "char"))
+    tokens = chars.select("str", "len", "char", F.row_number().over(
+        Window.partitionBy("str", "char").orderBy("at")).alias("nth"))
+    rarity = tokens.groupBy("char", "nth").agg(F.count(F.lit(1)).alias("df"))
+    shortest = F.ceil(F.lit(t) * F.col("len") / F.lit(200.0 - t) - F.lit(EPS))
+    common = F.greatest(F.lit(1), F.ceil(F.lit(t) * (F.col("len") + shortest) / F.lit(200.0) - F.lit(EPS)))
+    kept = tokens.join(rarity, ["char", "nth"]).withColumn("rank", F.row_number().over(
+        Window.partitionBy("str").orderBy("df", "char", "nth"))).where(F.col("rank") <= F.col("len") - common + 1)
+    left = kept.select("char", "nth", F.col("str").alias("a"), F.col("len").alias("m"))
+    right = kept.select("char", "nth", F.col("str").alias("b"), F.col("len").alias("n"))
+    m, n = F.col("m"), F.col("n")
+    return left.join(right, ["char", "nth"]).where(
+        ((m < n) | ((m == n) & (F.col("a") < F.col("b")))) & (n <= longest_partner(m, t))
+        & (method(m, n, t) == CHARS)).select("a", "b")
 
 
 def candidate_pairs(names: DataFrame, threshold: float, col: str = "name", prefilter: bool = False) -> DataFrame:
     """Distinct pairs ``(a, b)``, ``a < b``, that share a block key (superset of matches)."""
     t = check_threshold(threshold)
-    base = names.select(F.col(col).alias("str")).where(F.col("str").isNotNull()).distinct()
-    base = base.withColumn("len", F.length("str"))
-
-    # shorter side: its own segments
-    k, segs, blen, extra = _segments(F.col("len"), t)
-    seg = base.withColumns({"segs": segs, "blen": blen, "extra": extra}).withColumn(
-        "s", F.explode(F.sequence(F.lit(0), F.col("segs") - 1)))
-    start, length = _seg_start_len(F.col("s"), F.col("segs"), F.col("blen"), F.col("extra"))
-    seg = seg.select(F.col("str").alias("a"), F.col("len").alias("m"), "s",
-                     F.substring(F.col("str"), start + 1, length).alias("key"))
-
-    # longer side: substrings at admissible positions for every admissible m
-    n = F.col("len")
-    m_lo = F.greatest(F.lit(1), F.ceil(F.lit(t) * n / F.lit(200.0 - t) - F.lit(EPS)).cast("int"))
-    probe = base.withColumn("m", F.explode(F.sequence(m_lo, n)))
-    k2, segs2, blen2, extra2 = _segments(F.col("m"), t)
-    probe = probe.withColumns({"segs": segs2, "blen": blen2, "extra": extra2,
-                               "D": _floor(F.lit(100.0 - t) * (F.col("m") + n) / F.lit(100.0))})
-    probe = probe.withColumn("s", F.explode(F.sequence(F.lit(0), F.col("segs") - 1)))
-    start2, length2 = _seg_start_len(F.col("s"), F.col("segs"), F.col("blen"), F.col("extra"))
-    probe = probe.withColumns({"start": start2, "seglen": length2}).withColumn(
-        "delta", F.explode(F.sequence(-F.col("D"), F.col("D"))))
-    gap = n - F.col("m")
-    probe = probe.where(
-        (F.greatest(F.abs(F.col("delta")), F.col("s")) + F.abs(gap - F.col("delta")) <= F.col("D"))
-        & (F.col("start") + F.col("delta") >= 0)
-        & (F.col("start") + F.col("delta") + F.col("seglen") <= n))
-    probe = probe.select(F.col("str").alias("b"), "m", "s",
-                         F.substring(F.col("str"), F.col("start") + F.col("delta") + 1, F.col("seglen")).alias("key"))
-
-    pairs = seg.join(probe, ["m", "s", "key"]).where(F.col("a") != F.col("b"))
+    every = names.select(F.col(col).alias("str")).where(F.col("str").isNotNull() & (F.col("str") != "")).distinct()
+    every = every.withColumn("len", F.length("str"))
+    if t > 100:
+        every = every.where(F.lit(False))
+    t = min(t, 100.0)
+    of_lengths = shapes(every, t)
+    pairs = bag_candidates(every, of_lengths, t).unionByName(rare_character_candidates(every, of_lengths, t))
     if prefilter:
-        # Drop hopeless pairs where the join emits them, before any shuffle:
-        # Levenshtein never exceeds the Indel distance, so no match is lost.
-        la, lb = F.length("a"), F.length("b")
-        budget = _floor(F.lit(100.0 - t) * (la + lb) / F.lit(100.0))
+        # Where the join emits them, before any shuffle: Levenshtein never exceeds the Indel distance.
+        budget = edits(F.length("a"), F.length("b"), t)
         pairs = pairs.where(F.call_function("levenshtein", F.col("a"), F.col("b"), budget) >= 0)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # Few bytes but much work follows, so the pairs keep all partitions.
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).repartition(
+        tasks, "a", "b").distinct()
 
 
 def similar_pairs(names: DataFrame, threshold: float, col: str = "name") -> DataFrame:
@@ -108,5 +187,7 @@ def similar_pairs(names: DataFrame, threshold: float, col: str = "name") -> Data
     t = check_threshold(threshold)
     cand = candidate_pairs(names, t, col, prefilter=True)
     la, lb = F.length("a"), F.length("b")
-    verified = with_lcs(cand, "a", "b").where(passes(F.col("lcs"), la, lb, t))
+    # A generator computes the LCS once; a filter above a projection would be pushed down and compute it twice.
+    found = F.filter(F.array(lcs(F.col("a"), F.col("b"))), lambda x: passes(x, la, lb, t))
+    verified = cand.select("a", "b", F.explode(found).alias("lcs"))
     return verified.select("a", "b", "lcs", ratio(F.col("lcs"), la, lb).alias("score"))
