@@ -31,12 +31,6 @@ def collapse_ws(c: Column) -> Column:
     return F.regexp_replace(c, UNICODE + r"\s+", " ")
 
 
-def blank_to_null(c: Column) -> Column:
-    """Trimmed text, NULL when nothing is left."""
-    s = py_strip(c)
-    return F.when(s != "", s)
-
-
 def truthy(c: Column) -> Column:
     """Python truthiness of a text value: not NULL and not ''."""
     return c.isNotNull() & (c != "")

@@ -5,11 +5,10 @@ each not-yet-processed artist with at least one unprocessed match a centre;
 its unprocessed matches join it.  Centres are therefore the lexicographically
 first maximal independent set in that order, and every other artist joins its
 earliest adjacent centre -- which rounds reproduce exactly (Blelloch, Fineman
-and Shun, SPAA 2012): an undecided node with no undecided earlier neighbour
-decides now; its undecided neighbours become members of the earliest such
-centre.  Each round is a few joins and aggregates over the edge list, its
-state is checkpointed to the shared folder, and the loop ends when nothing is
-undecided.  This is not connected components: A~B, B~C, A!~C leaves C alone.
+and Shun, SPAA 2012): an undecided node with no undecided earlier neighbour is
+a centre, its undecided neighbours are not; whom they join is settled when all
+centres are known.  Each round is a few joins and aggregates over the edges still open,
+written to the shared folder, and the loop ends when none is left.  This is not connected components: A~B, B~C, A!~C leaves C alone.
 
 Case variants (same lower-case text) are one node; a node with two or more
 spellings always forms a group when visited, as in the original.
@@ -17,15 +16,15 @@ spellings always forms a group when visited, as in the original.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airwave.functions import rules
 from airwave.functions.clean import python_title, strip_the
 from airwave.operators.fuzzy import similar_pairs
-from airwave.session import checkpoint_dir, durable
-
-MAX_ROUNDS = 10_000
+from airwave.session import durable, release
 
 
 def order_key(count_col: str = "play_count", name_col: str = "name"):
@@ -40,51 +39,44 @@ def entries_of(artists: DataFrame) -> DataFrame:
 
 
 def greedy_groups(artists: DataFrame, threshold: float, edges: DataFrame | None = None) -> DataFrame:
-    """Assign each clustered node to its centre: (node, centre, score to centre)."""
-    spark = artists.sparkSession
-    checkpoint_dir(spark)
+    """Assign each clustered node to its centre: (node, centre, score to centre).
+
+    The rounds carry forward only the edges whose both ends are undecided, so
+    they shrink; each decides at least the earliest node left, so they end.
+    Nodes left without an edge are centres of their own spellings, or alone.
+    """
     ent = entries_of(artists)
-    nodes = ent.groupBy("node").agg(F.min("ord").alias("ord"), (F.count(F.lit(1)) >= 2).alias("multi"))
+    nodes = durable(ent.groupBy("node").agg(
+        F.min("ord").alias("ord"), ((F.count(F.lit(1)) >= 2) & F.lit(threshold <= 100)).alias("multi")))
     if edges is None:
         edges = similar_pairs(nodes.select(F.col("node").alias("name")), threshold)
-    und = edges.select(F.col("a").alias("u"), F.col("b").alias("v"), "score").unionByName(
-        edges.select(F.col("b").alias("u"), F.col("a").alias("v"), "score"))
-    und = durable(und)
-    linked = und.select(F.col("u").alias("node")).distinct().withColumn("linked", F.lit(True))
-    state = durable(nodes.join(linked, "node", "left").select(
-        "node", "ord", "multi",
-        F.when(F.col("multi") | F.col("linked").isNotNull(), F.lit("U")).otherwise(F.lit("S")).alias("status"),
-        F.lit(None).cast("string").alias("centre")))
-
-    for _ in range(MAX_ROUNDS):
-        undecided = state.where(F.col("status") == "U").select("node", "ord", "multi")
-        if undecided.isEmpty():
-            break
-        uu = undecided.select(F.col("node").alias("u"), F.col("ord").alias("ord_u"))
-        vv = undecided.select(F.col("node").alias("v"), F.col("ord").alias("ord_v"))
-        live = und.join(uu, "u").join(vv, "v")
-        blocked = live.where(F.col("ord_v") < F.col("ord_u")).select(F.col("u").alias("node")).distinct()
-        has_live = live.select(F.col("u").alias("node")).distinct().withColumn("has_live", F.lit(True))
-        ready = undecided.join(blocked, "node", "left_anti").join(has_live, "node", "left")
-        centres = ready.where(F.col("multi") | F.col("has_live").isNotNull()).select(
-            F.col("node").alias("c"), F.col("ord").alias("ord_c"))
-        singles = ready.where(~F.col("multi") & F.col("has_live").isNull()).select("node")
-        members = live.join(centres, live["u"] == centres["c"]).groupBy("v").agg(
-            F.min_by("c", "ord_c").alias("centre"))
-        decided = (centres.select(F.col("c").alias("node"), F.lit("C").alias("new_status"), F.col("c").alias("new_centre"))
-                   .unionByName(members.select(F.col("v").alias("node"), F.lit("M").alias("new_status"),
-                                               F.col("centre").alias("new_centre")))
-                   .unionByName(singles.select("node", F.lit("S").alias("new_status"),
-                                               F.lit(None).cast("string").alias("new_centre"))))
-        state = durable(state.join(decided, "node", "left").select(
-            "node", "ord", "multi",
-            F.coalesce("new_status", "status").alias("status"),
-            F.coalesce("new_centre", "centre").alias("centre")))
-    else:
-        raise RuntimeError("clustering did not converge")
-
-    grouped = state.where(F.col("status").isin("C", "M")).select("node", "centre")
-    scores = und.select(F.col("u").alias("centre"), F.col("v").alias("node"), "score")
+    edges = durable(edges.select("a", "b", "score"))
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
+        edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    graph = durable(both.join(nodes.select(F.col("node").alias("u"), F.col("ord").alias("ord_u")), "u")
+                    .join(nodes.select(F.col("node").alias("v"), F.col("ord").alias("ord_v")), "v"))
+    live, chosen = graph, [nodes.select(F.col("node").alias("u")).limit(0)]
+    while not live.isEmpty():
+        first = live.groupBy("u", "ord_u").agg(F.min("ord_v").alias("rival"))
+        centres = durable(first.where(F.col("ord_u") < F.col("rival")).select("u"))
+        chosen.append(centres)
+        out = centres.unionByName(live.join(centres, "u", "left_semi").select(F.col("v").alias("u"))).distinct()
+        after = durable(live.join(out, "u", "left_anti").join(out.withColumnRenamed("u", "v"), "v", "left_anti"))
+        if live is not graph:
+            release(live)
+        live = after
+    centres = durable(reduce(DataFrame.unionByName, chosen))
+    # Only now are all centres known: every other node joins the earliest one next to it.
+    members = graph.join(centres, "u").join(centres.withColumnRenamed("u", "v"), "v", "left_anti").groupBy(
+        F.col("v").alias("node")).agg(F.min_by("u", "ord_u").alias("centre"))
+    grouped = durable(members.unionByName(centres.select(F.col("u").alias("node"), F.col("u").alias("centre"))))
+    # A centre whose neighbours all joined earlier centres forms no group.
+    joined = grouped.where("node <> centre").select("centre").distinct()
+    grouped = grouped.join(joined, "centre", "left_semi").select("node", "centre")
+    alone = nodes.where("multi").select("node").join(grouped.select("node"), "node", "left_anti")
+    grouped = grouped.unionByName(alone.select("node", F.col("node").alias("centre")))
+    scores = edges.select(F.col("a").alias("centre"), F.col("b").alias("node"), "score").unionByName(
+        edges.select(F.col("b").alias("centre"), F.col("a").alias("node"), "score"))
     return grouped.join(scores, ["centre", "node"], "left").select(
         "node", "centre", F.coalesce("score", F.lit(100.0)).alias("score"))
 
@@ -121,10 +113,9 @@ def canonical_names(artists: DataFrame, groups: DataFrame) -> DataFrame:
 
 def fuzzy_map(artists: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(mapping lower(name) -> canonical, matches in the ArtistMatch shape)."""
-    groups = greedy_groups(artists, threshold)
-    ent = canonical_names(artists, groups)
+    ent = durable(canonical_names(artists, greedy_groups(artists, threshold)))
     mapping = ent.where(F.lower("name") != F.lower("canonical")).groupBy(F.lower("name").alias("old_key")).agg(
-        F.first("canonical").alias("new_name"))
+        F.min("canonical").alias("new_name"))
     matches = ent.select(F.col("name").alias("original_name"), F.col("canonical").alias("canonical_name"),
                          F.col("score").alias("similarity_score"), F.col("play_count").cast("bigint").alias("play_count"))
     return mapping, matches

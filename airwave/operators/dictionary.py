@@ -4,9 +4,8 @@ Play logs repeat the same raw artist and song strings millions of times, and
 the cleaners are long regex chains.  ``map_distinct`` evaluates an expensive
 expression once per distinct key: a partial + final aggregate finds the keys
 (map-side combine, so hot keys never pile up in one task), the dictionary is
-checkpointed to the shared checkpoint folder, its measured size decides
-between a broadcast hash join and the plain per-row expression.  The fact
-table is never shuffled for this.
+written to the shared checkpoint folder, and its measured size decides between
+a broadcast hash join and a shuffle join.
 """
 
 from __future__ import annotations
@@ -15,21 +14,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airwave.session import checkpoint_dir, durable
+from airwave.session import durable
 
-# Broadcast bounds: rows and UTF-8 bytes of the string columns.  A broadcast
-# table is held once per executor, so keep this well under executor memory.
+# Broadcast bounds: rows and bytes.  A broadcast table is held once per executor
+# as a hash table of a few times its plain size, and a plan may hold several.
 MAX_BROADCAST_ROWS = 2_000_000
-MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def measured_size(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes of string/binary columns + 8 per other column) in one pass."""
+    """(rows, bytes) in one pass: text length of strings, binaries, arrays, maps and structs; 8 for the rest."""
     parts = [F.count(F.lit(1)).alias("rows")]
     width = F.lit(0).cast("bigint")
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
         else:
             width = width + F.lit(8)
     parts.append(F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
@@ -47,21 +48,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 
 def map_distinct(df: DataFrame, keys: list[str], outputs: dict[str, Column],
-                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
-                 source: DataFrame | None = None) -> DataFrame:
+                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``df.withColumns(outputs)`` computed once per distinct ``keys`` value.
 
     ``outputs`` may only read the ``keys`` columns.  NULL keys match NULL keys.
-    ``source``: a smaller table holding every key of ``df`` (e.g. a shared,
-    checkpointed distinct of several key columns) to take the keys from
-    instead of scanning ``df`` again.
+    The dictionary is written once; within the bounds it is broadcast, beyond
+    them it is joined by a shuffle in which adaptive execution splits hot keys.
     """
-    checkpoint_dir(df.sparkSession)
-    keys_from = source if source is not None else df
-    table = durable(keys_from.select(*keys).distinct().withColumns(outputs))
-    table, small = broadcast_if_small(table, max_rows, max_bytes)
-    if not small:
-        return df.withColumns(outputs)
+    table = durable(df.select(*keys).distinct().withColumns(outputs))
+    table, _ = broadcast_if_small(table, max_rows, max_bytes)
     renamed = table.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *outputs.keys())
     cond = None
     for i, k in enumerate(keys):

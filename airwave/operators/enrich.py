@@ -10,22 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.functions.text import truthy, truthy_number
+from airwave.functions.text import py_strip, truthy, truthy_number
 from airwave.operators.dictionary import broadcast_if_small
-from airwave.session import checkpoint_dir, durable
+from airwave.session import durable
 
 
-def lookup_keys(records: DataFrame, keys: list[str], limit: int | None = None) -> DataFrame:
+def lookup_keys(records: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct non-blank lookup keys of the records (D1; blank keys are never looked up).
 
-    ``limit`` caps the keys in key order (T6, the original's testing cap);
-    the default looks up every key.
+    Every key is looked up; the original's testing cap (T6) is not built.
     """
     df = records.select(*keys).distinct()
     for k in keys:
-        df = df.where(F.col(k).isNotNull() & (F.trim(F.col(k)) != ""))
-    if limit is not None:
-        df = df.orderBy(*keys).limit(limit)
+        df = df.where(F.col(k).isNotNull() & (py_strip(F.col(k)) != ""))
     return df
 
 
@@ -44,8 +41,7 @@ def cache_misses(keys: DataFrame, cache: DataFrame, key_map: dict[str, str]) ->
 
 
 def _dimension(df: DataFrame) -> DataFrame:
-    """Checkpoint a per-key table and broadcast it if its measured size allows."""
-    checkpoint_dir(df.sparkSession)
+    """Write a per-key table once and broadcast it if its measured size allows."""
     dim, _ = broadcast_if_small(durable(df))
     return dim
 

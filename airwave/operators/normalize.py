@@ -16,10 +16,7 @@ from airwave.functions.text import py_strip
 from airwave.operators import merge, stats
 from airwave.operators.cluster import fuzzy_map, order_key
 from airwave.operators.dictionary import broadcast_if_small
-from airwave.operators.fuzzy import check_threshold
-from airwave.session import checkpoint_dir, durable
-
-CHAIN_STEPS = 3  # rename chains up to 2**3 links are followed to the end
+from airwave.session import durable, release
 
 
 def artist_counts(records: DataFrame) -> DataFrame:
@@ -27,13 +24,13 @@ def artist_counts(records: DataFrame) -> DataFrame:
     return stats.artist_play_counts(records).select(F.col("artist_clean").alias("name"), "play_count")
 
 
-def the_prefix_map(artists: DataFrame) -> DataFrame:
-    """"The X" vs "X" spellings -> (old_key, new_name).
+def the_prefix_entries(artists: DataFrame) -> DataFrame:
+    """"The X" vs "X" spellings -> (old_key, new_name, ord).
 
     For each "The ..." artist whose remainder also exists as an artist (case-
     insensitively; the least played spelling stands for that key), the "The"
     form wins for well-known bands or when it has at least as many plays.
-    The first mapping per key in play-count order wins.
+    The first entry per key in play-count order wins; ``ord`` is its place.
     """
     a = artists.select("name", "play_count", order_key().alias("ord"))
     by_lower = a.groupBy(F.lower("name").alias("lk")).agg(
@@ -46,7 +43,12 @@ def the_prefix_map(artists: DataFrame) -> DataFrame:
                        F.col("name")).otherwise(F.col("base_name"))
     to_update = F.when(preferred == F.col("name"), F.col("base_name")).otherwise(F.col("name"))
     cand = j.select(F.lower(to_update).alias("old_key"), preferred.alias("new_name"), "ord")
-    return cand.groupBy("old_key").agg(F.min_by("new_name", "ord").alias("new_name"))
+    return cand.groupBy("old_key").agg(F.min_by("new_name", "ord").alias("new_name"), F.min("ord").alias("ord"))
+
+
+def the_prefix_map(artists: DataFrame) -> DataFrame:
+    """(old_key, new_name) of the "The" rule."""
+    return the_prefix_entries(artists).select("old_key", "new_name")
 
 
 def remaining_after(artists: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -56,21 +58,35 @@ def remaining_after(artists: DataFrame, mapping: DataFrame) -> DataFrame:
     return artists.join(handled, F.lower(artists["name"]) == handled["k"], "left_anti")
 
 
-def resolve_chains(mapping: DataFrame, steps: int = CHAIN_STEPS) -> DataFrame:
-    """Follow rename chains (a -> B, b -> C gives a -> C); maps are cycle-free."""
-    m = mapping
-    for _ in range(steps):
-        nxt = m.select(F.col("old_key").alias("k2"), F.col("new_name").alias("n2"))
-        m = m.join(nxt, F.lower(m["new_name"]) == nxt["k2"], "left").select(
-            "old_key", F.coalesce("n2", "new_name").alias("new_name"))
-    return m
+def resolve_renames(entries: DataFrame) -> DataFrame:
+    """Final name of every key: (old_key, new_name, ord) -> (old_key, new_name).
+
+    Renames run in ``ord`` order, and the whole pass is repeated until names
+    stay as they are.  An entry leads on to the entry of its new name, so
+    chains (stacked "The The X") are followed to their end.  Two entries may
+    lead to each other when "The X" has several spellings; then the later one
+    has the last word, as its rename runs after the other.  Links are followed
+    by doubling, until no entry leads anywhere.
+    """
+    e = entries.withColumn("leads_to", F.lower("new_name"))
+    back = e.select(F.col("old_key").alias("k"), F.col("leads_to").alias("back_to"), F.col("ord").alias("other"))
+    state = durable(e.join(back, e["leads_to"] == back["k"], "left").select(
+        "old_key", "new_name",
+        F.when(F.col("k").isNotNull() & (F.col("leads_to") != F.col("old_key"))
+               & ~((F.col("back_to") == F.col("old_key")) & (F.col("ord") > F.col("other"))),
+               F.col("leads_to")).alias("leads_to")))
+    while not state.where(F.col("leads_to").isNotNull()).isEmpty():
+        onward = state.select(F.col("old_key").alias("k"), F.col("new_name").alias("n"), F.col("leads_to").alias("l"))
+        after = durable(state.join(onward, state["leads_to"] == onward["k"], "left").select(
+            "old_key", F.coalesce("n", "new_name").alias("new_name"), F.col("l").alias("leads_to")))
+        release(state)
+        state = after
+    return state.select("old_key", "new_name")
 
 
 def apply_mapping(records: DataFrame, mapping: DataFrame, col: str = "artist_clean") -> DataFrame:
     """Rename ``col`` where lower(col) is a mapping key (K6); adds ``renamed`` flag."""
-    checkpoint_dir(records.sparkSession)
-    dim, _ = broadcast_if_small(durable(mapping.select(F.col("old_key").alias("__k"),
-                                                       F.col("new_name").alias("__n"))))
+    dim, _ = broadcast_if_small(mapping.select(F.col("old_key").alias("__k"), F.col("new_name").alias("__n")))
     j = records.join(dim, F.lower(records[col]) == dim["__k"], "left")
     return j.withColumns({col: F.coalesce("__n", col), "renamed": F.col("__k").isNotNull()}).drop("__k", "__n")
 
@@ -84,10 +100,16 @@ class Normalized:
     matches: DataFrame | None
 
     def metrics(self) -> dict:
-        """Counts as the original reports them (a few small actions)."""
-        return {"the_normalizations": self.the_map.count(), "fuzzy_normalizations": self.fuzzy.count(),
-                "total_normalizations": self.mapping.count(),
-                "total_records_updated": self.records.where(F.col("renamed")).count()}
+        """Sizes of the maps and the renamed plays, in one aggregate."""
+        def tagged(df: DataFrame, tag: str, flag=F.lit(True)) -> DataFrame:
+            return df.select(F.lit(tag).alias("tag"), flag.alias("flag"))
+
+        every = (tagged(self.the_map, "the").unionByName(tagged(self.fuzzy, "fuzzy"))
+                 .unionByName(tagged(self.mapping, "all")).unionByName(tagged(self.records, "plays", F.col("renamed"))))
+        row = every.agg(*[F.count_if((F.col("tag") == t) & F.col("flag")).alias(t)
+                          for t in ("the", "fuzzy", "all", "plays")]).first()
+        return {"the_rule": row["the"], "fuzzy_groups": row["fuzzy"], "names_mapped": row["all"],
+                "plays_renamed": row["plays"]}
 
 
 def name_mapping(artists: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD):
@@ -96,21 +118,23 @@ def name_mapping(artists: DataFrame, threshold: float | None = rules.DEFAULT_FUZ
     ``threshold`` None or <= 0 skips fuzzy matching, as the original does.
     """
     spark = artists.sparkSession
-    the_map = the_prefix_map(artists)
+    entries = durable(the_prefix_entries(artists))
+    the_map = entries.select("old_key", "new_name")
     if threshold is not None and threshold > 0:
-        check_threshold(threshold)
         fuzzy, matches = fuzzy_map(remaining_after(artists, the_map), threshold)
+        fuzzy = durable(fuzzy)
     else:
         fuzzy, matches = spark.createDataFrame([], "old_key string, new_name string"), None
-    mapping = resolve_chains(merge.union_prefer_last(the_map, fuzzy, ["old_key"]))
-    return mapping, the_map, fuzzy, matches
+    # Fuzzy keys and names are disjoint from those of the "The" rule (J5), so their order does not matter.
+    last = F.struct(F.lit(1 << 62).cast("bigint").alias("neg_plays"), F.lit("").alias("name"))
+    every = merge.union_prefer_last(entries, fuzzy.withColumn("ord", last), ["old_key"])
+    return resolve_renames(every), the_map, fuzzy, matches
 
 
 def normalize_artists(records: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD) -> Normalized:
     """A4 -> J4 -> J5 -> C1 -> D2 -> K6 on the records."""
     artists = durable(artist_counts(records))
     mapping, the_map, fuzzy, matches = name_mapping(artists, threshold)
-    mapping = durable(mapping)
     return Normalized(apply_mapping(records, mapping), mapping, the_map, fuzzy, matches)
 
 
@@ -130,7 +154,7 @@ def threshold_sweep(records: DataFrame, thresholds=(95.0, 90.0, 85.0), n: int =
         artists = base.where(F.col("artist_clean").isNotNull() & (F.col("artist_clean") != "")).select(
             F.col("artist_clean").alias("name"), "play_count")
         mapping, _, _, _ = name_mapping(artists, t)
-        renamed = apply_mapping(base, durable(mapping)).groupBy("artist_clean").agg(
+        renamed = apply_mapping(base, mapping).groupBy("artist_clean").agg(
             F.sum("play_count").cast("bigint").alias("play_count"))
         renamed = durable(renamed)
         top = stats.numbered(renamed, [F.desc("play_count"), F.asc_nulls_first("artist_clean")], n)

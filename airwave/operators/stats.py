@@ -1,9 +1,11 @@
 """Counts, roll-ups, top/bottom lists and samples over the records table.
 
-All aggregations run as partial + final hash aggregates (map-side combine),
-so a hot artist or callsign never lands whole in one task.  Top/bottom lists
-are ``orderBy(...).limit(n)`` which Spark plans as TakeOrderedAndProject
-(per-partition top-n, no full sort); ranks are numbered after the limit.
+Aggregations over the plays are partial + final hash aggregates of counts and
+sums (map-side combine), so a hot artist or callsign never lands whole in one
+task; ``min`` of names, which Spark can only sort for, runs on the small result
+of such an aggregate.  Top/bottom lists are ``orderBy(...).limit(n)`` which
+Spark plans as TakeOrderedAndProject (per-partition top-n, no full sort); ranks
+are numbered after the limit.
 """
 
 from __future__ import annotations
@@ -15,29 +17,29 @@ from airwave.functions.text import (bucketed_duration, display_name, export_disp
                                     preview, status_label)
 
 
-def numbered(df: DataFrame, order: list[Column], n: int | None, rank_col: str = "rank") -> DataFrame:
-    """Top ``n`` rows in ``order`` with a 1-based rank.
+def numbered(df: DataFrame, order: list[Column], n: int, rank_col: str = "rank") -> DataFrame:
+    """Top ``n`` rows in ``order`` with a 1-based rank (T1, T2, W1); the rank window sees ``n`` rows."""
+    return df.orderBy(*order).limit(n).withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
 
-    With ``n`` given the rank window sees at most ``n`` rows (after the
-    limit); without it the rank is a global sort, fine for report-sized input.
-    """
-    top = df.orderBy(*order)
-    if n is not None:
-        top = top.limit(n)
-    return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+
+def _spellings(df: DataFrame, name: Column, *sums: Column) -> DataFrame:
+    """Counts and sums per (name, artist_clean, artist_lastfm): the hash aggregate over the plays."""
+    return df.groupBy(name.alias("name"), "artist_clean", "artist_lastfm").agg(
+        F.count(F.lit(1)).alias("play_count"), *sums)
 
 
 def listening_time(records: DataFrame) -> DataFrame:
     """Per display artist: plays, average and total seconds, formatted."""
     df = records.where(F.col("track_duration").isNotNull() & (F.col("track_duration") > 0)
                        & F.col("artist_clean").isNotNull())
-    g = df.groupBy(display_name(F.col("artist_lastfm"), F.col("artist_clean")).alias("display_name")).agg(
+    per_spelling = _spellings(df, display_name(F.col("artist_lastfm"), F.col("artist_clean")),
+                              F.sum("track_duration").cast("bigint").alias("seconds"))
+    g = per_spelling.groupBy(F.col("name").alias("display_name")).agg(
         F.min("artist_clean").alias("artist_clean"),
         F.min("artist_lastfm").alias("artist_lastfm"),
-        F.count(F.lit(1)).alias("play_count"),
-        F.avg("track_duration").alias("avg_duration_seconds"),
-        F.sum("track_duration").cast("bigint").alias("total_listening_seconds"),
-    )
+        F.sum("play_count").alias("play_count"),
+        F.sum("seconds").alias("total_listening_seconds"),
+    ).withColumn("avg_duration_seconds", F.col("total_listening_seconds").cast("double") / F.col("play_count"))
     return g.withColumns({
         "total_listening_time": bucketed_duration(F.col("total_listening_seconds")),
         "avg_duration": mmss(F.col("avg_duration_seconds")),
@@ -52,11 +54,12 @@ def top_listening_time(records: DataFrame, n: int = 10) -> DataFrame:
 
 def plays_by_display(records: DataFrame) -> DataFrame:
     """Plays per display artist (A8 body)."""
-    return records.where(F.col("artist_clean").isNotNull()).groupBy(
-        display_name(F.col("artist_lastfm"), F.col("artist_clean")).alias("display_name")).agg(
+    named = records.where(F.col("artist_clean").isNotNull())
+    return _spellings(named, display_name(F.col("artist_lastfm"), F.col("artist_clean"))).groupBy(
+        F.col("name").alias("display_name")).agg(
         F.min("artist_clean").alias("artist_clean"),
         F.min("artist_lastfm").alias("artist_lastfm"),
-        F.count(F.lit(1)).alias("play_count"))
+        F.sum("play_count").alias("play_count"))
 
 
 def bottom_artists(records: DataFrame, n: int = 10) -> DataFrame:
@@ -82,8 +85,9 @@ def distinct_artist_rollup(records: DataFrame) -> DataFrame:
     """Distinct display artists with plays, ordered count desc, name asc."""
     df = records.where(F.col("artist_clean").isNotNull() & (F.col("artist_clean") != "")
                        & (F.trim(F.col("artist_clean")) != ""))
-    g = df.groupBy(export_display_name(F.col("artist_lastfm"), F.col("artist_clean")).alias("artist_name")).agg(
-        F.count(F.lit(1)).alias("play_count"),
+    per_spelling = _spellings(df, export_display_name(F.col("artist_lastfm"), F.col("artist_clean")))
+    g = per_spelling.groupBy(F.col("name").alias("artist_name")).agg(
+        F.sum("play_count").alias("play_count"),
         F.min("artist_clean").alias("artist_clean"),
         F.min("artist_lastfm").alias("artist_lastfm"))
     return g.orderBy(F.desc("play_count"), F.asc("artist_name"))
@@ -106,9 +110,9 @@ def distinct_raw_artists(records: DataFrame) -> DataFrame:
     return records.select("raw_artist").distinct()
 
 
-def count_distinct_with_null(df: DataFrame, column: str) -> int:
-    """Number of distinct values where NULL counts (A10); a small action."""
-    return df.select(column).distinct().count()
+def distinct_count(df: DataFrame, column: str) -> DataFrame:
+    """One row: the number of distinct values, NULL being one (A10)."""
+    return df.select(column).distinct().agg(F.count(F.lit(1)).alias("distinct_count"))
 
 
 def parse_coverage(records: DataFrame) -> DataFrame:
@@ -162,14 +166,16 @@ def artist_cache_preview(cache: DataFrame, n: int | None = None) -> DataFrame:
 def track_sample(track_cache: DataFrame, n: int = 5, seed: int = 7) -> DataFrame:
     """Random ``n`` tracks with a positive duration.
 
-    Ordering by a seeded random key with a limit plans as a per-partition
-    top-n, not a full sort.
+    The order is a hash of key and seed, so the same seed gives the same sample
+    however the table is partitioned; with the limit it plans as a
+    per-partition top-n, not a full sort.
     """
     df = track_cache.where(F.col("duration") > 0).select(
         "artist_clean", "song_clean", "duration",
         preview(F.col("track_mbid"), 8).alias("mbid_preview"),
         mmss(F.col("duration")).alias("duration_text"))
-    return df.orderBy(F.rand(seed)).limit(n)
+    drawn = F.md5(F.concat_ws("|", F.col("artist_clean"), F.col("song_clean"), F.lit(str(seed))))
+    return df.orderBy(drawn, "artist_clean", "song_clean").limit(n)
 
 
 def like_filter(records: DataFrame, column: str, pattern: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 
 from airwave.operators import enrich, merge
 from airwave.operators.shape import METADATA_COLUMNS, add_empty_columns
-from airwave.sources import derived
+from airwave.session import durable
 from airwave.sources.responses import (ARTIST_CACHE_COLUMNS, TRACK_CACHE_COLUMNS, parse_artist_responses,
                                        parse_cover_responses, parse_track_responses)
 
@@ -15,9 +16,20 @@ ARTIST_KEY = ["artist_name"]
 TRACK_KEY = ["artist_clean", "song_clean"]
 
 
+@dataclass
+class Inputs:
+    """What a run reads besides the log: the previous caches and this run's answers."""
+
+    artist_cache: DataFrame
+    track_cache: DataFrame
+    artist_answers: DataFrame
+    track_answers: DataFrame
+    covers: DataFrame
+
+
 def artist_cache_rows(responses: DataFrame, covers: DataFrame) -> DataFrame:
     """Parsed answers reduced to the cache state per artist (S6 + W2)."""
-    parsed = parse_artist_responses(responses, covers).drop("lookup_name")
+    parsed = parse_artist_responses(responses, parse_cover_responses(covers)).drop("lookup_name")
     return merge.one_per_key(parsed, ARTIST_KEY, "seq").select(*ARTIST_CACHE_COLUMNS)
 
 
@@ -26,35 +38,26 @@ def track_cache_rows(responses: DataFrame) -> DataFrame:
     return merge.one_per_key(parse_track_responses(responses), TRACK_KEY, "seq").select(*TRACK_CACHE_COLUMNS)
 
 
-def covers(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_cover_responses(derived.cover_responses(spark, sf))
-
-
-def previous_artist_cache(spark: SparkSession, sf: str) -> DataFrame:
-    return artist_cache_rows(derived.previous_artist_responses(spark, sf), covers(spark, sf))
-
-
-def previous_track_cache(spark: SparkSession, sf: str) -> DataFrame:
-    return track_cache_rows(derived.previous_track_responses(spark, sf))
+def lookups_of(records: DataFrame) -> DataFrame:
+    """Every distinct lookup of the records, written once: keys, misses and answers all start from it."""
+    return durable(records.select("raw_artist", "raw_song", "artist_clean", "song_clean").distinct())
 
 
-def refresh_artist_cache(spark: SparkSession, sf: str, records: DataFrame, cache: DataFrame,
+def refresh_artist_cache(lookups: DataFrame, cache: DataFrame, answers: DataFrame, covers: DataFrame,
                          action_col: str | None = None) -> DataFrame:
-    """Look up every artist of ``records``: hits stay, misses are fetched and merged."""
-    keys = enrich.lookup_keys(records, ["artist_clean"])
+    """Look up every artist: hits stay, misses are fetched and merged."""
+    keys = enrich.lookup_keys(lookups, ["artist_clean"])
     misses = enrich.cache_misses(keys, cache, {"artist_clean": "artist_name"})
-    answers = derived.artist_responses(spark, sf, records).join(misses, "artist_clean", "left_semi")
-    updates = artist_cache_rows(answers, covers(spark, sf))
+    updates = artist_cache_rows(answers.join(misses, "artist_clean", "left_semi"), covers)
     return merge.merge_by_key(cache, updates, ARTIST_KEY, ARTIST_CACHE_COLUMNS[1:], action_col=action_col)
 
 
-def refresh_track_cache(spark: SparkSession, sf: str, records: DataFrame, cache: DataFrame,
+def refresh_track_cache(lookups: DataFrame, cache: DataFrame, answers: DataFrame,
                         action_col: str | None = None) -> DataFrame:
-    """Look up every (artist, song) of ``records`` through the track cache."""
-    keys = enrich.lookup_keys(records, TRACK_KEY)
+    """Look up every (artist, song) through the track cache."""
+    keys = enrich.lookup_keys(lookups, TRACK_KEY)
     misses = enrich.cache_misses(keys, cache, {"artist_clean": "artist_clean", "song_clean": "song_clean"})
-    answers = derived.track_responses(spark, sf, records).join(misses, TRACK_KEY, "left_semi")
-    updates = track_cache_rows(answers)
+    updates = track_cache_rows(answers.join(misses, TRACK_KEY, "left_semi"))
     return merge.merge_by_key(cache, updates, TRACK_KEY, TRACK_CACHE_COLUMNS[2:], action_col=action_col)
 
 

@@ -1,22 +1,23 @@
-"""The whole job as one set of lazy plans (C4).
+"""The whole job (C4).
 
 raw log -> clean columns (once per distinct value) -> records layout ->
 artist and track metadata through the caches -> name normalisation -> one
-write.  Only the checkpointed per-artist / per-track tables and the name
-graph are materialised on the way; the plays are read once per stage that
-needs them and written once at the end.
+write -> statistics.  Building the plan runs the jobs that must be measured or
+looped over (dictionaries, lookups, caches, the name graph); the plays
+themselves are written once at the end.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airwave.functions import rules
 from airwave.operators import enrich, normalize, shape
-from airwave.plans import metadata, sinks
+from airwave.plans import metadata, reports, sinks
+from airwave.session import durable
 from airwave.sources import derived
 
 
@@ -26,6 +27,7 @@ class PipelineResult:
     artist_cache: DataFrame
     track_cache: DataFrame
     mapping: DataFrame
+    statistics: dict
 
 
 def records_from_log(raw: DataFrame) -> DataFrame:
@@ -38,13 +40,20 @@ def records_from_log(raw: DataFrame) -> DataFrame:
     return shape.add_empty_columns(df, shape.METADATA_COLUMNS)
 
 
-def run(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
-        threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD, out_dir: str | None = None) -> PipelineResult:
-    """End-to-end job; ``raw`` defaults to the log derived from the driver tables."""
-    raw = raw if raw is not None else derived.raw_log(spark, sf_dir)
-    records = records_from_log(raw)
-    artist_cache = metadata.refresh_artist_cache(spark, sf_dir, records, metadata.previous_artist_cache(spark, sf_dir))
-    track_cache = metadata.refresh_track_cache(spark, sf_dir, records, metadata.previous_track_cache(spark, sf_dir))
+def run(log: DataFrame, inputs_for, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD,
+        out_dir: str | None = None) -> PipelineResult:
+    """The job over a log and its caches and answers.
+
+    ``inputs_for``: the ``metadata.Inputs`` of this run, or a function that
+    makes them from the table of distinct lookups (whoever fetches the answers
+    needs to know what to ask for).
+    """
+    records = records_from_log(log)
+    lookups = metadata.lookups_of(records)
+    given = inputs_for(lookups) if callable(inputs_for) else inputs_for
+    artist_cache = durable(metadata.refresh_artist_cache(
+        lookups, durable(given.artist_cache), given.artist_answers, given.covers))
+    track_cache = durable(metadata.refresh_track_cache(lookups, durable(given.track_cache), given.track_answers))
     enriched = enrich.enrich_tracks(enrich.enrich_artists(records, artist_cache), track_cache)
     result = normalize.normalize_artists(enriched, threshold)
     final = result.records.drop("renamed").withColumns(
@@ -53,4 +62,6 @@ def run(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None,
         sinks.save(final, f"{out_dir}/music_records", mode="overwrite")
         sinks.save(artist_cache, f"{out_dir}/artist_images", mode="overwrite")
         sinks.save(track_cache, f"{out_dir}/track_info", mode="overwrite")
-    return PipelineResult(final, artist_cache, track_cache, result.mapping)
+        final = final.sparkSession.read.schema(final.schema).parquet(f"{out_dir}/music_records")
+    return PipelineResult(final, artist_cache, track_cache, result.mapping,
+                          reports.statistics(final, artist_cache, track_cache))

@@ -1,16 +1,26 @@
-"""Registered queries: each takes (spark, sf_dir) and returns a lazy DataFrame.
+"""Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Every query reads the driver's tables (or plans Spark derives from them)
-whole; limits appear only where a top-k or sample is the feature.
+whole; limits appear only where a top-k or sample is the feature.  Building a
+query that needs a dictionary, a cache or the name graph runs those jobs;
+only clean columns that a query reads are computed.
 """
 
 from __future__ import annotations
 
+import uuid
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airwave.operators import shape, stats
-from airwave.sources import derived
+from airwave.operators import enrich, merge, normalize, shape, stats
+from airwave.operators.cluster import fuzzy_map
+from airwave.operators.fuzzy import similar_pairs
+from airwave.plans import metadata, pipeline, sinks
+from airwave.session import checkpoint_dir, durable
+from airwave.sources import derived, tables
+from airwave.sources.responses import parse_artist_responses, parse_cover_responses, parse_track_responses
 
 REGISTRY: dict = {}
 
@@ -22,62 +32,62 @@ def register(fn):
 
 @register
 def top_listening_time(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.top_listening_time(derived.plays(spark, sf))
+    return stats.top_listening_time(derived.plays(spark, sf, "artist_clean"))
 
 
 @register
 def bottom_artists(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.bottom_artists(derived.plays(spark, sf))
+    return stats.bottom_artists(derived.plays(spark, sf, "artist_clean"))
 
 
 @register
 def top_artists(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.top_artists(derived.plays(spark, sf))
+    return stats.top_artists(derived.plays(spark, sf, "artist_clean"))
 
 
 @register
 def artist_play_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.artist_play_counts(derived.plays(spark, sf))
+    return stats.artist_play_counts(derived.plays(spark, sf, "artist_clean"))
 
 
 @register
 def distinct_artist_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.distinct_artist_rollup(derived.plays(spark, sf))
+    return stats.distinct_artist_rollup(derived.plays(spark, sf, "artist_clean"))
 
 
 @register
 def records_per_callsign(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.records_per_callsign(derived.plays(spark, sf))
+    return stats.records_per_callsign(derived.raw_plays(spark, sf))
 
 
 @register
 def distinct_raw_artists(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.distinct_raw_artists(derived.plays(spark, sf))
+    return stats.distinct_raw_artists(derived.raw_plays(spark, sf))
 
 
 @register
 def parse_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.parse_coverage(derived.plays(spark, sf))
+    return stats.parse_coverage(derived.plays(spark, sf, "time_unix"))
 
 
 @register
 def clean_artists(spark: SparkSession, sf: str) -> DataFrame:
-    return derived.plays(spark, sf).select("raw_artist", "artist_clean").distinct()
+    return derived.plays(spark, sf, "artist_clean").select("raw_artist", "artist_clean").distinct()
 
 
 @register
 def clean_songs(spark: SparkSession, sf: str) -> DataFrame:
-    return derived.plays(spark, sf).select("raw_song", "song_clean").distinct()
+    return derived.plays(spark, sf, "song_clean").select("raw_song", "song_clean").distinct()
 
 
 @register
 def parse_time(spark: SparkSession, sf: str) -> DataFrame:
-    return derived.plays(spark, sf).select("raw_time", "time_unix").distinct()
+    return derived.plays(spark, sf, "time_unix").select("raw_time", "time_unix").distinct()
 
 
 @register
 def like_filter(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.like_filter(derived.plays(spark, sf), "raw_artist", "%ring%").select(
+    return stats.like_filter(derived.plays(spark, sf, "artist_clean"), "raw_artist", "%ring%").select(
         "play_key", "raw_artist", "artist_clean")
 
 
@@ -86,17 +96,109 @@ def shape_columns(spark: SparkSession, sf: str) -> DataFrame:
     return shape.to_records(derived.raw_log(spark, sf))
 
 
-# ------------------------------------------------------------ metadata (C4)
-from airwave.operators import enrich  # noqa: E402
-from airwave.plans import metadata  # noqa: E402
-from airwave.sources.responses import (parse_artist_responses, parse_cover_responses,  # noqa: E402
-                                       parse_track_responses)
+@register
+def clean_plays(spark: SparkSession, sf: str) -> DataFrame:
+    return derived.plays(spark, sf).select("play_key", "artist_clean", "song_clean", "time_unix")
+
+
+@register
+def distinct_raw_artist_count(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.distinct_count(derived.raw_plays(spark, sf), "raw_artist")
+
+
+@register
+def append_union(spark: SparkSession, sf: str) -> DataFrame:
+    plays = derived.raw_plays(spark, sf)
+    return merge.append(plays.where("first_play").select("play_key", "raw_artist", "raw_song"),
+                        plays.where("NOT first_play").select("play_key", "raw_artist", "callsign"))
+
+
+# ------------------------------------------------------- files
+def _scratch(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/export-{uuid.uuid4().hex}"
+
+
+@register
+def log_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The log written as a ``;`` file with a header and read back."""
+    folder = _scratch(spark)
+    derived.raw_log(spark, sf).write.options(sep=";", header=True, ignoreLeadingWhiteSpace=False,
+                                             ignoreTrailingWhiteSpace=False).csv(folder)
+    return tables.read_play_log(spark, folder)
+
+
+@register
+def export_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """A table exported as CSV with a header and read back (K2)."""
+    plays = derived.raw_plays(spark, sf).select("play_key", "callsign", "raw_time", "track_duration")
+    (path,) = sinks.export_csv({"plays": plays}, _scratch(spark))
+    return spark.read.schema(plays.schema).option("header", True).csv(path)
+
+
+@register
+def rollup_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The sorted roll-up exported as CSV and read back (K3; tests check the order of the files)."""
+    path = sinks.export_rollup(derived.plays(spark, sf, "artist_clean"), _scratch(spark))
+    return spark.read.option("header", True).schema(
+        "artist_name string, play_count long, artist_clean string, artist_lastfm string").csv(path)
+
+
+@register
+def save_rate(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows attempted and saved when the plays are appended twice."""
+    plays, path = derived.raw_plays(spark, sf).select("play_key", "raw_artist"), _scratch(spark)
+    rows = [(k, r["total_records"], r["saved_records"], r["success_rate"])
+            for k, r in enumerate((sinks.save(plays, path), sinks.save(plays, path)), 1)]
+    return spark.createDataFrame(rows, "run int, total_records long, saved_records long, success_rate double")
+
 
+# ------------------------------------------------------------ metadata (C4)
 CACHE_VALUES = ["artist_name", "artist_lastfm", "image_url", "mbid", "fetch_success", "error_message"]
 TRACK_VALUES = ["artist_clean", "song_clean", "artist_lastfm", "song_lastfm", "duration", "track_mbid",
                 "fetch_success", "error_message"]
 
 
+class Caches:
+    """The derived inputs of a run, each made once and only when asked for."""
+
+    def __init__(self, spark: SparkSession, sf: str, records: DataFrame | None = None):
+        self.spark, self.sf, self.records = spark, sf, records
+
+    @cached_property
+    def covers(self) -> DataFrame:
+        return derived.cover_responses(self.spark, self.sf)
+
+    @cached_property
+    def previous_artists(self) -> DataFrame:
+        return durable(metadata.artist_cache_rows(derived.previous_artist_responses(self.spark, self.sf), self.covers))
+
+    @cached_property
+    def previous_tracks(self) -> DataFrame:
+        return durable(metadata.track_cache_rows(derived.previous_track_responses(self.spark, self.sf)))
+
+    @cached_property
+    def artist_lookups(self) -> DataFrame:
+        plays = self.records if self.records is not None else derived.plays(self.spark, self.sf, "artist_clean")
+        return durable(plays.select("raw_artist", "artist_clean").distinct())
+
+    @cached_property
+    def lookups(self) -> DataFrame:
+        return metadata.lookups_of(self.records if self.records is not None else derived.plays(
+            self.spark, self.sf, "artist_clean", "song_clean"))
+
+    def artists(self, action_col: str | None = None) -> DataFrame:
+        return metadata.refresh_artist_cache(self.artist_lookups, self.previous_artists,
+                                             derived.artist_responses(self.artist_lookups), self.covers, action_col)
+
+    def tracks(self, action_col: str | None = None) -> DataFrame:
+        return metadata.refresh_track_cache(self.lookups, self.previous_tracks,
+                                            derived.track_responses(self.lookups), action_col)
+
+    def inputs(self, lookups: DataFrame) -> metadata.Inputs:
+        return metadata.Inputs(self.previous_artists, self.previous_tracks, derived.artist_responses(lookups),
+                               derived.track_responses(lookups), self.covers)
+
+
 @register
 def cover_response_parse(spark: SparkSession, sf: str) -> DataFrame:
     return parse_cover_responses(derived.cover_responses(spark, sf))
@@ -104,101 +206,88 @@ def cover_response_parse(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def artist_response_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_artist_responses(derived.artist_responses(spark, sf), metadata.covers(spark, sf))
+    made = Caches(spark, sf)
+    return parse_artist_responses(derived.artist_responses(made.artist_lookups), parse_cover_responses(made.covers))
 
 
 @register
 def track_response_parse(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_track_responses(derived.track_responses(spark, sf))
+    return parse_track_responses(derived.track_responses(Caches(spark, sf).lookups))
 
 
 @register
 def cache_hits(spark: SparkSession, sf: str) -> DataFrame:
-    keys = enrich.lookup_keys(derived.plays(spark, sf), ["artist_clean"])
-    return enrich.cache_hits(keys, metadata.previous_artist_cache(spark, sf), {"artist_clean": "artist_name"})
+    made = Caches(spark, sf)
+    return enrich.cache_hits(enrich.lookup_keys(made.artist_lookups, ["artist_clean"]), made.previous_artists,
+                             {"artist_clean": "artist_name"})
 
 
 @register
 def cache_misses(spark: SparkSession, sf: str) -> DataFrame:
-    keys = enrich.lookup_keys(derived.plays(spark, sf), ["artist_clean"])
-    return enrich.cache_misses(keys, metadata.previous_artist_cache(spark, sf), {"artist_clean": "artist_name"})
+    made = Caches(spark, sf)
+    return enrich.cache_misses(enrich.lookup_keys(made.artist_lookups, ["artist_clean"]), made.previous_artists,
+                               {"artist_clean": "artist_name"})
 
 
 @register
 def merge_artist_cache(spark: SparkSession, sf: str) -> DataFrame:
-    merged = metadata.refresh_artist_cache(spark, sf, derived.plays(spark, sf),
-                                           metadata.previous_artist_cache(spark, sf), action_col="action")
-    return merged.select(*CACHE_VALUES, "action")
+    return Caches(spark, sf).artists("action").select(*CACHE_VALUES, "action")
 
 
 @register
 def merge_track_cache(spark: SparkSession, sf: str) -> DataFrame:
-    merged = metadata.refresh_track_cache(spark, sf, derived.plays(spark, sf),
-                                          metadata.previous_track_cache(spark, sf), action_col="action")
-    return merged.select(*TRACK_VALUES, "action")
-
-
-def _enriched_artists(spark: SparkSession, sf: str):
-    records = derived.plays(spark, sf)
-    cache = metadata.refresh_artist_cache(spark, sf, records, metadata.previous_artist_cache(spark, sf))
-    return records, cache, enrich.enrich_artists(metadata.empty_records(records), cache)
+    return Caches(spark, sf).tracks("action").select(*TRACK_VALUES, "action")
 
 
 @register
 def enrich_artists(spark: SparkSession, sf: str) -> DataFrame:
-    _, _, out = _enriched_artists(spark, sf)
+    records = derived.plays(spark, sf, "artist_clean")
+    out = enrich.enrich_artists(metadata.empty_records(records), Caches(spark, sf, records).artists())
     return out.select("play_key", "artist_clean", "artist_lastfm", "artist_image_url", "artist_mbid")
 
 
 @register
 def enrich_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    records, _, out = _enriched_artists(spark, sf)
-    tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
-    return enrich.enrich_tracks(out, tracks).select(
+    records = derived.plays(spark, sf, "artist_clean", "song_clean")
+    made = Caches(spark, sf, records)
+    out = enrich.enrich_artists(metadata.empty_records(records), made.artists())
+    return enrich.enrich_tracks(out, made.tracks()).select(
         "play_key", "artist_clean", "song_clean", "artist_lastfm", "song_lastfm", "track_duration", "track_mbid")
 
 
 @register
 def fetch_status(spark: SparkSession, sf: str) -> DataFrame:
-    _, cache, _ = _enriched_artists(spark, sf)
-    return stats.fetch_status(cache)
+    return stats.fetch_status(Caches(spark, sf).artists())
 
 
 @register
 def summary_stats(spark: SparkSession, sf: str) -> DataFrame:
-    records, cache, _ = _enriched_artists(spark, sf)
-    tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
-    return stats.database_stats(records, cache, tracks).drop("timestamp")
+    records = derived.plays(spark, sf)
+    made = Caches(spark, sf, records)
+    return stats.database_stats(records, made.artists(), made.tracks()).drop("timestamp")
 
 
 @register
 def duration_counts(spark: SparkSession, sf: str) -> DataFrame:
-    records = derived.plays(spark, sf)
-    tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
-    return stats.duration_counts(records, tracks)
+    records = derived.plays(spark, sf, "artist_clean", "song_clean")
+    return stats.duration_counts(records.withColumn("time_unix", F.lit(None).cast("bigint")),
+                                 Caches(spark, sf, records).tracks())
 
 
 @register
 def previews(spark: SparkSession, sf: str) -> DataFrame:
-    _, cache, _ = _enriched_artists(spark, sf)
-    return stats.artist_cache_preview(cache)
+    return stats.artist_cache_preview(Caches(spark, sf).artists())
 
 
 @register
 def random_sample(spark: SparkSession, sf: str) -> DataFrame:
-    records = derived.plays(spark, sf)
-    tracks = metadata.refresh_track_cache(spark, sf, records, metadata.previous_track_cache(spark, sf))
-    return stats.track_sample(tracks)
+    return stats.track_sample(Caches(spark, sf).tracks())
 
 
 # ------------------------------------------------------- name normalisation
-from airwave.operators import normalize  # noqa: E402
-from airwave.operators.cluster import fuzzy_map  # noqa: E402
-from airwave.operators.fuzzy import similar_pairs  # noqa: E402
-
 
 def _artists(spark: SparkSession, sf: str):
-    return normalize.artist_counts(derived.plays(spark, sf))
+    return normalize.artist_counts(derived.plays(spark, sf, "artist_clean"))
 
 
 @register
@@ -208,7 +297,7 @@ def the_prefix_map(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def remaining_after_the(spark: SparkSession, sf: str) -> DataFrame:
-    artists = _artists(spark, sf)
+    artists = durable(_artists(spark, sf))
     return normalize.remaining_after(artists, normalize.the_prefix_map(artists))
 
 
@@ -220,34 +309,32 @@ def fuzzy_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def fuzzy_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    artists = _artists(spark, sf)
+    artists = durable(_artists(spark, sf))
     _, matches = fuzzy_map(normalize.remaining_after(artists, normalize.the_prefix_map(artists)), 90.0)
     return matches
 
 
 @register
 def normalize_map(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize.normalize_artists(derived.plays(spark, sf), 90.0).mapping
+    return normalize.normalize_artists(derived.plays(spark, sf, "artist_clean"), 90.0).mapping
 
 
 @register
 def normalized_plays(spark: SparkSession, sf: str) -> DataFrame:
-    out = normalize.normalize_artists(derived.plays(spark, sf), 90.0).records
+    out = normalize.normalize_artists(derived.plays(spark, sf, "artist_clean"), 90.0).records
     return out.groupBy("artist_clean").agg(F.count(F.lit(1)).alias("play_count"),
                                            F.count_if(F.col("renamed")).alias("renamed_plays"))
 
 
 @register
 def threshold_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize.threshold_sweep(derived.plays(spark, sf))
+    return normalize.threshold_sweep(derived.plays(spark, sf, "artist_clean"))
 
 
 # ------------------------------------------------------------- whole job
-from airwave.plans import pipeline  # noqa: E402
-
 
 @register
 def pipeline_records(spark: SparkSession, sf: str) -> DataFrame:
-    out = pipeline.run(spark, sf).records
+    out = pipeline.run(derived.raw_log(spark, sf), Caches(spark, sf).inputs).records
     return out.select("unique_id", "artist_clean", "song_clean", "time_unix", "artist_lastfm",
                       "song_lastfm", "track_duration", "artist_image_url")

@@ -4,33 +4,42 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from airwave.operators import stats
+from airwave.schemas import path_exists
 
 log = logging.getLogger(__name__)
 
 
 def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
          partition_by: list[str] | None = None) -> dict:
-    """Append ``df`` to the table at ``path`` (K1); counts come from the write itself.
+    """Write ``df`` to the table at ``path`` (K1) and measure what arrived.
 
-    Returns rows attempted / saved and the success rate (A13).  An empty
-    input is reported and nothing is written.  Spark's writer commits
-    atomically per job, so a failed write leaves no partial batch behind.
+    The rows attempted are observed as they enter the write, the rows saved are
+    counted in the table before and after it.  An empty input is reported; an
+    append of it changes nothing.  Spark's writer commits per job, so a failed
+    write leaves no partial batch behind.
     """
-    if df.isEmpty():
-        log.warning("empty DataFrame, nothing to save")
-        return {"saved": False, "total_records": 0, "saved_records": 0, "success_rate": 0.0}
+    spark = df.sparkSession
+    before = 0 if mode == "overwrite" else _rows(spark, path, fmt)
     obs = Observation("save")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    rows = int(obs.get["rows"])
-    return {"saved": rows > 0, "total_records": rows, "saved_records": rows,
-            "success_rate": round(100.0 * rows / rows, 1) if rows else 0.0}
+    attempted = int(obs.get["rows"])
+    saved = _rows(spark, path, fmt) - before
+    if not attempted:
+        log.warning("empty DataFrame, nothing to save")
+    return {"saved": saved > 0, "total_records": attempted, "saved_records": saved,
+            "success_rate": round(100.0 * saved / attempted, 1) if attempted else 0.0}
+
+
+def _rows(spark: SparkSession, path: str, fmt: str) -> int:
+    """Rows of the table at ``path``; 0 if there is none."""
+    return spark.read.format(fmt).load(path).count() if path_exists(spark, path) else 0
 
 
 def export_csv(tables: dict[str, DataFrame], out_dir: str) -> list[str]:

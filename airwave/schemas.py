@@ -41,10 +41,14 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def create_if_absent(spark: SparkSession, name: str, schema: T.StructType, location: str) -> DataFrame:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; any other failure to look is an error."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def create_if_absent(spark: SparkSession, schema: T.StructType, location: str) -> DataFrame:
     """Create an empty parquet table at ``location`` unless one exists; return it."""
-    try:
-        return spark.read.schema(schema).parquet(location)
-    except Exception:  # noqa: BLE001 - absent path
-        empty(spark, schema).write.mode("ignore").parquet(location)
-        return spark.read.schema(schema).parquet(location)
+    if not path_exists(spark, location):
+        empty(spark, schema).write.parquet(location)
+    return spark.read.schema(schema).parquet(location)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,35 +43,40 @@ def get_session(app: str = "airwave", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, making sure the context uses it.
+    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    The folder comes from ``spark.checkpoint.dir`` (a shared file system on a
-    cluster).  Only a local-mode session without that setting, as in tests,
-    gets a fresh scratch folder of its own.
+    Only a local session without that setting, as in tests, gets a scratch
+    folder of its own, which goes when the process ends.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
         configured = tempfile.mkdtemp(prefix="airwave-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
+        sc.setCheckpointDir(configured)
+        configured = sc.getCheckpointDir()
+    return configured
 
 
 def durable(df):
-    """Checkpoint ``df`` to the shared folder, computing it once.
+    """Write ``df`` into the shared folder and read it back: computed once, lineage cut.
 
-    A reliable checkpoint writes the data in a second job; persisting first
-    lets that job read the cached blocks instead of recomputing the plan.
-    The cache is dropped once the files are written, so a lost executor costs
-    nothing: the checkpoint files are the lineage from here on.
+    A lost executor costs a re-read of the written files.  ``release`` deletes
+    them when nothing reads them any more; the rest goes with the folder.
     """
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist()
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.durable_path = path
     return out
+
+
+def release(df) -> None:
+    """Delete the files behind a ``durable`` table."""
+    path = getattr(df, "durable_path", None)
+    if path:
+        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)

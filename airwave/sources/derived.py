@@ -15,26 +15,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airwave.functions.clean import clean_artist, clean_song
+from airwave.functions.text import lookup_term
 from airwave.functions.timeparse import parse_time
 from airwave.operators.dictionary import map_distinct
-from airwave.session import durable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    Large inputs arrive in many splits and pass through untouched; a small
-    file with a single row group would otherwise keep every per-row
-    expression on one core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+# Names that the band rules of cleaning and matching know, and one that is close to such a name.
+BANDS = ("beatles", "the beatles", "kinks", "kinkss", "Guess Who", "THE CLASH")
 
 
 def _mod_case(key: Column, mod: int, branches: dict, default: Column) -> Column:
@@ -47,23 +38,35 @@ def _mod_case(key: Column, mod: int, branches: dict, default: Column) -> Column:
 
 def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One play per line item: raw text columns plus seeded metadata."""
-    li = spread(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate"))
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     j = li.join(part, li.l_partkey == part.p_partkey)
     name, ok, ln = F.col("p_name"), F.col("l_orderkey"), F.col("l_linenumber")
-    raw_artist = _mod_case(ok, 11, {
+    band = F.element_at(F.array(*[F.lit(b) for b in BANDS]), F.pmod(F.col("p_size"), F.lit(len(BANDS))) + 1)
+    raw_artist = _mod_case(ok, 19, {
         0: F.concat(F.lit("The "), name),
         1: F.upper(name),
         2: F.concat(name, F.lit(" FT. "), F.col("p_brand")),
         3: F.concat(F.lit('"'), name, F.lit('"')),
         4: F.concat(F.lit("  "), name, F.lit(" (Live)")),
-        5: F.concat(F.substring(name, 1, 4), F.substring(name, 4, 100)),
-        6: F.concat(F.substring(name, 1, 3), F.substring(name, 5, 100)),
+        5: F.concat(F.substring(name, 1, 4), F.substr(name, F.lit(4))),
+        6: F.concat(F.substring(name, 1, 3), F.substr(name, F.lit(5))),
         7: F.when(ln == 1, F.lit(None).cast("string")).otherwise(name),
+        8: F.concat(F.lit("The The "), name),
+        9: F.concat(name, F.lit(" [Remaster] {x}")),
+        10: F.concat(F.lit("..."), name, F.lit(" \u2013 duo..")),
+        11: F.concat(F.lit("dj "), name, F.lit(" ,ok;yes:no!now?")),
+        12: band,
+        13: F.concat(F.lit("The "), name, F.lit(" of the sea")),
+        14: F.concat(name, F.lit(" of the sea")),
+        15: F.upper(F.concat(F.lit("The "), name, F.lit(" of the sea"))),
     }, name)
     raw_song = F.concat(F.lower(F.col("p_type")), _mod_case(ln, 5, {
         0: F.lit(" with a twist"), 1: F.lit(" (Acoustic)"), 2: F.lit(": the end"), 3: F.lit(" VS night"),
+    }, F.lit("")), _mod_case(ok, 9, {
+        0: F.lit(" (Radio Edit)"), 1: F.lit(" feat. dj x"), 2: F.lit("..."), 3: F.lit(" [Mix] (remix)"),
+        4: F.lit(" \u2014 'the' end, of it"),
     }, F.lit("")))
     callsign = F.when(F.pmod(F.col("l_suppkey"), F.lit(10)) == 3, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit("K"), F.col("l_suppkey").cast("string")))
@@ -94,23 +97,25 @@ def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_clean_columns(df: DataFrame, artist: str = "raw_artist", song: str = "raw_song",
-                       time: str = "raw_time") -> DataFrame:
-    """artist_clean, song_clean (once per distinct raw value) and time_unix (per row).
+CLEAN_COLUMNS = ("artist_clean", "song_clean", "time_unix")
+
+
+def with_clean_columns(df: DataFrame, artist: str = "raw_artist", song: str = "raw_song", time: str = "raw_time",
+                       columns: tuple = CLEAN_COLUMNS) -> DataFrame:
+    """The asked-for clean columns: artists and songs once per distinct raw value, times per row.
 
-    One partial + final aggregate over the plays finds the distinct (artist,
-    song) pairs; both dictionaries are built from that checkpoint, so the
-    fact table is scanned once for keys.
+    A dictionary is only built for a column that is asked for.
     """
-    pairs = durable(df.select(artist, song).distinct())
-    df = map_distinct(df, [artist], {"artist_clean": clean_artist(artist)}, source=pairs)
-    df = map_distinct(df, [song], {"song_clean": clean_song(song)}, source=pairs)
-    return df.withColumn("time_unix", parse_time(time))
+    if "artist_clean" in columns:
+        df = map_distinct(df, [artist], {"artist_clean": clean_artist(artist)})
+    if "song_clean" in columns:
+        df = map_distinct(df, [song], {"song_clean": clean_song(song)})
+    return df.withColumn("time_unix", parse_time(time)) if "time_unix" in columns else df
 
 
-def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned plays: the raw columns plus artist_clean, song_clean, time_unix."""
-    return with_clean_columns(raw_plays(spark, sf_dir))
+def plays(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Raw plays with the named clean columns (all of CLEAN_COLUMNS if none is named)."""
+    return with_clean_columns(raw_plays(spark, sf_dir), columns=columns or CLEAN_COLUMNS)
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +135,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ----------------------------------------------------------------- responses
 # Stand-ins for the web-service answers.  A previous run's answers come from
 # ``part`` (one call per part, several per artist); this run's answers come
-# from the plays' own distinct lookups.  Outcomes spread by a CASE over a
+# from the plays' own distinct lookups, given as a table.  Outcomes spread by a CASE over a
 # number derived from the row, covering found / blank image / no image key /
 # not found / bad JSON / timeout (408) / server error (500).
 
@@ -160,6 +165,7 @@ def _track_body(sel: Column, song: Column, artist: Column, mbid: Column) -> tupl
         .when(sel == 4, F.lit('{"track":{"artist":{"name":""}}}'))
         .when(sel == 5, F.lit('{"error":6}'))
         .when(sel == 7, F.lit("{bad"))
+        .when(sel == 9, F.concat(F.lit('{"track":{"name":"'), song, F.lit('","duration":215000.5}}')))
     )
     return status, body
 
@@ -173,11 +179,10 @@ def previous_artist_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_partkey").alias("seq"), status.alias("status_code"), body.alias("body"))
 
 
-def artist_responses(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
-    """This run's artist answers: one per distinct (raw_artist, artist_clean) lookup."""
-    records = records if records is not None else plays(spark, sf_dir)
-    keys = records.where(F.col("artist_clean") != "").select("raw_artist", "artist_clean").distinct()
-    lookup = F.coalesce(F.when(F.col("raw_artist") != "", F.col("raw_artist")), F.col("artist_clean"))
+def artist_responses(lookups: DataFrame) -> DataFrame:
+    """Artist answers, one per distinct (raw_artist, artist_clean) of ``lookups``."""
+    keys = lookups.where(F.col("artist_clean") != "").select("raw_artist", "artist_clean").distinct()
+    lookup = lookup_term(F.col("raw_artist"), F.col("artist_clean"))
     sel = F.pmod(F.length(lookup) * 3 + F.length("artist_clean"), F.lit(7))
     status, body = _artist_body(sel, F.upper("artist_clean"),
                                 F.concat(F.lit("m"), F.length(lookup).cast("string")))
@@ -200,21 +205,20 @@ def cover_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def previous_track_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A previous run's track answers: one per part, keyed by cleaned name and type."""
     p = table(spark, sf_dir, "part")
-    sel = F.pmod(F.col("p_partkey"), F.lit(9))
+    sel = F.pmod(F.col("p_partkey"), F.lit(10))
     status, body = _track_body(sel, F.col("p_type"), F.col("p_name"),
                                F.concat(F.lit("t"), F.col("p_size").cast("string")))
     return p.select(clean_artist("p_name").alias("artist_clean"), clean_song(F.lower("p_type")).alias("song_clean"),
                     F.col("p_partkey").alias("seq"), status.alias("status_code"), body.alias("body"))
 
 
-def track_responses(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
-    """This run's track answers: one per distinct (raw artist, raw song, clean keys) lookup."""
-    records = records if records is not None else plays(spark, sf_dir)
-    keys = records.where((F.col("artist_clean") != "") & (F.col("song_clean") != "")).select(
+def track_responses(lookups: DataFrame) -> DataFrame:
+    """Track answers, one per distinct (raw artist, raw song, clean keys) of ``lookups``."""
+    keys = lookups.where((F.col("artist_clean") != "") & (F.col("song_clean") != "")).select(
         "raw_artist", "raw_song", "artist_clean", "song_clean").distinct()
-    la = F.coalesce(F.when(F.col("raw_artist") != "", F.col("raw_artist")), F.col("artist_clean"))
-    ls = F.coalesce(F.when(F.col("raw_song") != "", F.col("raw_song")), F.col("song_clean"))
-    sel = F.pmod(F.length(la) + F.length(ls), F.lit(9))
+    la = lookup_term(F.col("raw_artist"), F.col("artist_clean"))
+    ls = lookup_term(F.col("raw_song"), F.col("song_clean"))
+    sel = F.pmod(F.length(la) + F.length(ls), F.lit(10))
     status, body = _track_body(sel, F.upper("song_clean"), F.col("artist_clean"),
                                F.concat(F.lit("t"), F.length(ls).cast("string")))
     return keys.select("artist_clean", "song_clean", F.concat(la, F.lit("|"), ls).alias("seq"),

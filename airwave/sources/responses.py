@@ -124,7 +124,11 @@ def parse_track_responses(responses: DataFrame) -> DataFrame:
     found = ~timeout & ~http_error & ~invalid & F.array_contains(keys, "track")
     raw_ms = py_strip(track.getField("duration"))
     ms = F.when(raw_ms.rlike(INTEGER_PATTERN), F.regexp_replace(raw_ms, "_", "").try_cast("bigint"))
-    duration = F.when(_nonblank(track.getField("duration")) & (ms > 0), F.floor(ms / 1000)).cast("int")
+    # A JSON number is truncated like int() does; a string must be a whole number.
+    number = F.from_json(body, "struct<track: struct<duration: double>>").getField("track").getField("duration")
+    whole = F.when(F.abs(number) < 1e18, number).cast("bigint")
+    duration = (F.when(number.isNotNull(), F.when(whole > 0, F.floor(whole / 1000)))
+                .when(_nonblank(track.getField("duration")) & (ms > 0), F.floor(ms / 1000))).cast("int")
     error = (
         F.when(timeout, F.lit("API timeout"))
         .when(http_error, _http_error_text(status))

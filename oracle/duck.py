@@ -1,14 +1,13 @@
 """DuckDB SQL for the oracle side of every registered query.
 
 The same derived tables and cleaning rules as the Spark code, written as
-plain SQL over the driver's registered views.  Rules come from the one
-shared list in ``airwave.functions.rules`` so both sides apply the same
-patterns in the same order.
+plain SQL over the driver's registered views.  Nothing is imported from the
+package: the rules are the oracle's own (``oracle.fixed``).
 """
 
 from __future__ import annotations
 
-from airwave.functions import rules
+from oracle import fixed as rules
 
 
 def q(s: str) -> str:
@@ -92,16 +91,26 @@ def clean_ctes(src: str, out: str, artist_cols=(), song_cols=(), keep="*") -> st
 RAW_PLAYS = """
 raw_plays AS (
 SELECT CAST(l_orderkey AS BIGINT) * 10 + l_linenumber AS play_key,
-  CASE l_orderkey % 11
+  CASE l_orderkey % 19
     WHEN 0 THEN concat('The ', p_name)              WHEN 1 THEN upper(p_name)
     WHEN 2 THEN concat(p_name, ' FT. ', p_brand)    WHEN 3 THEN concat('"', p_name, '"')
     WHEN 4 THEN concat('  ', p_name, ' (Live)')
-    WHEN 5 THEN concat(substring(p_name, 1, 4), substring(p_name, 4, 100))
-    WHEN 6 THEN concat(substring(p_name, 1, 3), substring(p_name, 5, 100))
+    WHEN 5 THEN concat(substring(p_name, 1, 4), substring(p_name, 4))
+    WHEN 6 THEN concat(substring(p_name, 1, 3), substring(p_name, 5))
     WHEN 7 THEN CASE WHEN l_linenumber = 1 THEN NULL ELSE p_name END
+    WHEN 8 THEN concat('The The ', p_name)          WHEN 9 THEN concat(p_name, ' [Remaster] {x}')
+    WHEN 10 THEN concat('...', p_name, ' ', chr(8211), ' duo..')
+    WHEN 11 THEN concat('dj ', p_name, ' ,ok;yes:no!now?')
+    WHEN 12 THEN CASE p_size % 6 WHEN 0 THEN 'beatles' WHEN 1 THEN 'the beatles' WHEN 2 THEN 'kinks'
+                 WHEN 3 THEN 'kinkss' WHEN 4 THEN 'Guess Who' ELSE 'THE CLASH' END
+    WHEN 13 THEN concat('The ', p_name, ' of the sea')
+    WHEN 14 THEN concat(p_name, ' of the sea')
+    WHEN 15 THEN upper(concat('The ', p_name, ' of the sea'))
     ELSE p_name END AS raw_artist,
   concat(lower(p_type), CASE l_linenumber % 5 WHEN 0 THEN ' with a twist' WHEN 1 THEN ' (Acoustic)'
-    WHEN 2 THEN ': the end' WHEN 3 THEN ' VS night' ELSE '' END) AS raw_song,
+    WHEN 2 THEN ': the end' WHEN 3 THEN ' VS night' ELSE '' END,
+    CASE l_orderkey % 9 WHEN 0 THEN ' (Radio Edit)' WHEN 1 THEN ' feat. dj x' WHEN 2 THEN '...'
+    WHEN 3 THEN ' [Mix] (remix)' WHEN 4 THEN concat(' ', chr(8212), ' ''the'' end, of it') ELSE '' END) AS raw_song,
   CASE WHEN l_suppkey % 10 = 3 THEN NULL ELSE concat('K', CAST(l_suppkey AS VARCHAR)) END AS callsign,
   CASE l_linenumber % 6
     WHEN 0 THEN substring(CAST(l_shipdate AS VARCHAR), 1, 10)

@@ -33,7 +33,8 @@ def track_answer(sel: str, song: str, artist: str, mbid: str) -> str:
             f"WHEN 2 THEN {q('{\"track\":{\"name\":\"')} || {song} || {q('\",\"duration\":\"500\"}}')} "
             f"WHEN 3 THEN {q('{\"track\":{\"name\":\"')} || {song} || {q('\",\"mbid\":\"t1\",\"duration\":\"215000.5\"}}')} "
             f"WHEN 4 THEN {q('{\"track\":{\"artist\":{\"name\":\"\"}}}')} "
-            f"WHEN 5 THEN {q('{\"error\":6}')} WHEN 7 THEN '{{bad' END AS body")
+            f"WHEN 5 THEN {q('{\"error\":6}')} WHEN 7 THEN '{{bad' "
+            f"WHEN 9 THEN {q('{\"track\":{\"name\":\"')} || {song} || {q('\",\"duration\":215000.5}}')} END AS body")
     return status + ", " + body
 
 
@@ -68,7 +69,7 @@ def prev_track_answers() -> str:
     return ("prev_tpart AS (SELECT p_partkey, p_name, p_size, p_type, lower(p_type) AS lt FROM part), "
             + clean_ctes("prev_tpart", "prev_tpart_c", [("p_name", "artist_clean")], [("lt", "song_clean")])
             + ", prev_track_resp AS (SELECT artist_clean, song_clean, p_partkey AS seq, "
-            + track_answer("p_partkey % 9", "p_type", "p_name", "'t' || CAST(p_size AS VARCHAR)") + " FROM prev_tpart_c)")
+            + track_answer("p_partkey % 10", "p_type", "p_name", "'t' || CAST(p_size AS VARCHAR)") + " FROM prev_tpart_c)")
 
 
 def track_answers() -> str:
@@ -77,7 +78,7 @@ def track_answers() -> str:
             "trk_keys2 AS (SELECT *, coalesce(CASE WHEN raw_artist <> '' THEN raw_artist END, artist_clean) AS la, "
             "coalesce(CASE WHEN raw_song <> '' THEN raw_song END, song_clean) AS ls FROM trk_keys), "
             "track_resp AS (SELECT artist_clean, song_clean, la || '|' || ls AS seq, "
-            + track_answer("(length(la) + length(ls)) % 9", "upper(song_clean)", "artist_clean",
+            + track_answer("(length(la) + length(ls)) % 10", "upper(song_clean)", "artist_clean",
                            "'t' || CAST(length(ls) AS VARCHAR)") + " FROM trk_keys2)")
 
 
@@ -128,7 +129,9 @@ def parse_track(src: str, out: str) -> str:
         f"{out} AS (SELECT artist_clean, song_clean, seq, "
         f"CASE WHEN found THEN {strip(TRACK_ARTIST)} END AS artist_lastfm, "
         f"CASE WHEN found THEN {strip(TRACK_NAME)} END AS song_lastfm, "
-        f"CASE WHEN found AND dur IS NOT NULL AND dur <> '' AND ms > 0 THEN CAST(ms // 1000 AS INTEGER) END AS duration, "
+        f"CASE WHEN found AND json_type(vb, '$.track.duration') IN ('DOUBLE', 'BIGINT', 'UBIGINT') "
+        f"THEN CASE WHEN CAST(dur AS DOUBLE) >= 1 THEN CAST(floor(trunc(CAST(dur AS DOUBLE)) / 1000) AS INTEGER) END "
+        f"WHEN found AND dur IS NOT NULL AND dur <> '' AND ms > 0 THEN CAST(ms // 1000 AS INTEGER) END AS duration, "
         f"CASE WHEN found AND mb IS NOT NULL AND mb <> '' THEN mb END AS track_mbid, "
         f"found AS fetch_success, "
         f"CASE WHEN is_to THEN 'API timeout' WHEN is_http THEN substr(CAST(status_code AS VARCHAR) || ' HTTP error', 1, 100) "

@@ -118,34 +118,51 @@ oracle("previews", with_plays(
     "substr(image_url, 1, 50) || '...' AS image_preview FROM artist_cache", M.artist_cache_ctes()))
 
 
+oracle("random_sample", with_plays(
+    "SELECT artist_clean, song_clean, duration, substr(track_mbid, 1, 8) || '...' AS mbid_preview, "
+    "CAST(duration // 60 AS VARCHAR) || ':' || lpad(CAST(duration % 60 AS VARCHAR), 2, '0') AS duration_text "
+    "FROM track_cache WHERE duration > 0 "
+    "ORDER BY md5(concat_ws('|', artist_clean, song_clean, '7')), artist_clean, song_clean LIMIT 5",
+    M.track_cache_ctes()))
+oracle("clean_plays", with_plays("SELECT play_key, artist_clean, song_clean, time_unix FROM plays"))
+oracle("distinct_raw_artist_count", with_plays(
+    "SELECT count(*) AS distinct_count FROM (SELECT DISTINCT raw_artist FROM plays)"))
+oracle("append_union", with_plays(
+    "SELECT play_key, raw_artist, CASE WHEN first_play THEN raw_song END AS raw_song, "
+    "CASE WHEN NOT first_play THEN callsign END AS callsign FROM plays"))
+oracle("log_round_trip", with_plays("""
+SELECT raw_song AS "RAW_SONG", raw_artist AS "RAW_ARTIST", callsign AS "CALLSIGN", raw_time AS "TIME",
+  CAST(play_key AS VARCHAR) AS "UNIQUE_ID", concat_ws(' - ', raw_artist, raw_song) AS "COMBINED",
+  CASE WHEN first_play THEN 'Y' ELSE 'N' END AS "First?" FROM plays"""))
+oracle("export_round_trip", with_plays("SELECT play_key, callsign, raw_time, track_duration FROM plays"))
+oracle("rollup_round_trip", ORACLES["distinct_artist_rollup"].replace(
+    "min(artist_lastfm) AS artist_lastfm", "nullif(min(artist_lastfm), '') AS artist_lastfm"))
+oracle("save_rate", "SELECT run, n AS total_records, n AS saved_records, 100.0::DOUBLE AS success_rate "
+       "FROM (SELECT count(*) AS n FROM lineitem JOIN part ON p_partkey = l_partkey), (VALUES (1), (2)) AS r(run)")
+
+
 # ------------------------------------------------------- name normalisation
-WK = "[" + ", ".join("'" + b + "'" for b in __import__("airwave.functions.rules", fromlist=["x"]).WELL_KNOWN_THE_BANDS) + "]"
-
-ARTISTS = ("artists AS (SELECT artist_clean AS name, count(*) AS play_count FROM plays "
-           "WHERE artist_clean IS NOT NULL AND artist_clean <> '' GROUP BY 1)")
-THE_MAP = ("by_lower AS (SELECT lower(name) AS lk, arg_max(play_count, (-play_count, name)) AS base_count "
-           "FROM artists GROUP BY 1), "
-           "the_rows AS (SELECT *, regexp_replace(substr(name, 5), '^\\s+|\\s+$', '', 'g') AS base_name "
-           "FROM artists WHERE starts_with(lower(name), 'the ')), "
-           "the_cand AS (SELECT t.*, CASE WHEN list_contains(" + WK + ", lower(t.base_name)) OR t.play_count >= b.base_count "
-           "THEN t.name ELSE t.base_name END AS preferred FROM the_rows t JOIN by_lower b ON lower(t.base_name) = b.lk), "
-           "the_map AS (SELECT lower(CASE WHEN preferred = name THEN base_name ELSE name END) AS old_key, "
-           "arg_min(preferred, (-play_count, name)) AS new_name FROM the_cand GROUP BY 1)")
-
-oracle("the_prefix_map", with_plays("SELECT * FROM the_map", ARTISTS + ", " + THE_MAP))
-oracle("remaining_after_the", with_plays(
-    "SELECT a.* FROM artists a ANTI JOIN (SELECT old_key AS k FROM the_map UNION SELECT lower(new_name) FROM the_map) h "
-    "ON lower(a.name) = h.k", ARTISTS + ", " + THE_MAP))
-
-LCS = ("m - bit_count(list_reduce(list_transform(string_split(pb, ''), lambda c: CAST(list_sum(list_transform("
-       "range(m), lambda i: CASE WHEN pa[i + 1] = c THEN (CAST(1 AS BIGINT) << i) ELSE CAST(0 AS BIGINT) END)) AS BIGINT)), "
-       "lambda v, u: ((v + (v & u)) | (v - (v & u))) & ((CAST(1 AS BIGINT) << m) - 1), (CAST(1 AS BIGINT) << m) - 1))")
-oracle("fuzzy_pairs", with_plays(
-    "SELECT a, b, lcs FROM (SELECT a, b, " + LCS + " AS lcs, length(a) + length(b) AS total FROM ("
-    "SELECT CASE WHEN length(x.n) <= length(y.n) THEN x.n ELSE y.n END AS pa, "
-    "CASE WHEN length(x.n) <= length(y.n) THEN y.n ELSE x.n END AS pb, x.n AS a, y.n AS b, "
-    "least(length(x.n), length(y.n)) AS m FROM nodes x JOIN nodes y ON x.n < y.n "
-    "WHERE 90 * (length(x.n) + length(y.n)) <= 200 * least(length(x.n), length(y.n)) "
-    "AND levenshtein(x.n, y.n) <= floor(10 * (length(x.n) + length(y.n)) / 100.0)) "
-    ") WHERE 200 * lcs >= 90 * total",
-    "nodes AS (SELECT DISTINCT lower(artist_clean) AS n FROM plays WHERE artist_clean IS NOT NULL AND artist_clean <> '')"))
+from oracle import names_sql as N  # noqa: E402
+
+oracle("the_prefix_map", N.plan("SELECT old_key, new_name FROM n_the"))
+oracle("remaining_after_the", N.plan("SELECT name, play_count FROM n_left"))
+oracle("fuzzy_pairs", with_plays("SELECT a, b, lcs FROM f_edges", ", ".join([
+    "f_left AS (SELECT artist_clean AS name, count(*) AS play_count FROM plays "
+    "WHERE artist_clean IS NOT NULL AND artist_clean <> '' GROUP BY 1)", *N.edges("f", 90)])))
+oracle("fuzzy_clusters", N.plan("SELECT name AS original_name, canonical AS canonical_name, "
+                                "score AS similarity_score, play_count FROM n_named"))
+oracle("normalize_map", N.plan("SELECT old_key, new_name FROM n_map"))
+oracle("normalized_plays", N.plan(
+    "SELECT coalesce(m.new_name, p.artist_clean) AS artist_clean, count(*) AS play_count, "
+    "count(m.old_key) AS renamed_plays FROM plays p LEFT JOIN n_map m ON lower(p.artist_clean) = m.old_key GROUP BY 1"))
+oracle("threshold_sweep", N.sweep((95, 90, 85)))
+oracle("pipeline_records", N.plan(
+    "SELECT CAST(e.play_key AS VARCHAR) AS unique_id, coalesce(m.new_name, e.artist_clean) AS artist_clean, "
+    "e.song_clean, e.time_unix, "
+    "CASE WHEN t.artist_lastfm IS NOT NULL AND t.artist_lastfm <> '' THEN t.artist_lastfm ELSE e.e_artist_lastfm END AS artist_lastfm, "
+    "CASE WHEN t.song_lastfm IS NOT NULL AND t.song_lastfm <> '' THEN t.song_lastfm END AS song_lastfm, "
+    "CASE WHEN t.duration IS NOT NULL AND t.duration <> 0 THEN t.duration END AS track_duration, e.artist_image_url "
+    "FROM enr_a e LEFT JOIN (SELECT * FROM track_cache WHERE fetch_success) t "
+    "ON e.artist_clean = t.artist_clean AND e.song_clean = t.song_clean "
+    "LEFT JOIN n_map m ON lower(e.artist_clean) = m.old_key",
+    M.artist_cache_ctes() + ", " + M.enriched_artists_cte() + ", " + M.track_cache_ctes()))
