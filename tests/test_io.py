@@ -84,7 +84,7 @@ def test_save_and_exports(spark):
 
 def test_create_if_absent_and_reports(spark):
     d = _tmp()
-    t = schemas.create_if_absent(spark, "artist_images", schemas.ARTIST_IMAGES, f"{d}/ai")
+    t = schemas.create_if_absent(spark, schemas.ARTIST_IMAGES, f"{d}/ai")
     assert t.count() == 0 and t.columns == [f.name for f in schemas.ARTIST_IMAGES.fields]
     recs = spark.createDataFrame([("x", "K1", 1)], "raw_artist string, callsign string, time_unix long")
     cache = spark.createDataFrame([("x", True)], "artist_name string, fetch_success boolean")
@@ -100,8 +100,8 @@ def test_squares(spark):
     assert [r[0] for r in squares(spark.range(1, 5), "id").collect()] == [1, 4, 9, 16]
 
 
-def test_dictionary_fallback_matches_broadcast(spark):
-    """Over the size bound the per-row expression runs; results must not change."""
+def test_dictionary_beyond_the_bound_matches_broadcast(spark):
+    """Over the size bound the dictionary is joined by a shuffle; results must not change."""
     from airwave.functions.clean import clean_artist
     from airwave.operators.dictionary import map_distinct
     from airwave.sources import derived
@@ -114,9 +114,82 @@ def test_dictionary_fallback_matches_broadcast(spark):
     assert a == b and len(a) == raw.count()
 
 
-def test_lookup_keys_cap_is_ordered(spark):
+def test_lookup_keys_skip_blanks_of_any_kind(spark):
     from airwave.operators.enrich import lookup_keys
 
-    df = spark.createDataFrame([("b",), ("a",), ("",), (None,), ("c",), ("a",)], "artist_clean string")
-    assert [r[0] for r in lookup_keys(df, ["artist_clean"]).orderBy("artist_clean").collect()] == ["a", "b", "c"]
-    assert [r[0] for r in lookup_keys(df, ["artist_clean"], limit=2).collect()] == ["a", "b"]
+    df = spark.createDataFrame([("b",), ("a",), ("",), (None,), ("\u00a0\t",), ("a",)], "artist_clean string")
+    assert sorted(r[0] for r in lookup_keys(df, ["artist_clean"]).collect()) == ["a", "b"]
+
+
+def test_rollup_files_are_in_order(spark):
+    rows = [(f"A{k % 37:02d}", None) for k in range(900)]
+    path = sinks.export_rollup(spark.createDataFrame(rows, "artist_clean string, artist_lastfm string"), _tmp())
+    got = []
+    for name in sorted(f for f in os.listdir(path) if f.startswith("part-")):
+        with open(os.path.join(path, name)) as f:
+            got += [line.strip().split(",")[:2] for line in f.readlines()[1:]]
+    assert got == [[n, str(c)] for n, c in sorted(
+        ((f"A{k:02d}", len(range(k, 900, 37))) for k in range(37)), key=lambda x: (-x[1], x[0]))]
+
+
+def test_read_table_by_name_and_path(spark):
+    d = _tmp()
+    spark.range(3).write.parquet(f"{d}/t")
+    assert tables.read_table(spark, f"{d}/t").count() == 3
+    spark.read.parquet(f"{d}/t").createOrReplaceTempView("three")
+    assert tables.read_table(spark, "three").count() == 3
+
+
+def test_numeric_track_durations(spark):
+    from airwave.sources.responses import parse_track_responses
+
+    bodies = ['"215000"', "215000.5", '"215000.5"', "0", "999", "-5", "null", "1e6", '"0"', "true"]
+    df = spark.createDataFrame([("a", "s", k, 200, '{"track":{"name":"x","duration":%s}}' % b)
+                                for k, b in enumerate(bodies)],
+                               "artist_clean string, song_clean string, seq int, status_code int, body string")
+    got = {r.seq: r.duration for r in parse_track_responses(df).collect()}
+    assert [got[k] for k in range(9)] == [215, 215, None, None, 0, None, None, 1000, None]
+
+
+def test_no_jobs_for_columns_nobody_asked_for(spark, monkeypatch):
+    from airwave.plans import registry
+    from airwave import session
+
+    made = []
+    for module in ("airwave.operators.dictionary", "airwave.plans.registry", "airwave.operators.enrich"):
+        monkeypatch.setattr(f"{module}.durable", lambda df: made.append(df) or session.durable(df))
+    sf = "/root/testdata/sf0.001"
+    for name in ("records_per_callsign", "distinct_raw_artists", "parse_coverage", "parse_time", "append_union"):
+        registry.REGISTRY[name](spark, sf)
+    assert made == []
+    registry.REGISTRY["top_artists"](spark, sf)
+    assert len(made) == 1
+
+
+def test_pipeline_on_own_inputs(spark):
+    from airwave.plans import metadata, pipeline
+
+    log = spark.createDataFrame(
+        [("Layla (live)", "clapton", "K1", "2023-01-01", "1", "x", "Y"), ("Layla", "CLAPTON", "K2", "0", "2", "y", "N"),
+         ("Help", "the beatles", "K1", "bad", "3", "z", "N")], schemas.RAW_LOG)
+    artist_cache = spark.createDataFrame([("The Beatles", "The Beatles", "img", "mb", True, None)],
+                                         "artist_name string, artist_lastfm string, image_url string, mbid string, "
+                                         "fetch_success boolean, error_message string")
+    track_cache = schemas.empty(spark, schemas.TRACK_INFO)
+    answers = spark.createDataFrame(
+        [("Clapton", "clapton", "1", 200, '{"artist":{"name":"Eric Clapton","mbid":"m9","image":[{"#text":"e.png"}]}}'),
+         ("The Beatles", "the beatles", "1", 500, None)],
+        "artist_clean string, lookup_name string, seq string, status_code int, body string")
+    tracks = spark.createDataFrame([("Clapton", "Layla", "1", 200, '{"track":{"name":"Layla","duration":"7000"}}')],
+                                   "artist_clean string, song_clean string, seq string, status_code int, body string")
+    covers = spark.createDataFrame([], "mbid string, status_code int, body string")
+    d = _tmp()
+    out = pipeline.run(log, metadata.Inputs(artist_cache, track_cache, answers, tracks, covers), 90.0, d)
+    got = {r.unique_id: (r.artist_clean, r.artist_lastfm, r.artist_image_url, r.track_duration)
+           for r in spark.read.parquet(f"{d}/music_records").collect()}
+    assert got == {"1": ("Clapton", "Eric Clapton", "e.png", 7), "2": ("Clapton", "Eric Clapton", "e.png", 7),
+                   "3": ("The Beatles", "The Beatles", "img", None)}
+    assert out.statistics["summary"].first()["music_records_count"] == 3
+    assert {r.artist_name: r.fetch_success for r in spark.read.parquet(f"{d}/artist_images").collect()} == {
+        "Clapton": True, "The Beatles": True}
+    assert out.statistics["top_listening_time"].first()["total_listening_seconds"] == 14
