@@ -105,3 +105,42 @@ def op5_html_extract(spark: SparkSession, sf: str) -> DataFrame:
     model = html_extract.train(html_extract.labelled_sample(pages, table(spark, sf, "documents")))
     return html_extract.extract(pages, model).select(
         F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), "text", "n_chars")
+
+
+ORACLES["op1_substring_dedup"] = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words WHERE len(w) >= 20)
+), again AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS nth FROM windows)
+  WHERE nth > 1
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS g FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM again) GROUP BY 1
+), cut AS (
+  SELECT t.doc_id, len(t.w) AS n, coalesce(len(g.g), 0) AS r,
+    CASE WHEN g.g IS NULL THEN t.w ELSE [x.w FOR x IN list_transform(t.w, lambda w, i: {'w': w, 'i': i})
+      IF NOT list_contains(g.g, x.i)] END AS kept
+  FROM words t LEFT JOIN gone g USING (doc_id)
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n_words, CAST(r AS BIGINT) AS n_removed,
+  sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM cut
+"""
+
+ORACLES["op4_warc"] = """
+WITH hashed AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), bits AS (
+  SELECT *, array_to_string([lpad(bin(strpos('0123456789abcdef', x) - 1), 4, '0') FOR x IN string_split(h, '')], '') AS b
+  FROM hashed
+), named AS (
+  SELECT *, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(list_sum([CAST(substr(b, 5 * k + j + 1, 1) AS INTEGER) * (16 >> j) FOR j IN range(5)]) AS BIGINT) + 1, 1)
+    FOR k IN range(32)], '') AS digest, min(page_id) OVER (PARTITION BY h) AS first FROM bits
+)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to FROM named
+"""
