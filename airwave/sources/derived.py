@@ -61,6 +61,8 @@ def raw_plays(spark: SparkSession, sf_dir: str) -> DataFrame:
         13: F.concat(F.lit("The "), name, F.lit(" of the sea")),
         14: F.concat(name, F.lit(" of the sea")),
         15: F.upper(F.concat(F.lit("The "), name, F.lit(" of the sea"))),
+        16: F.when(name.startswith("hot "), F.concat(
+            name, F.lit(" and the long winded travelling orchestra of the northern provinces"))).otherwise(name),
     }, name)
     raw_song = F.concat(F.lower(F.col("p_type")), _mod_case(ln, 5, {
         0: F.lit(" with a twist"), 1: F.lit(" (Acoustic)"), 2: F.lit(": the end"), 3: F.lit(" VS night"),

@@ -106,6 +106,8 @@ SELECT CAST(l_orderkey AS BIGINT) * 10 + l_linenumber AS play_key,
     WHEN 13 THEN concat('The ', p_name, ' of the sea')
     WHEN 14 THEN concat(p_name, ' of the sea')
     WHEN 15 THEN upper(concat('The ', p_name, ' of the sea'))
+    WHEN 16 THEN CASE WHEN starts_with(p_name, 'hot ')
+                 THEN concat(p_name, ' and the long winded travelling orchestra of the northern provinces') ELSE p_name END
     ELSE p_name END AS raw_artist,
   concat(lower(p_type), CASE l_linenumber % 5 WHEN 0 THEN ' with a twist' WHEN 1 THEN ' (Acoustic)'
     WHEN 2 THEN ': the end' WHEN 3 THEN ' VS night' ELSE '' END,
