@@ -36,9 +36,9 @@ from airwave.llm.common import extended, rows_of
 
 DIM = 1024
 SEED = 20240229
-CHUNK_CHARS = 2_000_000
-CHUNK_TEXTS = 512
-GRAM_BLOCK = 8192
+CHUNK_CHARS = 1_000_000
+CHUNK_TEXTS = 256
+GRAM_BLOCK = 4096
 UND = "und"
 NO_LETTER = re.compile(r"\W")
 
@@ -69,7 +69,7 @@ class Grams:
         """(owners x DIM) bundles of the texts, each added to its owner's; and each owner's 3-gram count."""
         parts = [f"\n{t.lower()}\n" for t in texts]
         codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        of = np.repeat(owner, [len(p) for p in parts])
+        of = np.repeat(owner.astype(np.int32), [len(p) for p in parts])
         present = np.flatnonzero(np.bincount(codes))
         letters = np.array([c for c in present if self.letter(int(c))], dtype=np.int64)
         lookup = np.zeros(int(present[-1]) + 1 if len(present) else 1, np.int64)
@@ -78,7 +78,8 @@ class Grams:
         mid = np.flatnonzero(s[1:-1])
         base = len(letters) + 1
         gram = (s[mid] * base + s[mid + 1]) * base + s[mid + 2]
-        of = of[mid + 1]
+        of = of[mid + 1].astype(np.int64)
+        del codes
         if base ** 3 <= 1 << 22:
             seen = np.flatnonzero(np.bincount(gram, minlength=1))
             rank = np.zeros(base ** 3, np.int64)
