@@ -24,8 +24,10 @@ Search.  All items at or above the threshold are retrieved, none is cut off:
 
 Verification.  A retrieved item counts only if its question and its answer
 both stand in the passage: at least ``overlap`` (0.8) of the five-word shingles
-of each.  The question ends at the last question mark, or else at three
-quarters of the words; the rest is the answer.
+of each.  The question ends at the last question mark, the rest is the answer.
+An item without a question mark, or without words on one side of it, is one
+part: ``overlap`` of the whole item's shingles must stand there, and its answer
+is empty, with an overlap of 1.
 
 The index is built of item shards of bounded bytes, each broadcast in turn, so
 a benchmark of any size works; document frequencies are counted over all items
@@ -69,14 +71,10 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def parts_of(text: str) -> tuple[list[bytes], list[bytes]]:
-    """Question and answer of an item."""
+    """Question and answer of an item; all its words and nothing if it does not have both."""
     cut = text.rfind("?") + 1
     question, answer = words_of(text[:cut]), words_of(text[cut:])
-    if question and answer:
-        return question, answer
-    words = words_of(text)
-    at = max(1, math.ceil(len(words) * 3 / 4))
-    return words[:at], words[at:]
+    return (question, answer) if question and answer else (words_of(text), [])
 
 
 def shingles(words: list[bytes]) -> set:

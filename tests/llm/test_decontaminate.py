@@ -71,6 +71,32 @@ def test_planted_items_are_found(spark, monkeypatch):
     assert sorted(kept) == sorted(set(range(len(texts) + len(awkward_texts()))) - {d for d, _ in got})
 
 
+def test_edited_and_cut_copies_of_items_without_a_question_mark(spark):
+    items = [(i, prose(3000 + i, n, 3000)) for i, n in enumerate((29, 45))]
+    texts, want = [], set()
+    for i, t in items:
+        words = t.split()
+        copies = [[*words[:k], "edited", *words[k + 1:]] for k in range(len(words))]
+        copies += [words[:k] for k in range(1, len(words))] + [words[k:] for k in range(1, len(words))]
+        whole = {tuple(words[k:k + 5]) for k in range(len(words) - 4)}
+        for c in copies:
+            if len(whole & {tuple(c[k:k + 5]) for k in range(len(c) - 4)}) >= 0.8 * len(whole):
+                want.add((len(texts), i))
+            texts.append(" ".join([prose(4000, 20, 3000), *c, prose(4001, 20, 3000)]))
+    docs = documents(spark, texts)
+    got = contaminated(docs, frame(spark, items)).collect()
+    assert {(r["row"]["doc_id"], r["item_id"]) for r in got} == want and len(want) > 70
+    assert {r["doc_id"] for r in uncontaminated(docs, frame(spark, items)).collect()} == (
+        set(range(len(texts))) - {d for d, _ in want})
+
+
+def test_question_and_answer_must_both_stand(spark):
+    question, answer = prose(3100, 40, 3000) + "?", prose(3101, 6, 3000)
+    docs = documents(spark, [f"{question} {answer}", f"{question} {prose(3102, 6, 3000)}", question])
+    got = contaminated(docs, frame(spark, [(1, f"{question} {answer}"), (2, question)])).collect()
+    assert {(r["row"]["doc_id"], r["item_id"]) for r in got} == {(0, 1), (0, 2), (1, 2), (2, 2)}
+
+
 def test_item_longer_than_the_usual_chunk_and_sharded_index(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "SHARD_BYTES", 600)
     items = [(i, prose(i, 150 if i == 3 else 12, 5000)) for i in range(20)]
