@@ -43,7 +43,7 @@ from airwave.llm.common import binary_texts, checkpoint_dir, stage
 RANGE_BYTES = 4 << 20
 READ_BYTES = 1 << 18
 MAGIC = b"\x1f\x8b\x08"
-HEAD_BYTES = 1 << 16
+STEP_BYTES = 1 << 16
 EPOCH = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -118,18 +118,26 @@ class Tape:
 
 def member_head(tape: Tape) -> bool:
     """Whether a gzip member with a WARC header starts at the tape's place."""
-    unpack, plain, fed = zlib.decompressobj(31), b"", 0
+    unpack, plain, fed, rest = zlib.decompressobj(31), bytearray(), 0, b""
     while True:
-        if len(tape.data) == fed and not tape.more():
-            return False
+        if not rest:
+            if len(tape.data) == fed and not tape.more():
+                return False
+            rest = tape.data[fed:fed + 4096]
+            fed += len(rest)
         try:
-            plain += unpack.decompress(tape.data[fed:fed + 4096], HEAD_BYTES)
+            more = unpack.decompress(rest, STEP_BYTES)
         except zlib.error:
             return False
-        fed = min(len(tape.data), fed + 4096)
-        if parse_head(plain):
-            return True
-        if unpack.eof or len(plain) >= HEAD_BYTES or not b"WARC/1.".startswith(plain[:7]):
+        rest = unpack.unconsumed_tail
+        behind = max(0, len(plain) - 3)
+        plain += more
+        if not b"WARC/1.".startswith(plain[:7]):
+            return False
+        # The header may be of any length, so only its end, or the member's, decides.
+        if plain.find(b"\r\n\r\n", behind) >= 0:
+            return parse_head(bytes(plain)) is not None
+        if unpack.eof:
             return False
 
 

@@ -82,6 +82,29 @@ def test_false_magic_is_not_a_record():
     assert found == [data.index(one), data.index(two)]
 
 
+def test_headers_of_any_length_at_a_range_start():
+    rng = random.Random(3)
+    urls = ["http://x/" + "a" * 80_000, "http://x/" + "".join(chr(rng.randrange(33, 127)) for _ in range(200_000)),
+            "http://x/" + "b" * 5_000_000, "http://x/short"]
+    members = [warc.record(i, u, b"payload", warc.digest32(b"payload"), None) for i, u in enumerate(urls)]
+    data, at = b"".join(members), [sum(map(len, members[:k])) for k in range(4)]
+    for step in (977, 20_000, len(data)):
+        found = [(place, warc.parse_head(d)[0]["warc-target-uri"]) for start in range(0, len(data), step)
+                 for place, d in warc.records(Bytes(data), len(data), start, min(len(data), start + step))]
+        assert found == list(zip(at, urls))
+
+
+def test_records_with_long_urls_are_all_read(spark):
+    rows = [(i, f"http://x/{i}/" + "u" * (200_000 if i % 2 else 5), f"t{i}") for i in range(8)]
+    files = warc.write(spark.createDataFrame([(*r, "x", "x") for r in rows], SCHEMA).coalesce(1),
+                       warc.archive_folder(spark))
+    for size in (301, 1 << 30):
+        got = warc.read(files, size)
+        assert sorted((r["page_id"], r["url"]) for r in got.collect()) == [r[:2] for r in rows]
+        assert {r["path"]: r["count"] for r in got.groupBy("path").count().collect()} == {
+            r["path"]: r["n_records"] for r in files.collect()}
+
+
 def test_every_task_may_run_again(spark):
     df = spark.createDataFrame([(i, None, f"t{i}", "x", "x") for i in range(20)], SCHEMA)
     folder = warc.archive_folder(spark)
