@@ -47,7 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from airwave.llm.common import binary_texts, drop_stage, stage
+from airwave.llm.common import binary_texts, drop_stage, extended, rows_of, stage
 from airwave.llm.graph import components
 
 MAX_BITS = 4
@@ -89,6 +89,17 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, fp long")
 
 
+def with_fingerprint(docs: DataFrame, text_col: str = "text", shingle: int = 4) -> DataFrame:
+    """(row struct of the input's columns, fp)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fp = np.array([fingerprint(t, shingle) for t in binary_texts(b.column(0).field(text_col))], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["row", "fp"])
+
+    rows = rows_of(docs)
+    return rows.mapInArrow(run, extended(rows, "fp long"))
+
+
 def remainder(x: np.ndarray) -> np.ndarray:
     """Syndrome of 23-bit words: the rest of the division by the generator polynomial."""
     x = x.copy()
@@ -185,13 +196,40 @@ def linked(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
-                    max_bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest id reachable over links, itself included."""
+def grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, root, component_id) of every distinct fingerprint."""
     marks = stage(fingerprints(docs, id_col, text_col, shingle))
     distinct = stage(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = stage(linked(distinct, max_bits))
     least = distinct.join(roots, "fp").groupBy("root").agg(F.min("least").alias("component_id"))
-    names = roots.join(least, "root").select("fp", "component_id")
+    return marks, roots.join(least, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest id reachable over links, itself included."""
+    marks, names = grouped(docs, id_col, text_col, shingle, max_bits)
     # A hot fingerprint (a third of all rows) stays on its own tasks: names has one row for each.
-    return marks.join(names, "fp").select("doc_id", "fp", "component_id")
+    return marks.join(names.drop("root"), "fp").select("doc_id", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs`` for each component, unchanged: the smallest id (none comes last), then the smallest text.
+
+    Every row is judged by its own fingerprint, so ids may repeat or be null.
+    Rows equal in both are ordered by their other columns.
+    """
+    marks, names = grouped(docs, id_col, text_col, shingle, max_bits)
+    names = stage(names)
+    marked = with_fingerprint(docs, text_col, shingle).withColumn("id", F.col(f"row.`{id_col}`").cast("long"))
+    ordered = [text_col, *[c for c in docs.columns if c != text_col]]
+    least = F.min(F.struct(*[F.col(f"row.`{c}`").alias(c) for c in ordered])).alias("row")
+
+    named = marks.join(names, "fp").where("doc_id = component_id").select(
+        F.col("doc_id").alias("id"), "fp", "root").distinct()
+    first = marked.join(named, ["id", "fp"]).groupBy("root").agg(least)
+    # Copies without an id may be many, so they are combined on the map side before they are joined.
+    bare = marked.where("id IS NULL").groupBy("fp").agg(least).join(
+        names.where("component_id IS NULL"), "fp").groupBy("root").agg(least)
+    return first.unionByName(bare).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 import pytest
-from fixtures import awkward_texts, documents, empty
+from fixtures import awkward_texts, documents, empty, prose
 from test_simhash import brute_components, brute_fingerprint
 from test_substring_dedup import brute as brute_cut
 from tokenizers import Tokenizer
@@ -57,3 +57,11 @@ def test_repeated_and_null_ids_and_empty_table(spark):
     docs = documents(spark, ["words of one document", "words of one document", "quite another text"], [1, 1, None])
     assert sorted(str(r["doc_id"]) for r in through(spark, docs, SF).collect()) == ["1", "None"]
     assert through(spark, empty(spark), SF).count() == 0
+
+
+def test_near_duplicates_are_judged_by_row_whatever_the_ids(spark):
+    a, b, c, d = (prose(k, 60) for k in (1, 2, 3, 4))
+    rows = [(1, a), (1, b), (1, b), (2, b), (2, c), (3, a), (None, a), (None, c), (None, d), (None, d), (None, d)]
+    kept = corpus_pipeline.simhash_stage(spark, documents(spark, [t for _, t in rows], [i for i, _ in rows]), SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, a), (1, b), (2, c), (None, d)], key=str)
