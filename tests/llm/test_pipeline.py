@@ -1,5 +1,7 @@
 """The corpus pipeline against a plain sequential version, and awkward tables."""
 
+import random
+
 import corpus_pipeline
 import pytest
 from fixtures import awkward_texts, documents, empty, prose
@@ -65,3 +67,14 @@ def test_near_duplicates_are_judged_by_row_whatever_the_ids(spark):
     kept = corpus_pipeline.simhash_stage(spark, documents(spark, [t for _, t in rows], [i for i, _ in rows]), SF)
     assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
         [(1, a), (1, b), (2, c), (None, d)], key=str)
+
+
+def test_texts_of_an_unlearned_script_do_not_go_by_chance(spark):
+    rng = random.Random(5)
+    foreign = [" ".join("".join(chr(rng.randrange(0x430, 0x450)) for _ in range(6)) for _ in range(80))
+               for _ in range(60)]
+    rows = [(i, t, None, "s", len(t)) for i, t in enumerate([*foreign, "123 !", ""])]
+    learned = documents(spark, ["an english text of a few plain words", "some more of the same language"], [100, 101])
+    docs = learned.unionByName(spark.createDataFrame(rows, learned.schema))
+    kept = corpus_pipeline.language_stage(spark, docs, SF)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(60), 100, 101]
