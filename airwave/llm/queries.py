@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airwave.llm import ann, bpe, decontaminate, html_extract, language_id, quality, sharding, simhash, substring_dedup, warc
+from airwave.llm import (ann, bpe, decontaminate, html_extract, language_id, prefix_trie, quality, sharding, simhash,
+                         substring_dedup, warc)
 from airwave.llm.common import table
 
 REGISTRY: dict = {}
@@ -144,3 +145,54 @@ SELECT page_id, n AS payload_bytes, digest AS payload_digest,
   CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN page_id > first THEN first END AS refers_to FROM named
 """
+
+
+@register
+def op11_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    turns = prefix_trie.numbered(prefix_trie.turn_rows(table(spark, sf, "conversations")))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    rebuilt, members = prefix_trie.with_shared_heads(turns, 5, head, 8)
+    return prefix_trie.nodes(rebuilt, members).nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+# CRC-32 bit by bit: DuckDB has no such function.
+CRC32 = """4294967295 - list_reduce([4294967295] || list_transform(string_split({0}, ''), lambda ch: CAST(ord(ch) AS BIGINT)),
+    lambda crc, b: list_reduce([xor(crc, b)] || CAST(range(8) AS BIGINT[]),
+      lambda v, k: CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END))"""
+
+ORACLES["op11_prefix_trie"] = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(text, '') AS text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), substr(coalesce(text, ''), 1, 64),
+      sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), heads AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS lender, ({CRC32.format("CAST(conv_id AS VARCHAR)")}) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS side, t.p, t.t, t.text FROM heads c JOIN turns t ON t.conv_id = c.lender AND t.p <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.p, t.t, t.text FROM heads c JOIN turns t ON t.conv_id = c.conv_id AND t.p > c.h
+), listed AS (
+  SELECT c.conv_id, coalesce(l, []) AS l, coalesce(b, []) AS b FROM heads c LEFT JOIN (
+    SELECT conv_id, list(t ORDER BY side, p) AS l, list(strlen(text) ORDER BY side, p) AS b FROM rebuilt GROUP BY 1) USING (conv_id)
+), members AS (
+  SELECT conv_id, d, len(l) AS n, sha256(array_to_string(l[1:d], ',')) AS node, CASE WHEN d = 0 THEN 0 ELSE b[d] END AS size,
+    CASE WHEN d > 0 THEN sha256(array_to_string(l[1:d - 1], ',')) END AS above
+  FROM (SELECT *, unnest(range(0, len(l) + 1)) AS d FROM listed)
+), nodes AS (
+  SELECT node, any_value(above) AS above, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    any_value(size) AS size, coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d), '') AS ends,
+    count(*) FILTER (n = d) = count(*) AS leaf
+  FROM members GROUP BY node
+), below AS (
+  SELECT m.node, count(*) FILTER (v.leaf) AS n_leaves, sum((v.n_convs - 1) * v.size) AS saved
+  FROM nodes v JOIN members m ON m.conv_id = v.conv_id AND m.d <= v.depth GROUP BY 1
+), kids AS (
+  SELECT above AS node, count(*) AS n FROM nodes WHERE above IS NOT NULL GROUP BY 1
+)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n, 0) AS n_children, b.n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
+FROM nodes v LEFT JOIN nodes u ON u.node = v.above LEFT JOIN kids k ON k.node = v.node JOIN below b ON b.node = v.node
+"""

@@ -23,6 +23,9 @@ CONTRACTS = {
     "op9_feistel_sharding": ("documents", {"doc_id": "bigint", "size": "bigint", "text_crc32": "bigint",
                                            "law": "string", "shard": "int", "slot": "bigint", "grown_shard": "int"}),
     "op10_quality": ("documents", {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"}),
+    "op11_prefix_trie": (None, {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint",
+                                "n_children": "bigint", "n_leaves": "bigint", "saved_tokens": "bigint",
+                                "ends_sha256": "string"}),
 }
 
 
@@ -43,7 +46,7 @@ def test_contract(spark, name):
 @pytest.mark.parametrize("name", ORACLES)
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     found = con.execute(ORACLES[name])
     columns = [d[0] for d in found.description]
