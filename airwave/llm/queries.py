@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airwave.llm import (ann, bpe, decontaminate, html_extract, language_id, prefix_trie, quality, sharding, simhash,
-                         substring_dedup, warc)
+from airwave.llm import (ann, bpe, decontaminate, fill_in_middle, html_extract, language_id, prefix_trie, quality, sharding,
+                         simhash, substring_dedup, warc)
 from airwave.llm.common import table
 
 REGISTRY: dict = {}
@@ -196,3 +196,34 @@ SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n,
   CAST(b.saved AS BIGINT) AS saved_tokens, sha256(v.ends) AS ends_sha256
 FROM nodes v LEFT JOIN nodes u ON u.node = v.above LEFT JOIN kids k ON k.node = v.node JOIN below b ON b.node = v.node
 """
+
+
+@register
+def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    drawn = F.sha2(F.concat(F.lit("1:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256)
+    h1, h2, h3, h4 = (F.conv(F.substring(drawn, 8 * k + 1, 8), 16, 10).cast("long") for k in range(4))
+    made = fill_in_middle.fill_in_middle(docs, h1, h2, plain=h3 % 100 >= 90, spm=h4 % 100 < 20)
+    return made.select(F.col("row.doc_id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_in_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+ORACLES["op12_fill_in_middle"] = """
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), numbers AS (
+  SELECT doc_id, t, n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (n + 1) AS a, CAST('0x' || substr(h, 9, 8) AS BIGINT) % (n + 1) AS b,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) % 100 AS c, CAST('0x' || substr(h, 25, 8) AS BIGINT) % 100 AS d FROM drawn
+), cut AS (
+  SELECT doc_id, t, n, least(a, b) AS x, greatest(a, b) AS y,
+    CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90 THEN 'plain'
+         WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM numbers
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars, CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || substr(t, 1, x) || '<S>' || substr(t, y + 1) || '<M>' || substr(t, x + 1, y - x)
+    ELSE '<S>' || substr(t, y + 1) || '<P>' || substr(t, 1, x) || '<M>' || substr(t, x + 1, y - x) END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM cut
+"""

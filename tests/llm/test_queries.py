@@ -26,6 +26,9 @@ CONTRACTS = {
     "op11_prefix_trie": (None, {"conv_id": "bigint", "depth": "bigint", "parent_conv_id": "bigint", "n_convs": "bigint",
                                 "n_children": "bigint", "n_leaves": "bigint", "saved_tokens": "bigint",
                                 "ends_sha256": "string"}),
+    "op12_fill_in_middle": ("documents", {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint",
+                                          "middle_chars": "bigint", "output_sha256": "string",
+                                          "restored_sha256": "string"}),
 }
 
 
