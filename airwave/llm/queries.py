@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airwave.llm import (ann, bpe, decontaminate, fill_in_middle, html_extract, language_id, prefix_trie, quality, sharding,
-                         simhash, substring_dedup, warc)
+from airwave.llm import (ann, bpe, decontaminate, fill_in_middle, html_extract, language_id, lm_scoring, prefix_trie, quality,
+                         sharding, simhash, substring_dedup, warc)
 from airwave.llm.common import table
 
 REGISTRY: dict = {}
@@ -227,3 +227,12 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars, CA
     ELSE '<S>' || substr(t, y + 1) || '<P>' || substr(t, 1, x) || '<M>' || substr(t, x + 1, y - x) END) AS output_sha256,
   sha256(t) AS restored_sha256 FROM cut
 """
+
+
+@register
+def op13_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    out = language_id.held_out(F.col("doc_id"), 7, 2)
+    scored = lm_scoring.score(docs, ~out, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return scored.select(F.col("row.doc_id").alias("doc_id"), (~F.col("learns")).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score", "n_subwords")

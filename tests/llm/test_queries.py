@@ -29,6 +29,8 @@ CONTRACTS = {
     "op12_fill_in_middle": ("documents", {"doc_id": "bigint", "n": "bigint", "form": "string", "prefix_chars": "bigint",
                                           "middle_chars": "bigint", "output_sha256": "string",
                                           "restored_sha256": "string"}),
+    "op13_lm_scoring": ("documents", {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint",
+                                      "train_tokens": "bigint", "base_score": "double", "score": "double"}),
 }
 
 
