@@ -48,14 +48,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
 
 
 def map_distinct(df: DataFrame, keys: list[str], outputs: dict[str, Column],
-                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                 max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
+                 source: DataFrame | None = None) -> DataFrame:
     """``df.withColumns(outputs)`` computed once per distinct ``keys`` value.
 
+    ``source``: a smaller table that holds all the keys of ``df``, if there is one.
+
     ``outputs`` may only read the ``keys`` columns.  NULL keys match NULL keys.
     The dictionary is written once; within the bounds it is broadcast, beyond
     them it is joined by a shuffle in which adaptive execution splits hot keys.
     """
-    table = durable(df.select(*keys).distinct().withColumns(outputs))
+    table = durable((df if source is None else source).select(*keys).distinct().withColumns(outputs))
     table, _ = broadcast_if_small(table, max_rows, max_bytes)
     renamed = table.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], *outputs.keys())
     cond = None

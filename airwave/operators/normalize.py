@@ -16,6 +16,7 @@ from airwave.functions.text import py_strip
 from airwave.operators import merge, stats
 from airwave.operators.cluster import fuzzy_map, order_key
 from airwave.operators.dictionary import broadcast_if_small
+from airwave.operators.fuzzy import at_threshold, similar_pairs
 from airwave.session import durable, release
 
 
@@ -112,16 +113,18 @@ class Normalized:
                 "plays_renamed": row["plays"]}
 
 
-def name_mapping(artists: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD):
+def name_mapping(artists: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD,
+                 edges: DataFrame | None = None):
     """(name, play_count) -> (mapping, the_map, fuzzy map, matches): J4 -> J5 -> C1 -> D2.
 
     ``threshold`` None or <= 0 skips fuzzy matching, as the original does.
+    ``edges``: the similar pairs of (at least) these names, if known already.
     """
     spark = artists.sparkSession
     entries = durable(the_prefix_entries(artists))
     the_map = entries.select("old_key", "new_name")
     if threshold is not None and threshold > 0:
-        fuzzy, matches = fuzzy_map(remaining_after(artists, the_map), threshold)
+        fuzzy, matches = fuzzy_map(remaining_after(artists, the_map), threshold, edges)
         fuzzy = durable(fuzzy)
     else:
         fuzzy, matches = spark.createDataFrame([], "old_key string, new_name string"), None
@@ -131,9 +134,13 @@ def name_mapping(artists: DataFrame, threshold: float | None = rules.DEFAULT_FUZ
     return resolve_renames(every), the_map, fuzzy, matches
 
 
-def normalize_artists(records: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD) -> Normalized:
-    """A4 -> J4 -> J5 -> C1 -> D2 -> K6 on the records."""
-    artists = durable(artist_counts(records))
+def normalize_artists(records: DataFrame, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD,
+                      counted: DataFrame | None = None) -> Normalized:
+    """A4 -> J4 -> J5 -> C1 -> D2 -> K6 on the records.
+
+    ``counted``: a cheaper plan with the same artists, to count plays from.
+    """
+    artists = durable(artist_counts(records if counted is None else counted))
     mapping, the_map, fuzzy, matches = name_mapping(artists, threshold)
     return Normalized(apply_mapping(records, mapping), mapping, the_map, fuzzy, matches)
 
@@ -146,14 +153,31 @@ def threshold_sweep(records: DataFrame, thresholds=(95.0, 90.0, 85.0), n: int =
     needs the previous step's counts, never the plays again.  ``cumulative``
     applies each step to the previous result, like the original test;
     otherwise every threshold starts from ``records``.
+
+    Similar pairs are found once, at the lowest threshold; a step takes those
+    that pass its own.  Names that a step made (a new "The" spelling) are joined
+    against all names before the next one, and only their pairs are added.
     """
+    def lowered(df: DataFrame) -> DataFrame:
+        return df.where("artist_clean <> ''").select(F.lower("artist_clean").alias("name")).distinct()
+
     counts = durable(records.groupBy("artist_clean").agg(F.count(F.lit(1)).alias("play_count")))
+    used = [float(t) for t in thresholds if t is not None and t > 0]
+    lowest = min(used) if used else None
+    known = durable(lowered(counts))
+    edges = durable(similar_pairs(known, lowest)) if used else None
     out, current = None, counts
     for t in thresholds:
         base = current if cumulative else counts
+        if edges is not None and base is not counts:
+            made = durable(lowered(base).join(known, "name", "left_anti"))
+            if not made.isEmpty():
+                edges = durable(edges.unionByName(similar_pairs(known, lowest, fresh=made)))
+                known = durable(known.unionByName(made))
         artists = base.where(F.col("artist_clean").isNotNull() & (F.col("artist_clean") != "")).select(
             F.col("artist_clean").alias("name"), "play_count")
-        mapping, _, _, _ = name_mapping(artists, t)
+        passing = at_threshold(edges, t) if t is not None and t > 0 else None
+        mapping, _, _, _ = name_mapping(artists, t, passing)
         renamed = apply_mapping(base, mapping).groupBy("artist_clean").agg(
             F.sum("play_count").cast("bigint").alias("play_count"))
         renamed = durable(renamed)

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airwave.functions.clean import clean_artist, clean_song
-from airwave.functions.timeparse import parse_time
+from airwave.functions.timeparse import with_time
+from airwave.operators.dictionary import map_distinct
+from airwave.session import durable
 
 REQUIRED_COLUMNS = ["raw_song", "raw_artist", "song_clean", "artist_clean", "callsign", "time",
                     "time_unix", "unique_id", "combined", "first_question"]
@@ -24,12 +26,15 @@ METADATA_COLUMNS = {
 
 def add_clean_columns(df: DataFrame, artist: str = "RAW_ARTIST", song: str = "RAW_SONG",
                       time: str = "TIME", suffix_case=str.upper) -> DataFrame:
-    """ARTIST_CLEAN, SONG_CLEAN, TIME_UNIX as native expressions."""
-    return df.withColumns({
-        suffix_case("artist_clean"): clean_artist(artist),
-        suffix_case("song_clean"): clean_song(song),
-        suffix_case("time_unix"): parse_time(time),
-    })
+    """ARTIST_CLEAN, SONG_CLEAN, TIME_UNIX.
+
+    One pass over the log finds the distinct (artist, song) pairs, from which
+    both cleaning dictionaries are made; the log itself is only joined to them.
+    """
+    pairs = durable(df.select(artist, song).distinct())
+    df = map_distinct(df, [artist], {suffix_case("artist_clean"): clean_artist(artist)}, source=pairs)
+    df = map_distinct(df, [song], {suffix_case("song_clean"): clean_song(song)}, source=pairs)
+    return with_time(df, time, suffix_case("time_unix"))
 
 
 def normalize_column_names(df: DataFrame) -> DataFrame:

@@ -160,7 +160,7 @@ def artist_cache_preview(cache: DataFrame, n: int | None = None) -> DataFrame:
     """Cached artists with status label and a 50-character URL preview."""
     df = cache.select("artist_name", status_label(F.col("fetch_success")).alias("status"),
                       preview(F.col("image_url"), 50).alias("image_preview"))
-    return df.limit(n) if n is not None else df
+    return first_rows(df, n, ["artist_name"]) if n is not None else df
 
 
 def track_sample(track_cache: DataFrame, n: int = 5, seed: int = 7) -> DataFrame:
@@ -183,9 +183,9 @@ def like_filter(records: DataFrame, column: str, pattern: str) -> DataFrame:
     return records.where(F.col(column).ilike(pattern))
 
 
-def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """First ``n`` rows, no order."""
-    return df.limit(n)
+def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """First ``n`` rows in the order of some columns (T3): a per-partition top-n, not a full sort."""
+    return df.orderBy(*[F.asc_nulls_first(c) for c in order]).limit(n)
 
 
 def squares(df: DataFrame, column: str) -> DataFrame:

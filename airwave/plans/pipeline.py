@@ -1,10 +1,13 @@
 """The whole job (C4).
 
-raw log -> clean columns (once per distinct value) -> records layout ->
-artist and track metadata through the caches -> name normalisation -> one
-write -> statistics.  Building the plan runs the jobs that must be measured or
-looped over (dictionaries, lookups, caches, the name graph); the plays
-themselves are written once at the end.
+raw log -> clean columns (once per distinct value) -> records layout, written
+once -> artist and track metadata through the caches -> name normalisation ->
+final write -> statistics.  The log is read twice: for the distinct values to
+clean and for the records; lookups, play counts, enrichment and rename all
+start from the written records.  Enrichment does not change artist names, so
+plays are counted before it.  The records are not bucketed by artist: one hot
+artist's bucket would be one task, while the dimensions joined to them are
+broadcast or split by adaptive execution.
 """
 
 from __future__ import annotations
@@ -16,9 +19,9 @@ from pyspark.sql import functions as F
 
 from airwave.functions import rules
 from airwave.operators import enrich, normalize, shape
+from airwave.operators.cache import CacheTable
 from airwave.plans import metadata, reports, sinks
 from airwave.session import durable
-from airwave.sources import derived
 
 
 @dataclass
@@ -30,16 +33,6 @@ class PipelineResult:
     statistics: dict
 
 
-def records_from_log(raw: DataFrame) -> DataFrame:
-    """Raw log (S1 layout) -> records layout with clean columns."""
-    cleaned = derived.with_clean_columns(raw, "RAW_ARTIST", "RAW_SONG", "TIME").withColumnsRenamed(
-        {"artist_clean": "ARTIST_CLEAN", "song_clean": "SONG_CLEAN", "time_unix": "TIME_UNIX"})
-    df = shape.normalize_column_names(cleaned)
-    df = shape.project_available(df, shape.REQUIRED_COLUMNS)
-    df = shape.rename_existing(df, shape.COLUMN_RENAMES)
-    return shape.add_empty_columns(df, shape.METADATA_COLUMNS)
-
-
 def run(log: DataFrame, inputs_for, threshold: float | None = rules.DEFAULT_FUZZY_THRESHOLD,
         out_dir: str | None = None) -> PipelineResult:
     """The job over a log and its caches and answers.
@@ -48,14 +41,14 @@ def run(log: DataFrame, inputs_for, threshold: float | None = rules.DEFAULT_FUZZ
     makes them from the table of distinct lookups (whoever fetches the answers
     needs to know what to ask for).
     """
-    records = records_from_log(log)
+    records = durable(shape.to_records(log))
     lookups = metadata.lookups_of(records)
     given = inputs_for(lookups) if callable(inputs_for) else inputs_for
-    artist_cache = durable(metadata.refresh_artist_cache(
-        lookups, durable(given.artist_cache), given.artist_answers, given.covers))
-    track_cache = durable(metadata.refresh_track_cache(lookups, durable(given.track_cache), given.track_answers))
+    old_artists, old_tracks = (c if isinstance(c, CacheTable) else durable(c) for c in (given.artist_cache, given.track_cache))
+    artist_cache = durable(metadata.refresh_artist_cache(lookups, old_artists, given.artist_answers, given.covers))
+    track_cache = durable(metadata.refresh_track_cache(lookups, old_tracks, given.track_answers))
     enriched = enrich.enrich_tracks(enrich.enrich_artists(records, artist_cache), track_cache)
-    result = normalize.normalize_artists(enriched, threshold)
+    result = normalize.normalize_artists(enriched, threshold, counted=records)
     final = result.records.drop("renamed").withColumns(
         {"created_at": F.current_timestamp(), "updated_at": F.current_timestamp()})
     if out_dir:

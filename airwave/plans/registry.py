@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from airwave.operators import enrich, merge, normalize, shape, stats
 from airwave.operators.cluster import fuzzy_map
 from airwave.operators.fuzzy import similar_pairs
-from airwave.plans import metadata, pipeline, sinks
+from airwave.plans import metadata, pipeline, reports, sinks
 from airwave.session import checkpoint_dir, durable
 from airwave.sources import derived, tables
 from airwave.sources.responses import parse_artist_responses, parse_cover_responses, parse_track_responses
@@ -127,6 +127,17 @@ def log_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return tables.read_play_log(spark, folder)
 
 
+@register
+def log_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """A log with broken lines read, split into kept and quarantined rows, and both read back."""
+    lines, out = _scratch(spark), _scratch(spark)
+    derived.log_lines(spark, sf).write.text(lines)
+    checked = tables.read_checked_log(spark, lines, header=False)
+    sinks.save_checked(checked, out)
+    return sinks.read_checked(spark, out, checked.schema, "kept").withColumn("status", F.lit("kept")).unionByName(
+        sinks.read_checked(spark, out, checked.schema, "quarantined").withColumn("status", F.lit("quarantined")))
+
+
 @register
 def export_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """A table exported as CSV with a header and read back (K2)."""
@@ -218,25 +229,34 @@ def track_response_parse(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def cache_hits(spark: SparkSession, sf: str) -> DataFrame:
     made = Caches(spark, sf)
-    return enrich.cache_hits(enrich.lookup_keys(made.artist_lookups, ["artist_clean"]), made.previous_artists,
-                             {"artist_clean": "artist_name"})
+    keys = enrich.lookup_keys(made.artist_lookups, ["artist_clean"]).withColumnRenamed("artist_clean", "artist_name")
+    hits, _ = metadata.stored_cache(made.previous_artists, _scratch(spark)).lookup(keys)
+    return hits.withColumnRenamed("artist_name", "artist_clean").select(
+        "artist_clean", "artist_lastfm", "image_url", "mbid", "fetch_success", "error_message")
 
 
 @register
 def cache_misses(spark: SparkSession, sf: str) -> DataFrame:
     made = Caches(spark, sf)
-    return enrich.cache_misses(enrich.lookup_keys(made.artist_lookups, ["artist_clean"]), made.previous_artists,
-                               {"artist_clean": "artist_name"})
+    keys = enrich.lookup_keys(made.artist_lookups, ["artist_clean"]).withColumnRenamed("artist_clean", "artist_name")
+    _, misses = metadata.stored_cache(made.previous_artists, _scratch(spark)).lookup(keys)
+    return misses.withColumnRenamed("artist_name", "artist_clean")
 
 
 @register
 def merge_artist_cache(spark: SparkSession, sf: str) -> DataFrame:
-    return Caches(spark, sf).artists("action").select(*CACHE_VALUES, "action")
+    made = Caches(spark, sf)
+    stored = metadata.stored_cache(made.previous_artists, _scratch(spark))
+    return metadata.refresh_artist_cache(made.artist_lookups, stored, derived.artist_responses(made.artist_lookups),
+                                         made.covers, "action").select(*CACHE_VALUES, "action")
 
 
 @register
 def merge_track_cache(spark: SparkSession, sf: str) -> DataFrame:
-    return Caches(spark, sf).tracks("action").select(*TRACK_VALUES, "action")
+    made = Caches(spark, sf)
+    stored = metadata.stored_cache(made.previous_tracks, _scratch(spark), track=True)
+    return metadata.refresh_track_cache(made.lookups, stored, derived.track_responses(made.lookups), "action").select(
+        *TRACK_VALUES, "action")
 
 
 @register
@@ -248,7 +268,7 @@ def enrich_artists(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def enrich_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    records = derived.plays(spark, sf, "artist_clean", "song_clean")
+    records = durable(derived.plays(spark, sf, "artist_clean", "song_clean"))
     made = Caches(spark, sf, records)
     out = enrich.enrich_artists(metadata.empty_records(records), made.artists())
     return enrich.enrich_tracks(out, made.tracks()).select(
@@ -279,6 +299,29 @@ def previews(spark: SparkSession, sf: str) -> DataFrame:
     return stats.artist_cache_preview(Caches(spark, sf).artists())
 
 
+@register
+def cache_preview(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.artist_cache_preview(Caches(spark, sf).artists(), 5)
+
+
+@register
+def first_records(spark: SparkSession, sf: str) -> DataFrame:
+    plays = derived.plays(spark, sf, "artist_clean").select("play_key", "raw_artist", "artist_clean", "callsign", "raw_time")
+    return stats.first_rows(plays, 10, ["play_key"])
+
+
+@register
+def exploration_report(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.exploration_report(derived.plays(spark, sf, "artist_clean", "time_unix"), Caches(spark, sf).artists())
+
+
+@register
+def statistics_report(spark: SparkSession, sf: str) -> DataFrame:
+    records = durable(derived.plays(spark, sf))
+    made = Caches(spark, sf, records)
+    return reports.statistics_report(records, made.artists(), made.tracks())
+
+
 @register
 def random_sample(spark: SparkSession, sf: str) -> DataFrame:
     return stats.track_sample(Caches(spark, sf).tracks())

@@ -6,6 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from airwave.operators import stats
 from airwave.schemas import path_exists
@@ -42,6 +43,25 @@ def _rows(spark: SparkSession, path: str, fmt: str) -> int:
     return spark.read.format(fmt).load(path).count() if path_exists(spark, path) else 0
 
 
+def save_checked(df: DataFrame, path: str, reason: str = "reason") -> dict:
+    """Split write: rows without a ``reason`` are kept, the others quarantined with it (K1).
+
+    One pass writes both, into folders by status; returns the rows of each,
+    counted as they are written.
+    """
+    obs = Observation("checked")
+    kept = F.col(reason).isNull()
+    counted = df.observe(obs, F.count_if(kept).alias("kept"), F.count_if(~kept).alias("quarantined"))
+    counted.withColumn("status", F.when(kept, "kept").otherwise("quarantined")).write.partitionBy("status").parquet(path)
+    return {"kept": int(obs.get["kept"]), "quarantined": int(obs.get["quarantined"])}
+
+
+def read_checked(spark: SparkSession, path: str, schema, status: str) -> DataFrame:
+    """The ``kept`` or ``quarantined`` rows of a split write; only that folder is read."""
+    stored = StructType([*schema.fields, StructField("status", StringType())])
+    return spark.read.schema(stored).parquet(path).where(F.col("status") == status).drop("status")
+
+
 def export_csv(tables: dict[str, DataFrame], out_dir: str) -> list[str]:
     """Each table to ``out_dir/<name>`` as CSV with a header row (K2)."""
     paths = []

@@ -43,10 +43,10 @@ def get_session(app: str = "airwave", master: str | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
+    """This application's part of the shared folder for intermediate tables, ``spark.checkpoint.dir``.
 
-    Only a local session without that setting, as in tests, gets a scratch
-    folder of its own, which goes when the process ends.
+    ``finish`` deletes it.  Only a local session without that setting, as in
+    tests, gets a scratch folder of its own, which goes when the process ends.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -57,14 +57,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         atexit.register(shutil.rmtree, configured, ignore_errors=True)
         sc.setCheckpointDir(configured)
         configured = sc.getCheckpointDir()
-    return configured
+    return f"{configured.rstrip('/')}/{sc.applicationId}"
+
+
+def finish(spark: SparkSession) -> None:
+    """Delete every intermediate table of this application; call it when the results are written."""
+    _delete(spark, checkpoint_dir(spark))
 
 
 def durable(df):
     """Write ``df`` into the shared folder and read it back: computed once, lineage cut.
 
     A lost executor costs a re-read of the written files.  ``release`` deletes
-    them when nothing reads them any more; the rest goes with the folder.
+    them when nothing reads them any more; the rest goes with ``finish``.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
@@ -78,5 +83,9 @@ def release(df) -> None:
     """Delete the files behind a ``durable`` table."""
     path = getattr(df, "durable_path", None)
     if path:
-        target = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

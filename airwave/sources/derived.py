@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from airwave.functions.clean import clean_artist, clean_song
 from airwave.functions.text import lookup_term
-from airwave.functions.timeparse import parse_time
+from airwave.functions.timeparse import with_time
 from airwave.operators.dictionary import map_distinct
+from airwave.session import durable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,13 +107,16 @@ def with_clean_columns(df: DataFrame, artist: str = "raw_artist", song: str = "r
                        columns: tuple = CLEAN_COLUMNS) -> DataFrame:
     """The asked-for clean columns: artists and songs once per distinct raw value, times per row.
 
-    A dictionary is only built for a column that is asked for.
+    A dictionary is only built for a column that is asked for; two are made
+    from one pass over the plays.
     """
+    both = "artist_clean" in columns and "song_clean" in columns
+    pairs = durable(df.select(artist, song).distinct()) if both else None
     if "artist_clean" in columns:
-        df = map_distinct(df, [artist], {"artist_clean": clean_artist(artist)})
+        df = map_distinct(df, [artist], {"artist_clean": clean_artist(artist)}, source=pairs)
     if "song_clean" in columns:
-        df = map_distinct(df, [song], {"song_clean": clean_song(song)})
-    return df.withColumn("time_unix", parse_time(time)) if "time_unix" in columns else df
+        df = map_distinct(df, [song], {"song_clean": clean_song(song)}, source=pairs)
+    return with_time(df, time, "time_unix") if "time_unix" in columns else df
 
 
 def plays(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -134,6 +138,18 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as text lines, every value in quotes; some are short, long or lack a quote."""
+    log = raw_log(spark, sf_dir)
+    values = [F.coalesce(F.concat(F.lit('"'), F.replace(F.col(f"`{c}`"), F.lit('"'), F.lit('\\"')), F.lit('"')), F.lit(""))
+              for c in log.columns]
+    return log.select(_mod_case(F.col("UNIQUE_ID").cast("bigint"), 11, {
+        3: F.concat_ws(";", *values[:4]),
+        5: F.concat_ws(";", *values, F.lit("more")),
+        7: F.concat_ws(";", F.concat(F.lit('"'), values[0]), *values[1:6], F.lit('"Y')),
+    }, F.concat_ws(";", *values)).alias("value"))
+
+
 # ----------------------------------------------------------------- responses
 # Stand-ins for the web-service answers.  A previous run's answers come from
 # ``part`` (one call per part, several per artist); this run's answers come
@@ -141,6 +157,10 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 # number derived from the row, covering found / blank image / no image key /
 # not found / bad JSON / timeout (408) / server error (500).
 
+# What a failing service says; with a name behind it the text passes 100 characters.
+BUSY = "<html><body>The service is busy, please wait a while before asking again, and ask for less</body></html> "
+
+
 def _artist_body(sel: Column, name: Column, mbid: Column) -> tuple[Column, Column]:
     status = F.when(sel == 5, F.lit(408)).when(sel == 6, F.lit(500)).otherwise(F.lit(200))
     body = (
@@ -151,6 +171,7 @@ def _artist_body(sel: Column, name: Column, mbid: Column) -> tuple[Column, Colum
         .when(sel == 2, F.concat(F.lit('{"artist":{"name":"'), name, F.lit('"}}')))
         .when(sel == 3, F.lit('{"error":6}'))
         .when(sel == 4, F.lit("{bad"))
+        .when(sel == 6, F.concat(F.lit(BUSY), name))
     )
     return status, body
 
@@ -167,6 +188,7 @@ def _track_body(sel: Column, song: Column, artist: Column, mbid: Column) -> tupl
         .when(sel == 4, F.lit('{"track":{"artist":{"name":""}}}'))
         .when(sel == 5, F.lit('{"error":6}'))
         .when(sel == 7, F.lit("{bad"))
+        .when(sel == 8, F.concat(F.lit(BUSY), song))
         .when(sel == 9, F.concat(F.lit('{"track":{"name":"'), song, F.lit('","duration":215000.5}}')))
     )
     return status, body
@@ -193,14 +215,15 @@ def artist_responses(lookups: DataFrame) -> DataFrame:
 
 
 def cover_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cover-art answers, one per MBID ('m' + part size)."""
-    sizes = table(spark, sf_dir, "part").select("p_size").distinct()
-    sel = F.pmod(F.col("p_size"), F.lit(4))
-    size = F.col("p_size").cast("string")
-    body = (F.when(sel == 0, F.concat(F.lit('{"images":[{"image":"http://img/'), size, F.lit('.jpg"}]}')))
+    """Cover-art answers, one per part (MBID 'm' + part key): an image, none, an empty one, bad JSON, not found."""
+    parts = table(spark, sf_dir, "part").select("p_partkey")
+    sel = F.pmod(F.col("p_partkey"), F.lit(5))
+    key = F.col("p_partkey").cast("string")
+    body = (F.when(sel == 0, F.concat(F.lit('{"images":[{"image":"http://img/'), key, F.lit('.jpg"}]}')))
             .when(sel == 1, F.lit('{"images":[]}'))
-            .when(sel == 3, F.lit('{"images":[{"image":""}]}')))
-    return sizes.select(F.concat(F.lit("m"), size).alias("mbid"),
+            .when(sel == 3, F.lit('{"images":[{"image":""}]}'))
+            .when(sel == 4, F.lit('{"images":[{"image":')))
+    return parts.select(F.concat(F.lit("m"), key).alias("mbid"),
                         F.when(sel == 2, F.lit(404)).otherwise(F.lit(200)).alias("status_code"), body.alias("body"))
 
 

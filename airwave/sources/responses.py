@@ -42,8 +42,10 @@ def _outcome(status: Column, body: Column):
     return timeout, http_error, invalid, keys
 
 
-def _http_error_text(status: Column) -> Column:
-    return truncate_error(F.concat(status.cast("string"), F.lit(" HTTP error")))
+def _http_error_text(status: Column, body: Column) -> Column:
+    """Status and what the server answered, cut at 100 characters."""
+    answer = F.coalesce(F.concat(F.lit(": "), F.when(body != "", body)), F.lit(""))
+    return truncate_error(F.concat(status.cast("string"), F.lit(" HTTP error"), answer))
 
 
 def parse_cover_responses(covers: DataFrame) -> DataFrame:
@@ -85,7 +87,7 @@ def parse_artist_responses(responses: DataFrame, covers: DataFrame | None = None
     image_hit = F.col("__has_image") & F.col("__last_image").isNotNull()
     image_url = (
         F.when(F.col("__timeout"), F.concat(F.lit("Timeout for artist: "), lookup))
-        .when(F.col("__http"), F.concat(F.lit("Request error for "), lookup, F.lit(": "), _http_error_text(status)))
+        .when(F.col("__http"), F.concat(F.lit("Request error for "), lookup, F.lit(": "), _http_error_text(status, body)))
         .when(~F.col("__ok"), F.concat(F.lit("Invalid JSON response for "), lookup))
         .when(cover_hit, F.col("__cover"))
         .when(image_hit, F.col("__last_image"))
@@ -95,7 +97,7 @@ def parse_artist_responses(responses: DataFrame, covers: DataFrame | None = None
     success = F.col("__ok") & (cover_hit | image_hit)
     error = (
         F.when(F.col("__timeout"), F.lit("API timeout"))
-        .when(F.col("__http"), _http_error_text(status))
+        .when(F.col("__http"), _http_error_text(status, body))
         .when(~F.col("__ok"), F.lit("Invalid JSON response"))
         .when(success, F.lit(None).cast("string"))
         .when(F.col("__has_image"), F.lit("No image available"))
@@ -131,7 +133,7 @@ def parse_track_responses(responses: DataFrame) -> DataFrame:
                 .when(_nonblank(track.getField("duration")) & (ms > 0), F.floor(ms / 1000))).cast("int")
     error = (
         F.when(timeout, F.lit("API timeout"))
-        .when(http_error, _http_error_text(status))
+        .when(http_error, _http_error_text(status, body))
         .when(invalid, F.lit("Invalid JSON response"))
         .when(~found, F.lit("Track not found"))
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from oracle.duck import clean_ctes, q
 
+BUSY = "<html><body>The service is busy, please wait a while before asking again, and ask for less</body></html> "
 STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 
 
@@ -19,7 +20,7 @@ def artist_answer(sel: str, name: str, mbid: str) -> str:
             f"WHEN 1 THEN {q('{\"artist\":{\"name\":\"')} || {name} || "
             f"{q('\",\"mbid\":\"\",\"image\":[{\"#text\":\" \",\"size\":\"small\"}]}}')} "
             f"WHEN 2 THEN {q('{\"artist\":{\"name\":\"')} || {name} || {q('\"}}')} "
-            f"WHEN 3 THEN {q('{\"error\":6}')} WHEN 4 THEN '{{bad' END AS body")
+            f"WHEN 3 THEN {q('{\"error\":6}')} WHEN 4 THEN '{{bad' WHEN 6 THEN {q(BUSY)} || {name} END AS body")
     return status + ", " + body
 
 
@@ -33,17 +34,17 @@ def track_answer(sel: str, song: str, artist: str, mbid: str) -> str:
             f"WHEN 2 THEN {q('{\"track\":{\"name\":\"')} || {song} || {q('\",\"duration\":\"500\"}}')} "
             f"WHEN 3 THEN {q('{\"track\":{\"name\":\"')} || {song} || {q('\",\"mbid\":\"t1\",\"duration\":\"215000.5\"}}')} "
             f"WHEN 4 THEN {q('{\"track\":{\"artist\":{\"name\":\"\"}}}')} "
-            f"WHEN 5 THEN {q('{\"error\":6}')} WHEN 7 THEN '{{bad' "
+            f"WHEN 5 THEN {q('{\"error\":6}')} WHEN 7 THEN '{{bad' WHEN 8 THEN {q(BUSY)} || {song} "
             f"WHEN 9 THEN {q('{\"track\":{\"name\":\"')} || {song} || {q('\",\"duration\":215000.5}}')} END AS body")
     return status + ", " + body
 
 
 def covers() -> str:
-    return ("cover_raw AS (SELECT 'm' || CAST(p_size AS VARCHAR) AS mbid, "
-            "CASE WHEN p_size % 4 = 2 THEN 404 ELSE 200 END AS status_code, "
-            "CASE p_size % 4 WHEN 0 THEN '{\"images\":[{\"image\":\"http://img/' || CAST(p_size AS VARCHAR) || '.jpg\"}]}' "
-            "WHEN 1 THEN '{\"images\":[]}' WHEN 3 THEN '{\"images\":[{\"image\":\"\"}]}' END AS body "
-            "FROM (SELECT DISTINCT p_size FROM part)), "
+    return ("cover_raw AS (SELECT 'm' || CAST(p_partkey AS VARCHAR) AS mbid, "
+            "CASE WHEN p_partkey % 5 = 2 THEN 404 ELSE 200 END AS status_code, "
+            "CASE p_partkey % 5 WHEN 0 THEN '{\"images\":[{\"image\":\"http://img/' || CAST(p_partkey AS VARCHAR) || '.jpg\"}]}' "
+            "WHEN 1 THEN '{\"images\":[]}' WHEN 3 THEN '{\"images\":[{\"image\":\"\"}]}' "
+            "WHEN 4 THEN '{\"images\":[{\"image\":' END AS body FROM part), "
             "covers AS (SELECT mbid, CASE WHEN status_code = 200 THEN "
             "json_extract_string(CASE WHEN json_valid(body) THEN body END, '$.images[0].image') END AS cover_image "
             "FROM cover_raw)")
@@ -101,13 +102,13 @@ def parse_artist(src: str, out: str) -> str:
         f"{out} AS (SELECT artist_clean AS artist_name, lookup_name, seq, "
         f"CASE WHEN ok THEN lastfm END AS artist_lastfm, "
         f"CASE WHEN is_to THEN 'Timeout for artist: ' || lookup_name "
-        f"WHEN is_http THEN 'Request error for ' || lookup_name || ': ' || substr(CAST(status_code AS VARCHAR) || ' HTTP error', 1, 100) "
+        f"WHEN is_http THEN 'Request error for ' || lookup_name || ': ' || substr(CAST(status_code AS VARCHAR) || ' HTTP error' || coalesce(': ' || nullif(body, ''), ''), 1, 100) "
         f"WHEN NOT ok THEN 'Invalid JSON response for ' || lookup_name "
         f"WHEN cover_hit THEN cover WHEN image_hit THEN last_image WHEN has_image THEN 'No image found' "
         f"ELSE 'Artist not found: ' || lookup_name END AS image_url, "
         f"CASE WHEN ok THEN mbid_v END AS mbid, "
         f"ok AND (cover_hit OR image_hit) AS fetch_success, "
-        f"CASE WHEN is_to THEN 'API timeout' WHEN is_http THEN substr(CAST(status_code AS VARCHAR) || ' HTTP error', 1, 100) "
+        f"CASE WHEN is_to THEN 'API timeout' WHEN is_http THEN substr(CAST(status_code AS VARCHAR) || ' HTTP error' || coalesce(': ' || nullif(body, ''), ''), 1, 100) "
         f"WHEN NOT ok THEN 'Invalid JSON response' WHEN ok AND (cover_hit OR image_hit) THEN NULL "
         f"WHEN has_image THEN 'No image available' ELSE 'Artist not found' END AS error_message FROM {out}__g)")
 
@@ -134,7 +135,7 @@ def parse_track(src: str, out: str) -> str:
         f"WHEN found AND dur IS NOT NULL AND dur <> '' AND ms > 0 THEN CAST(ms // 1000 AS INTEGER) END AS duration, "
         f"CASE WHEN found AND mb IS NOT NULL AND mb <> '' THEN mb END AS track_mbid, "
         f"found AS fetch_success, "
-        f"CASE WHEN is_to THEN 'API timeout' WHEN is_http THEN substr(CAST(status_code AS VARCHAR) || ' HTTP error', 1, 100) "
+        f"CASE WHEN is_to THEN 'API timeout' WHEN is_http THEN substr(CAST(status_code AS VARCHAR) || ' HTTP error' || coalesce(': ' || nullif(body, ''), ''), 1, 100) "
         f"WHEN NOT ok THEN 'Invalid JSON response' WHEN NOT found THEN 'Track not found' END AS error_message FROM {out}__d)")
 
 

@@ -117,6 +117,43 @@ oracle("previews", with_plays(
     "SELECT artist_name, CASE WHEN fetch_success THEN 'Success' ELSE 'Failed' END AS status, "
     "substr(image_url, 1, 50) || '...' AS image_preview FROM artist_cache", M.artist_cache_ctes()))
 
+oracle("cache_preview", ORACLES["previews"] + " ORDER BY artist_name LIMIT 5")
+oracle("first_records", with_plays(
+    "SELECT play_key, raw_artist, artist_clean, callsign, raw_time FROM plays ORDER BY play_key LIMIT 10"))
+
+
+def long_rows(section: str, metric: str, value: str, src: str, item: str = "NULL", rank: str = "NULL") -> str:
+    return (f"SELECT '{section}' AS section, CAST({rank} AS INTEGER) AS rank, CAST({item} AS VARCHAR) AS item, "
+            f"'{metric}' AS metric, CAST({value} AS BIGINT) AS value FROM {src}")
+
+
+oracle("exploration_report", with_plays(" UNION ALL ".join([
+    long_rows("summary", "records", "count(*)", "plays"),
+    long_rows("summary", "distinct_raw_artists", "count(*)", "(SELECT DISTINCT raw_artist FROM plays)"),
+    long_rows("callsign", "records", "count(*)", "plays GROUP BY callsign", "callsign"),
+    long_rows("fetch_status", "entries", "count(*)", "artist_cache GROUP BY fetch_success",
+              "CASE WHEN fetch_success THEN 'Success' ELSE 'Failed' END")]), M.artist_cache_ctes()))
+
+SHOWN = ("shown AS (SELECT coalesce(artist_lastfm, artist_clean) AS name, count(*) AS plays, "
+         "count(*) FILTER (track_duration > 0) AS timed, sum(track_duration) FILTER (track_duration > 0) AS seconds "
+         "FROM plays WHERE artist_clean IS NOT NULL GROUP BY 1), "
+         "listened AS (SELECT *, row_number() OVER (ORDER BY seconds DESC, name) AS r FROM shown WHERE timed > 0), "
+         "fewest AS (SELECT *, row_number() OVER (ORDER BY plays, name) AS r FROM shown), "
+         "most AS (SELECT *, row_number() OVER (ORDER BY plays DESC, name) AS r FROM ("
+         "SELECT artist_clean AS name, count(*) AS plays FROM plays WHERE artist_clean IS NOT NULL GROUP BY 1))")
+oracle("statistics_report", with_plays(" UNION ALL ".join([
+    long_rows("summary", "records", "count(*)", "plays"),
+    long_rows("summary", "records_with_timestamps", "count(time_unix)", "plays"),
+    long_rows("summary", "records_with_duration", "count(track_duration)", "plays"),
+    long_rows("summary", "cached_artists", "count(*)", "artist_cache"),
+    long_rows("summary", "successful_images", "count(*) FILTER (fetch_success)", "artist_cache"),
+    long_rows("summary", "cached_tracks", "count(*)", "track_cache"),
+    long_rows("summary", "tracks_with_duration", "count(duration)", "track_cache"),
+    long_rows("top_listening_time", "seconds", "seconds", "listened WHERE r <= 10", "name", "r"),
+    long_rows("top_listening_time", "timed", "timed", "listened WHERE r <= 10", "name", "r"),
+    long_rows("bottom_artists", "plays", "plays", "fewest WHERE r <= 10", "name", "r"),
+    long_rows("top_artists", "plays", "plays", "most WHERE r <= 10", "name", "r")]),
+    M.artist_cache_ctes() + ", " + M.track_cache_ctes() + ", " + SHOWN))
 
 oracle("random_sample", with_plays(
     "SELECT artist_clean, song_clean, duration, substr(track_mbid, 1, 8) || '...' AS mbid_preview, "
@@ -134,6 +171,19 @@ oracle("log_round_trip", with_plays("""
 SELECT raw_song AS "RAW_SONG", raw_artist AS "RAW_ARTIST", callsign AS "CALLSIGN", raw_time AS "TIME",
   CAST(play_key AS VARCHAR) AS "UNIQUE_ID", concat_ws(' - ', raw_artist, raw_song) AS "COMBINED",
   CASE WHEN first_play THEN 'Y' ELSE 'N' END AS "First?" FROM plays"""))
+VALUES = [f"coalesce('\"' || replace({x}, '\"', '\\\"') || '\"', '')" for x in (
+    "raw_song", "raw_artist", "callsign", "raw_time", "CAST(play_key AS VARCHAR)", "concat_ws(' - ', raw_artist, raw_song)",
+    "CASE WHEN first_play THEN 'Y' ELSE 'N' END")]
+oracle("log_quarantine", with_plays(f"""
+SELECT CASE WHEN line IS NULL THEN raw_song END AS "RAW_SONG", CASE WHEN line IS NULL THEN raw_artist END AS "RAW_ARTIST",
+  CASE WHEN line IS NULL THEN callsign END AS "CALLSIGN", CASE WHEN line IS NULL THEN raw_time END AS "TIME",
+  CASE WHEN line IS NULL THEN CAST(play_key AS VARCHAR) END AS "UNIQUE_ID",
+  CASE WHEN line IS NULL THEN concat_ws(' - ', raw_artist, raw_song) END AS "COMBINED",
+  CASE WHEN line IS NULL THEN CASE WHEN first_play THEN 'Y' ELSE 'N' END END AS "First?", line,
+  CASE play_key % 11 WHEN 3 THEN 'too few values' WHEN 5 THEN 'too many values' WHEN 7 THEN 'open quote' END AS reason,
+  CASE WHEN line IS NULL THEN 'kept' ELSE 'quarantined' END AS status
+FROM (SELECT *, CASE play_key % 11 WHEN 3 THEN {" || ';' || ".join(VALUES[:4])} WHEN 5 THEN {" || ';' || ".join(VALUES)} || ';more'
+  WHEN 7 THEN '"' || {" || ';' || ".join(VALUES[:6])} || ';"Y' END AS line FROM plays)"""))
 oracle("export_round_trip", with_plays("SELECT play_key, callsign, raw_time, track_duration FROM plays"))
 oracle("rollup_round_trip", ORACLES["distinct_artist_rollup"].replace(
     "min(artist_lastfm) AS artist_lastfm", "nullif(min(artist_lastfm), '') AS artist_lastfm"))

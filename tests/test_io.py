@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from airwave import schemas
@@ -193,3 +195,66 @@ def test_pipeline_on_own_inputs(spark):
     assert {r.artist_name: r.fetch_success for r in spark.read.parquet(f"{d}/artist_images").collect()} == {
         "Clapton": True, "The Beatles": True}
     assert out.statistics["top_listening_time"].first()["total_listening_seconds"] == 14
+
+
+def test_broken_lines_are_kept_as_data(spark):
+    from airwave.schemas import RAW_LOG
+
+    d = _tmp()
+    os.makedirs(f"{d}/log")
+    lines = ["a;b;c;d;e;f;g", '"x;y";"say \\"hi\\"";;d;e;f;g', "a;b;c", "a;b;c;d;e;f;g;h", 'a;"b;c;d;e;f;g', '"a;b";c;d;e;f;g']
+    with open(f"{d}/log/part.csv", "w") as f:
+        f.write("\n".join([";".join(RAW_LOG.names), *lines]) + "\n")
+    checked = tables.read_checked_log(spark, f"{d}/log")
+    assert sinks.save_checked(checked, f"{d}/out") == {"kept": 2, "quarantined": 4}
+    kept = sinks.read_checked(spark, f"{d}/out", checked.schema, "kept").select(*RAW_LOG.names).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted(
+        [tuple("abcdefg"), ("x;y", 'say "hi"', None, "d", "e", "f", "g")], key=str)
+    bad = sinks.read_checked(spark, f"{d}/out", checked.schema, "quarantined")
+    assert {r.line: r.reason for r in bad.collect()} == {
+        lines[2]: "too few values", lines[3]: "too many values", lines[4]: "open quote", lines[5]: "too few values"}
+    assert bad.where(F.coalesce(*[F.col(f"`{c}`") for c in RAW_LOG.names]).isNotNull()).count() == 0
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_time_by_arithmetic_is_the_parser(spark, zone):
+    import random
+
+    from airwave.functions.timeparse import parse_time, with_time
+    from test_clean import TIMES
+
+    rng = random.Random(3)
+    texts = [t for t, _ in TIMES] + ["2023-02-29", "2024-02-29 23:59:59", "0000-01-01", "1900-2-29", "2000-2-29", "12/31/1999 12:00:00 am",
+             "12/31/1999 00:00:00 PM", "1/1/2020 13:00:00 PM", "1/1/2020 1:00 PM", " 2020-01-01\t01:02 ", "2020/01/01", "1-1-2020",
+             "2020-01-01 24:00:00", "2020-01-01 1:60", "2020-1-1 1:1:60", "1_000", "+5e3", "\u00a02021-01-01"]
+    texts += [f"{rng.randint(1900, 2100)}-{rng.randint(0, 13)}-{rng.randint(0, 32)} {rng.randint(0, 25)}:{rng.randint(0, 61)}"
+              for _ in range(200)]
+    texts += [f"{rng.randint(0, 13)}/{rng.randint(0, 32)}/{rng.randint(1900, 2100)} {rng.randint(0, 13)}:{rng.randint(0, 61)}:"
+              f"{rng.randint(0, 61)} {rng.choice(['am', 'PM', 'Am'])}" for _ in range(200)]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        for r in with_time(df, "t", "got").withColumn("want", parse_time("t")).collect():
+            assert r.got == r.want, r
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_reports_scan_the_records_once(spark, monkeypatch):
+    from airwave.plans import reports
+
+    d = _tmp()
+    spark.createDataFrame([("K1", "a", "A", None, 1, 10), (None, None, None, None, None, None), ("K1", "b", "A", "AA", 2, 5)],
+                          "callsign string, raw_artist string, artist_clean string, artist_lastfm string, time_unix long, "
+                          "track_duration int").write.parquet(f"{d}/r")
+    records = spark.read.parquet(f"{d}/r")
+    plans = []
+    plain = reports.durable
+    monkeypatch.setattr(reports, "durable", lambda df: plans.append(df) or plain(df))
+    cache = spark.createDataFrame([("A", True, 5)], "artist_name string, fetch_success boolean, duration int")
+    got = {(r.section, r["rank"], r.item, r.metric): r.value for r in reports.statistics_report(records, cache, cache).collect()}
+    assert got["top_listening_time", 1, "A", "seconds"] == 10 and got["bottom_artists", 2, "AA", "plays"] == 1
+    assert got["top_artists", 1, "A", "plays"] == 2 and got["summary", None, None, "records"] == 3
+    assert plans[0]._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    seen = {(r.section, r.item, r.metric): r.value for r in reports.exploration_report(records, cache).collect()}
+    assert seen["callsign", None, "records"] == 1 and seen["summary", None, "distinct_raw_artists"] == 3
