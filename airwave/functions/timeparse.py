@@ -1,73 +1,64 @@
-"""Mixed-format play times to Unix seconds in native expressions."""
+"""Mixed-format play times to Unix seconds as one native expression."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from airwave.functions import rules
 from airwave.functions.text import collapse_ws, let, py_strip
 
+# A date, or a date and a time, in the shapes of TIME_SHAPES.
+DATED = (r"^(\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}(:\d{1,2})?)?"
+         r"|\d{1,2}/\d{1,2}/\d{4}( \d{1,2}:\d{1,2}(:\d{1,2}( [AaPp][Mm])?)?)?)$")
+UNEVEN = r"[^\x21-\x7e ]|^ | $|  "
+
 
 def parse_time(raw) -> Column:
-    """``parse_time_to_unix``: first matching format, else a number truncated
-    toward zero, else NULL.  Returns BIGINT (seconds), read in the session
-    time zone (pin it to UTC for naive times).
+    """``parse_time_to_unix``: a date or date and time in one of the known
+    formats, else a number truncated toward zero, else NULL.  Returns BIGINT
+    (seconds), read in the session time zone (pin it to UTC for naive times).
 
     Whitespace runs are collapsed first: the strptime formats accept any run of
     whitespace where the format has one space.  ``inf``/``nan`` give NULL.
+
+    A string is cut once; its numbers are checked and added up.  One shape test
+    and one split stand for a try of the parser per format.  Values used more
+    than once are bound (``let``), which also keeps the expression out of the
+    generated code of the scan and joins around it: fused with them it made
+    methods too long for the JIT.
     """
     c = F.col(raw) if isinstance(raw, str) else raw
 
-    def parse(s):
-        parsed = [F.when(s.rlike(shape), F.unix_seconds(F.try_to_timestamp(s, F.lit(fmt))))
-                  for (fmt, _), shape in zip(rules.TIME_FORMATS, rules.TIME_SHAPES)]
+    def parse(s: Column) -> Column:
         number = F.regexp_replace(s, "_", "").try_cast("double")
         numeric = F.when(s.rlike(rules.NUMBER_PATTERN), number.try_cast("bigint"))
-        return F.when(s != "", F.coalesce(*parsed, numeric))
+        return let(F.when(s.rlike(DATED), F.split(s, "[-/ :]")),
+                   lambda p: F.when(p.isNull(), numeric).otherwise(let(_fields(p), _seconds)))
 
-    return let(collapse_ws(py_strip(c)), parse)
+    return let(F.when(c.rlike(UNEVEN), collapse_ws(py_strip(c))).otherwise(c), parse)
 
 
-# A date, or a date and a time, in the shapes of TIME_SHAPES.
-DATED = (r"^(\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}(:\d{1,2})?)?"
-         r"|\d{1,2}/\d{1,2}/\d{4}( \d{1,2}:\d{1,2}(:\d{1,2}( [AaPp][Mm])?)?)?)$")
-UNEVEN = r"(?U)^\s|\s$|\s\s|[^\S ]"
-
-
-def with_time(df: DataFrame, raw: str, out: str) -> DataFrame:
-    """``df`` with ``out`` = ``parse_time(raw)``, by arithmetic: a string is cut once and its numbers are checked.
+def _fields(p: Column) -> Column:
+    """Year, month, day, hour (99 if the clock has no such hour), minute and second of the cut string."""
+    def number(k: int) -> Column:
+        return F.coalesce(F.get(p, F.lit(k)).try_cast("int"), F.lit(0))
 
-    One shape test and one split replace up to seven tries of the parser, in
-    generated code; the day is a date made of three numbers, the time of day a
-    sum.  In a session zone other than UTC the sum is read as that zone's clock.
-    """
-    c = F.col(f"`{raw}`")
-    df = df.withColumn("__s", F.when(c.rlike(UNEVEN), collapse_ws(py_strip(c))).otherwise(c))
-    df = df.withColumn("__p", F.when(F.col("__s").rlike(DATED), F.split("__s", "[-/ :]")))
-    parts = F.col("__p")
+    iso = F.length(F.get(p, F.lit(0))) == 4
+    half, hour = F.upper(F.get(p, F.lit(6))), number(3)
+    clock = F.when(half.isNull(), hour).when(
+        hour.between(1, 12), hour % 12 + F.when(half == "PM", 12).otherwise(0)).otherwise(99)
+    return F.struct(F.when(iso, number(0)).otherwise(number(2)).alias("y"), F.when(iso, number(1)).otherwise(number(0)).alias("m"),
+                    F.when(iso, number(2)).otherwise(number(1)).alias("d"), clock.alias("h"), number(4).alias("i"),
+                    number(5).alias("s"))
 
-    def number(k: int) -> Column:
-        return F.coalesce(F.get(parts, F.lit(k)).try_cast("int"), F.lit(0))
 
-    iso = F.length(F.get(parts, F.lit(0))) == 4
-    half = F.upper(F.get(parts, F.lit(6)))
-    df = df.withColumns({
-        "__y": F.when(iso, number(0)).otherwise(number(2)), "__m": F.when(iso, number(1)).otherwise(number(0)),
-        "__d": F.when(iso, number(2)).otherwise(number(1)),
-        "__c": F.when(half.isNull(), number(3)).when(number(3).between(1, 12), number(3) % 12
-                                                     + F.when(half == "PM", 12).otherwise(0)).otherwise(99),
-        "__i": number(4), "__e": number(5)})
-    y, m, d = F.col("__y"), F.col("__m"), F.col("__d")
+def _seconds(v: Column) -> Column:
+    """Unix seconds of checked fields; NULL for a day or time that does not exist."""
+    y, m, d, h, i, s = (v.getField(f) for f in ("y", "m", "d", "h", "i", "s"))
     leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
-    most = F.when(m == 2, F.when(leap, 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
-    valid = (parts.isNotNull() & (y >= 1) & m.between(1, 12) & (d >= 1) & (d <= most)
-             & (F.col("__c") < 24) & (F.col("__i") < 60) & (F.col("__e") < 60))
-    day = F.unix_date(F.make_date(y, m, d)).cast("bigint")
-    clock = day * 86400 + F.col("__c") * 3600 + F.col("__i") * 60 + F.col("__e")
-    if df.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC":
-        clock = F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(clock), F.current_timezone()))
-    number_text = F.regexp_replace("__s", "_", "").try_cast("double")
-    numeric = F.when(parts.isNull() & F.col("__s").rlike(rules.NUMBER_PATTERN), number_text.try_cast("bigint"))
-    return df.withColumn(out, F.when(valid, clock).otherwise(numeric)).drop(
-        "__s", "__p", "__y", "__m", "__d", "__c", "__i", "__e")
+    days = F.when(m == 2, F.when(leap, 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
+    valid = (y >= 1) & m.between(1, 12) & (d >= 1) & (d <= days) & (h < 24) & (i < 60) & (s < 60)
+    local = F.unix_date(F.make_date(y, m, d)).cast("bigint") * 86400 + h * 3600 + i * 60 + s
+    zoned = F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(local), F.current_timezone()))
+    return F.when(valid, F.when(F.current_timezone() == "UTC", local).otherwise(zoned))

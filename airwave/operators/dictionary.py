@@ -52,7 +52,8 @@ def map_distinct(df: DataFrame, keys: list[str], outputs: dict[str, Column],
                  source: DataFrame | None = None) -> DataFrame:
     """``df.withColumns(outputs)`` computed once per distinct ``keys`` value.
 
-    ``source``: a smaller table that holds all the keys of ``df``, if there is one.
+    ``source``: a smaller table that holds all the keys of ``df``, if there is one
+    (``distinct_values`` makes it for several columns in one pass).
 
     ``outputs`` may only read the ``keys`` columns.  NULL keys match NULL keys.
     The dictionary is written once; within the bounds it is broadcast, beyond
@@ -67,3 +68,14 @@ def map_distinct(df: DataFrame, keys: list[str], outputs: dict[str, Column],
         cond = c if cond is None else cond & c
     joined = df.join(renamed, cond, "left")
     return joined.drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def distinct_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The distinct values of several string columns, from one pass: (of, value), written once."""
+    tagged = F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).alias("value")) for c in columns]))
+    return durable(df.select(tagged.alias("x")).select("x.*").distinct())
+
+
+def values_of(values: DataFrame, column: str) -> DataFrame:
+    """One column's part of ``distinct_values``."""
+    return values.where(F.col("of") == column).select(F.col("value").alias(column))

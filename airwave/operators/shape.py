@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airwave.functions.clean import clean_artist, clean_song
-from airwave.functions.timeparse import with_time
-from airwave.operators.dictionary import map_distinct
-from airwave.session import durable
+from airwave.functions.timeparse import parse_time
+from airwave.operators.dictionary import distinct_values, map_distinct, values_of
 
 REQUIRED_COLUMNS = ["raw_song", "raw_artist", "song_clean", "artist_clean", "callsign", "time",
                     "time_unix", "unique_id", "combined", "first_question"]
@@ -28,13 +27,13 @@ def add_clean_columns(df: DataFrame, artist: str = "RAW_ARTIST", song: str = "RA
                       time: str = "TIME", suffix_case=str.upper) -> DataFrame:
     """ARTIST_CLEAN, SONG_CLEAN, TIME_UNIX.
 
-    One pass over the log finds the distinct (artist, song) pairs, from which
-    both cleaning dictionaries are made; the log itself is only joined to them.
+    One pass over the log finds the distinct artists and songs, from which both
+    cleaning dictionaries are made; the log itself is only joined to them.
     """
-    pairs = durable(df.select(artist, song).distinct())
-    df = map_distinct(df, [artist], {suffix_case("artist_clean"): clean_artist(artist)}, source=pairs)
-    df = map_distinct(df, [song], {suffix_case("song_clean"): clean_song(song)}, source=pairs)
-    return with_time(df, time, suffix_case("time_unix"))
+    values = distinct_values(df, [artist, song])
+    df = map_distinct(df, [artist], {suffix_case("artist_clean"): clean_artist(artist)}, source=values_of(values, artist))
+    df = map_distinct(df, [song], {suffix_case("song_clean"): clean_song(song)}, source=values_of(values, song))
+    return df.withColumn(suffix_case("time_unix"), parse_time(time))
 
 
 def normalize_column_names(df: DataFrame) -> DataFrame:

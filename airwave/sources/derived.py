@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from airwave.functions.clean import clean_artist, clean_song
 from airwave.functions.text import lookup_term
-from airwave.functions.timeparse import with_time
-from airwave.operators.dictionary import map_distinct
-from airwave.session import durable
+from airwave.functions.timeparse import parse_time
+from airwave.operators.dictionary import distinct_values, map_distinct, values_of
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,13 +109,13 @@ def with_clean_columns(df: DataFrame, artist: str = "raw_artist", song: str = "r
     A dictionary is only built for a column that is asked for; two are made
     from one pass over the plays.
     """
-    both = "artist_clean" in columns and "song_clean" in columns
-    pairs = durable(df.select(artist, song).distinct()) if both else None
+    asked = [raw for raw, clean in ((artist, "artist_clean"), (song, "song_clean")) if clean in columns]
+    values = distinct_values(df, asked) if len(asked) == 2 else None
     if "artist_clean" in columns:
-        df = map_distinct(df, [artist], {"artist_clean": clean_artist(artist)}, source=pairs)
+        df = map_distinct(df, [artist], {"artist_clean": clean_artist(artist)}, source=values and values_of(values, artist))
     if "song_clean" in columns:
-        df = map_distinct(df, [song], {"song_clean": clean_song(song)}, source=pairs)
-    return with_time(df, time, "time_unix") if "time_unix" in columns else df
+        df = map_distinct(df, [song], {"song_clean": clean_song(song)}, source=values and values_of(values, song))
+    return df.withColumn("time_unix", parse_time(time)) if "time_unix" in columns else df
 
 
 def plays(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
