@@ -26,8 +26,11 @@ vectors are summed in slices of 1,024.
 Defined results: a vector that is null, empty, all zero, or holds a null or
 non-finite component takes no part; so does one without an id, or whose number
 of components is not that of the query.  A query with fewer than k candidates
-gets all of them.  Rows that repeat an id are all candidates, but never of a
-query with that id.
+gets all of them.  A repeated row (same id, same vector) is one query and one
+candidate, so copies never push others out of a list.  Different vectors under
+one id are all candidates, but never of a query with that id; as queries each
+has a list of its own.  Distances beyond double precision are infinite and
+rank last, by id.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +54,8 @@ GROUP_CANDIDATES = 8
 SLICE = 1024
 
 BLOCK = "block long, dim int, ids binary, values binary"
-FOUND = "query_id long, vec_id long, score double"
+# ``query`` and ``mark`` tell vectors under one id apart.
+FOUND = "query_id long, query long, vec_id long, mark long, score double"
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -91,11 +96,16 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
 
 
 class Coded:
-    """One block: ids, original vectors, int8 codes, scales, squared code norms, residual norms."""
+    """One block's distinct rows: ids, original vectors and their marks, int8 codes, scales, squared code norms, residual norms."""
 
     def __init__(self, ids: bytes, values: bytes, dim: int):
         self.ids = np.frombuffer(ids, np.int64)
-        self.x = np.frombuffer(values, np.float64).reshape(-1, dim)
+        self.x = np.frombuffer(values, np.float64).reshape(-1, dim) + 0.0  # -0.0 is 0.0
+        self.marks = np.array([xxhash.xxh3_64_intdigest(v) for v in self.x], np.uint64).view(np.int64)
+        _, first = np.unique(np.stack([self.ids, self.marks], axis=1), axis=0, return_index=True)
+        if len(first) < len(self.ids):
+            first.sort()
+            self.ids, self.x, self.marks = self.ids[first], self.x[first], self.marks[first]
         top = np.abs(self.x).max(axis=1)
         self.scale = np.maximum(top, np.finfo(np.float64).tiny) / 127
         self.code = np.rint(self.x / self.scale[:, None]).astype(np.int8)
@@ -117,26 +127,35 @@ def exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.cumsum((x - y) ** 2, axis=1)[:, -1])
 
 
-def tile(query: Coded, candidate: Coded, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query (its row): the ids and exact distances of the candidates that may be among its k nearest."""
+def survivors(query: Coded, candidate: Coded, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each query (its row): the rows and exact distances of the candidates that may be among its k nearest."""
     product = int8_products(query.code, candidate.code) * query.scale[:, None] * candidate.scale[None, :]
     square = query.square[:, None] + candidate.square[None, :]
     # Rounding of the coded distance itself is covered by a margin relative to the terms it is made of.
     between = np.sqrt(np.maximum(square - 2 * product, 0))
     margin = query.rest[:, None] + candidate.rest[None, :] + 1e-6 * np.sqrt(square)
-    upper = np.where(query.ids[:, None] == candidate.ids[None, :], np.inf, between + margin)
+    own = query.ids[:, None] == candidate.ids[None, :]
+    # A bound that overflowed (not a number) limits nothing and drops nothing.
+    upper = np.where(own | np.isnan(between + margin), np.inf, between + margin)
     if upper.shape[1] > k:
         limit = np.partition(upper, k - 1, axis=1)[:, k - 1]
     else:
         limit = np.full(len(upper), np.inf)
-    keep = (between - margin <= limit[:, None]) & np.isfinite(upper)
+    keep = ~(between - margin > limit[:, None]) & ~own
     for i in np.flatnonzero(keep.any(axis=1)):
         at = np.flatnonzero(keep[i])
-        yield i, candidate.ids[at], exact(np.broadcast_to(query.x[i], (len(at), query.x.shape[1])), candidate.x[at])
+        yield i, at, exact(np.broadcast_to(query.x[i], (len(at), query.x.shape[1])), candidate.x[at])
+
+
+def tile(query: Coded, candidate: Coded, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``survivors`` with the candidates' ids."""
+    for i, at, score in survivors(query, candidate, k):
+        yield i, candidate.ids[at], score
 
 
 def smallest(held: list, more, k: int) -> list:
-    return heapq.nsmallest(k, [*held, *more])
+    """The k smallest of both; equal entries are one."""
+    return heapq.nsmallest(k, {*held, *more})
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -160,32 +179,32 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         "g", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
 
     def search(key, own, others):
-        heaps: dict[int, list] = {}
+        heaps: dict[tuple, list] = {}
+        queries: dict[int, list[Coded]] = {}
         for ids, values, dim in zip(*(own.column(c).to_pylist() for c in ("ids", "values", "dim"))):
-            query = Coded(ids, values, dim)
-            for other_ids, other_values, other_dim in zip(*(others.column(c).to_pylist()
-                                                            for c in ("ids", "values", "dim"))):
-                if other_dim != dim:
-                    continue
-                for i, found, score in tile(query, Coded(other_ids, other_values, dim), k):
-                    name = int(query.ids[i])
-                    heaps[name] = smallest(heaps.get(name, ()), zip(score.tolist(), found.tolist()), k)
+            queries.setdefault(dim, []).append(Coded(ids, values, dim))
+        for ids, values, dim in zip(*(others.column(c).to_pylist() for c in ("ids", "values", "dim"))):
+            if dim not in queries:
+                continue
+            other = Coded(ids, values, dim)
+            for query in queries[dim]:
+                for i, at, score in survivors(query, other, k):
+                    name = int(query.ids[i]), int(query.marks[i])
+                    more = zip(score.tolist(), other.ids[at].tolist(), other.marks[at].tolist())
+                    heaps[name] = smallest(heaps.get(name, ()), more, k)
         return found_table(heaps)
 
     partial = left.groupBy("g", "h").cogroup(right.groupBy("g", "h")).applyInArrow(search, FOUND)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heaps: dict[int, list] = {}
+        heaps: dict[tuple, list] = {}
         for b in batches:
-            for q, v, s in zip(*(c.to_pylist() for c in b.columns)):
-                heap = heaps.setdefault(q, [])
-                # The root of the heap is the worst of the k held: largest distance, then largest id.
-                if len(heap) < k:
-                    heapq.heappush(heap, (-s, -v))
-                elif (-s, -v) > heap[0]:
-                    heapq.heapreplace(heap, (-s, -v))
-        ranked = {q: sorted((-s, -v) for s, v in heap) for q, heap in heaps.items()}
-        flat = [(q, r, v, s) for q, heap in ranked.items() for r, (s, v) in enumerate(heap, 1)]
+            found: dict[tuple, list] = {}
+            for q, of, v, mark, x in zip(*(c.to_pylist() for c in b.columns)):
+                found.setdefault((q, of), []).append((x, v, mark))
+            for name, more in found.items():
+                heaps[name] = smallest(heaps.get(name, ()), more, k)
+        flat = [(q, r, v, x) for (q, _), heap in heaps.items() for r, (x, v, _) in enumerate(heap, 1)]
         for at in range(0, len(flat), 50_000):
             q, r, v, s = zip(*flat[at:at + 50_000])
             yield pa.RecordBatch.from_arrays(
@@ -195,8 +214,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     return partial.repartition("query_id").mapInArrow(merge, "query_id long, rank int, vec_id long, score double")
 
 
-def found_table(heaps: dict[int, list]) -> pa.Table:
-    rows = [(q, v, s) for q, heap in heaps.items() for s, v in heap]
-    q, v, s = zip(*rows) if rows else ((), (), ())
-    return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()),
-                     "score": pa.array(s, pa.float64())})
+def found_table(heaps: dict[tuple, list]) -> pa.Table:
+    rows = [(*name, v, mark, x) for name, heap in heaps.items() for x, v, mark in heap]
+    columns = list(zip(*rows)) or [()] * 5
+    return pa.table({field.split()[0]: pa.array(column, pa.float64() if field.endswith("double") else pa.int64())
+                     for field, column in zip(FOUND.split(", "), columns)})

@@ -67,3 +67,23 @@ def test_bounds_hold_and_prune():
         d = np.sqrt(((x[i] - x[20:]) ** 2).sum(axis=1))
         assert {20 + int(j) for j in np.argsort(d)[:10]} <= kept[i].keys()
         assert len(kept[i]) < 60
+
+
+def test_repeated_rows_hide_no_neighbour(spark):
+    rows = rows_of(60, 8)
+    once = nearest(frame(spark, rows), F.col("vec_id") % 20 == 0, 10).collect()
+    many = nearest(frame(spark, rows * 5 + rows[:30] * 9), F.col("vec_id") % 20 == 0, 10, candidate_block=50).collect()
+    assert len(once) == 30 and sorted(many) == sorted(once)
+
+
+def test_vectors_under_one_id(spark):
+    rows = [(0, [0.0, 1.0]), (0, [9.0, 1.0]), (1, [1.0, 1.0]), (1, [8.0, 1.0]), (2, [4.0, 1.0])]
+    got = nearest(frame(spark, rows), F.col("vec_id") == 0, 2, candidate_block=2)
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got.collect()) == [
+        (1, 1, 1.0), (1, 1, 1.0), (2, 2, 4.0), (2, 2, 5.0)]
+
+
+def test_distances_beyond_double_precision_drop_none():
+    x = np.random.default_rng(5).standard_normal((40, 4)) * 1e200
+    block = Coded(np.arange(40).tobytes(), x.tobytes(), 4)
+    assert {i: len(ids) for i, ids, _ in tile(block, block, 10)} == dict.fromkeys(range(40), 39)
