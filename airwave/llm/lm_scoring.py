@@ -36,10 +36,10 @@ How it runs:
 * Training: in each of ``ROUNDS`` jobs every task starts from the same weights
   and takes Adam steps over its share of all learning windows; Spark adds up the
   tasks' weights times tokens, by weight, and the average starts the next round.
-  One in ``TRAIN_EVERY`` windows of every block is used a round (dealt by a hash
-  of block and window), so the work grows with the corpus; counts use all of it.
-  Where that makes fewer than ``LEAST_STEPS`` steps in all, tasks go on through
-  their other windows.
+  Every learning window is used in exactly one round (dealt by a hash of block
+  and window), so counts and weights learn from the whole corpus.  Where that
+  makes fewer than ``LEAST_STEPS`` steps in all, tasks go on through their other
+  windows.
   As with any data-parallel training, the split of the input moves the weights
   a little; the same split gives the same weights.
 
@@ -85,7 +85,6 @@ DIM = 16
 HIDDEN = 32
 DISCOUNT = 0.5
 ROUNDS = 2
-TRAIN_EVERY = 32
 BATCH = 64
 RATE = 0.01
 LEAST_STEPS = 400
@@ -381,41 +380,49 @@ def log_probabilities(model: Model, block: Block) -> np.ndarray:
 def gradients(w: dict, prior: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[dict, int]:
     """Gradient of the mean loss of the class predictions at all places of the windows (targets -1 are none)."""
     scale = np.float32(DIM ** -0.5)
-    e = w["e"][x]
-    q, k, v = e @ (w["q"] * scale), e @ w["k"], e @ w["v"]
-    a = q @ k.transpose(0, 2, 1) + (w["b"][DISTANCE] + CAUSAL)
+    flat = x.reshape(-1)
+    one, out = np.ones((DIM, 1), np.float32), np.ones(CLASSES, np.float32)
+    mixers = np.hstack([w["q"] * scale, w["k"], w["v"]])
+    e = w["e"][flat]
+    q, k, v = (m.reshape(*x.shape, DIM) for m in np.split(e @ mixers, 3, axis=1))
+    a = q @ k.transpose(0, 2, 1)
+    a += w["b"][DISTANCE] + CAUSAL
     a += np.where(x == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
-    a -= a.max(-1, keepdims=True)
-    np.exp(a, out=a)
-    a /= a.sum(-1, keepdims=True)
-    h = np.concatenate([e, a @ v], -1).reshape(-1, 2 * DIM)
-    r = np.maximum(h @ w["w"] + w["c"], 0)
-    o = np.concatenate([h, r], 1)
-    g = o @ w["u"] + prior[x.reshape(-1)]
-    g -= g.max(1, keepdims=True)
-    np.exp(g, out=g)
-    g /= g.sum(1, keepdims=True)
+    # No maximum is taken off: only what lies beyond SAFE is clipped, and an empty sum is kept from 0 / 0.
+    np.exp(np.minimum(a, SAFE, out=a), out=a)
+    a /= np.maximum(a @ np.ones((a.shape[-1], 1), np.float32), 1e-30)
+    mix = (a @ v).reshape(-1, DIM)
+    r = np.maximum(e @ w["w"][:DIM] + mix @ w["w"][DIM:] + w["c"], 0)
+    o = np.concatenate([e, mix, r], 1)
+    g = o @ w["u"]
+    g += prior[flat]
+    np.exp(np.minimum(g, SAFE, out=g), out=g)
     ok = y >= 0
-    g[np.arange(len(y)), np.where(ok, y, 0)] -= 1
-    g *= (ok / max(1, ok.sum())).astype(np.float32)[:, None]
+    g *= (ok / np.maximum(g @ out, 1e-30) / max(1, ok.sum())).astype(np.float32)[:, None]
+    at = np.flatnonzero(ok)
+    g[at, y[at]] -= np.float32(1 / max(1, len(at)))
     d = {"u": o.T @ g}
     back = g @ w["u"].T
     hidden = back[:, 2 * DIM:] * (r > 0)
-    d["w"], d["c"] = h.T @ hidden, hidden.sum(0)
-    dh = (back[:, :2 * DIM] + hidden @ w["w"].T).reshape(*x.shape, 2 * DIM)
-    dc = dh[..., DIM:]
-    dv = a.transpose(0, 2, 1) @ dc
+    d["w"], d["c"] = o[:, :2 * DIM].T @ hidden, np.ones(len(hidden), np.float32) @ hidden
+    dh = back[:, :2 * DIM] + hidden @ w["w"].T
+    dc = np.ascontiguousarray(dh[:, DIM:])
+    through = (dc * mix) @ one  # what each place's weights share: the sum of da * a over its keys
+    dc = dc.reshape(*x.shape, DIM)
     da = dc @ v.transpose(0, 2, 1)
-    da -= (da * a).sum(-1, keepdims=True)
+    da -= through.reshape(*x.shape, 1)
     da *= a
     d["b"] = np.bincount(DISTANCE.reshape(-1), weights=(da.sum(0) * (BACK >= 0)).reshape(-1), minlength=WINDOW)
-    dq, dk = da @ k, da.transpose(0, 2, 1) @ q
-    flat = e.reshape(-1, DIM)
-    d["q"], d["k"], d["v"] = (flat.T @ m.reshape(-1, DIM) for m in (dq * scale, dk, dv))
-    de = dh[..., :DIM] + dq @ (w["q"].T * scale) + dk @ w["k"].T + dv @ w["v"].T
+    back = da.transpose(0, 2, 1)
+    moved = np.concatenate([da @ k, back @ q, a.transpose(0, 2, 1) @ dc], -1).reshape(-1, 3 * DIM)
+    d["q"], d["k"], d["v"] = np.split(e.T @ moved, 3, axis=1)
+    d["q"] = d["q"] * scale
+    de = dh[:, :DIM] + moved @ mixers.T
+    order = np.argsort(flat, kind="stable")
+    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
     d["e"] = np.zeros(SHAPES["e"], np.float32)
-    np.add.at(d["e"], x.reshape(-1), de.reshape(-1, DIM))
-    return d, int(ok.sum())
+    d["e"][flat[order[first]]] = np.add.reduceat(de[order], first, axis=0)
+    return d, len(at)
 
 
 def train_task(model: Model, blocks: Iterator[Block], turn: int, least: int) -> tuple[dict, int]:
@@ -450,7 +457,7 @@ def train_task(model: Model, blocks: Iterator[Block], turn: int, least: int) ->
         x, to = windows(slots, block.lengths[block.learns], model.start, 0, WINDOW)
         y = np.where(to >= 0, model.cls[slots][to], -1)
         at = fmix(np.arange(len(x), dtype=np.uint64) + np.uint64(block.number * 0x9E3779B97F4A7C15 % (1 << 64)))
-        share, order = (at // np.uint64(TRAIN_EVERY)).argsort(), at % np.uint64(TRAIN_EVERY)
+        share, order = (at // np.uint64(ROUNDS)).argsort(), at % np.uint64(ROUNDS)
         mine = share[order[share] == turn]
         steps(x[mine], y[mine], 1 << 62)
         if step < least and sum(len(a) for a, _ in kept) < least * BATCH:

@@ -142,6 +142,22 @@ def test_gradients():
         assert math.isclose((loss(up) - loss(down)) / 2e-5, (d[name] * towards).sum(), rel_tol=2e-2, abs_tol=1e-4), name
 
 
+def test_every_learning_window_trains(monkeypatch):
+    model, rng = small_model(4)
+    block = object.__new__(lm_scoring.Block)
+    block.number, block.lengths = 7, np.array([1, 33, 700, 64, 5000])
+    block.learns = np.array([True, True, False, True, True])
+    block.ids = rng.integers(0, 5000, block.lengths.sum()).astype(np.int32)
+    seen = []
+    real = lm_scoring.gradients
+    monkeypatch.setattr(lm_scoring, "gradients", lambda w, prior, x, y: (seen.append(x), real(w, prior, x, y))[1])
+    tokens = sum(lm_scoring.train_task(model, iter([block]), turn, 0)[1] for turn in range(lm_scoring.ROUNDS))
+    assert tokens == block.lengths[block.learns].sum()
+    slots = model.slot[block.ids[np.repeat(block.learns, block.lengths)]]
+    want, _ = lm_scoring.windows(slots, block.lengths[block.learns], model.start, 0, lm_scoring.WINDOW)
+    assert sorted(np.concatenate(seen).tolist()) == sorted(want.tolist())
+
+
 def test_held_out_gain(spark):
     """Attention and pair counts beat single subwords by far; on learning documents the model beats the word base."""
     got = REGISTRY["op13_lm_scoring"](spark, "/root/testdata/sf0.01").toPandas()
