@@ -35,7 +35,6 @@ columns travel in the struct column ``row`` and cannot clash.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +78,10 @@ def sliding(x: np.ndarray, n: int, pick) -> np.ndarray:
 
 
 class Block:
-    """The documents of one block, in (id, text) order, as one array of word hashes."""
+    """The documents of one block, in (id, text) order, as one array of word hashes.
+
+    The words themselves are not held: as objects they take many times the text.
+    """
 
     def __init__(self, rows: pa.Table, id_col: str, text_col: str):
         row = rows.column("row").combine_chunks()
@@ -88,11 +90,11 @@ class Block:
         order = sorted(range(len(ids)), key=lambda k: (ids[k], texts[k] or b""))
         self.row = row.take(pa.array(order, pa.int64()))
         self.ids = np.array([ids[k] for k in order], dtype=np.int64)
-        self.words = [(texts[k] or b"").split() for k in order]
-        self.n = np.array([len(w) for w in self.words], dtype=np.int64)
+        self.texts = [texts[k] or b"" for k in order]
+        hashes = [np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)) for w in map(bytes.split, self.texts)]
+        self.n = np.array([len(x) for x in hashes], dtype=np.int64)
         self.end = np.cumsum(self.n)
-        self.h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(self.words)), dtype=np.uint64,
-                             count=int(self.n.sum()))
+        self.h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         self.doc = np.repeat(np.arange(len(self.n)), self.n)
 
     def starts(self, n: int) -> np.ndarray:
@@ -352,10 +354,11 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         edge[at + full] -= 1
         gone = np.cumsum(edge)[:-1] > 0
         texts, removed = [], []
-        for words, end in zip(block.words, block.end):
-            off = gone[end - len(words):end]
+        for text, size, end in zip(block.texts, block.n, block.end):
+            off = gone[end - size:end]
             n = int(off.sum())
             removed.append(n)
+            words = text.split()
             kept = words if not n else [w for w, o in zip(words, off) if not o]
             texts.append(b" ".join(kept))
         return pa.table({"row": block.row, "n_words": pa.array(block.n, pa.int64()),

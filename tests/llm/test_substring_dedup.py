@@ -1,9 +1,12 @@
 """Substring dedup against a brute-force walk over all windows."""
 
+import tracemalloc
+
+import pyarrow as pa
 import pytest
 from fixtures import awkward_texts, documents, empty, prose
 
-from airwave.llm.substring_dedup import dedup_substrings, longest_repeats
+from airwave.llm.substring_dedup import Block, dedup_substrings, longest_repeats
 
 
 def brute(rows, size):
@@ -55,3 +58,13 @@ def test_doubling_goes_on_until_none_survives(spark):
     texts = [long, "x " + long + " y", short, prose(13, 50, 5000) + " " + short, prose(14, 30, 5000), None]
     got = longest_repeats(documents(spark, texts), min_words=10, block_bytes=300)
     assert {r["row"]["doc_id"]: r["longest_repeat"] for r in got.collect()} == {0: 80, 1: 80, 2: 20, 3: 20, 4: 0, 5: 0}
+
+
+def test_block_holds_no_word_objects():
+    text = prose(9, 100_000, 50_000)
+    rows = pa.table({"row": pa.array([{"doc_id": 1, "text": text}])})
+    tracemalloc.start()
+    block = Block(rows, "doc_id", "text")
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(block.h) == 100_000 and held < len(text) + 30 * len(block.h)
