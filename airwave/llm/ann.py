@@ -173,10 +173,16 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     # Fewer candidates in a group when there are few blocks, so that all cores get a tile group.
     wide = max(1, min(GROUP_CANDIDATES, n_candidate // (2 * cores)))
     across, down = max(1, -(-n_query // GROUP_QUERIES)), max(1, -(-n_candidate // wide))
-    left = queries.withColumn("g", F.pmod(F.xxhash64("block"), F.lit(across))).withColumn(
-        "h", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
-    right = candidates.withColumn("h", F.pmod(F.xxhash64("block"), F.lit(down))).withColumn(
-        "g", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
+
+    # Both sides' keys must be of one type: Spark hashes an int and a long apart, so tile groups would not meet.
+    def dealt(parts: int) -> Column:
+        return F.pmod(F.xxhash64("block"), F.lit(parts)).cast("long")
+
+    def every(parts: int) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
+
+    left = queries.withColumn("g", dealt(across)).withColumn("h", every(down))
+    right = candidates.withColumn("h", dealt(down)).withColumn("g", every(across))
 
     def search(key, own, others):
         heaps: dict[tuple, list] = {}

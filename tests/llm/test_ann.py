@@ -87,3 +87,14 @@ def test_distances_beyond_double_precision_drop_none():
     x = np.random.default_rng(5).standard_normal((40, 4)) * 1e200
     block = Coded(np.arange(40).tobytes(), x.tobytes(), 4)
     assert {i: len(ids) for i, ids, _ in tile(block, block, 10)} == dict.fromkeys(range(40), 39)
+
+
+def test_tile_groups_meet_in_all_partitions(spark):
+    rows = rows_of(300, 6)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        got = nearest(frame(spark, rows), F.col("vec_id") % 10 == 0, 10, query_block=2, candidate_block=8).collect()
+    finally:
+        spark.conf.unset(name)
+    assert {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in got} == brute(rows, lambda i: i % 10 == 0, 10)
