@@ -10,8 +10,10 @@ holds (merge rank, position, left id, right id) for each adjacent pair.  The
 lowest rank is popped; an entry whose pair no longer stands at its position is
 stale and skipped; otherwise the right symbol is unlinked, the left one takes
 the merged id, and the two new neighbour pairs are queued.  A piece of n
-symbols takes O(n log n), so a text without any space is no problem.  Short
-pieces are remembered per task (a bounded memo; it changes no result).
+symbols takes O(n log n), so a text without any space is no problem.  Pieces of
+at most ``SCANNED`` symbols are merged by looking for the lowest rank (the
+leftmost if equal) among the pairs each time, the same order without a queue.
+Short pieces are remembered per task (a bounded memo; it changes no result).
 
 Decoding concatenates the vocabulary strings of the ids, with the join string
 that the file's decoder implies (a file without a decoder joins by a space).
@@ -27,8 +29,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
 import numpy as np
@@ -40,9 +43,13 @@ from airwave.llm.common import extended, rows_of
 
 MEMO = 200_000
 MEMO_LENGTH = 64
+SCANNED = 16
+
+NO_MERGE = (float("inf"), -1)
 
 # The white space of the pattern's \s.
 SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+ASCII_SPACE = r"\t\n\x0b\x0c\r "
 
 
 def byte_symbols() -> list[str]:
@@ -74,6 +81,26 @@ def load(path: str) -> dict:
             "inner": [vocab[s] for s in symbols], "last": [vocab[s + end] for s in symbols]}
 
 
+class Memo(dict):
+    """Ids of short pieces; a piece that is not there is merged.
+
+    Two generations of half of MEMO: the older one goes when the younger is full, and what is asked for again stays.
+    """
+
+    def __init__(self, merge):
+        super().__init__()
+        self.merge, self.older = merge, {}
+
+    def __missing__(self, piece: str) -> Sequence[int]:
+        got = self.older.pop(piece, None) or self.merge(piece)
+        if len(piece) <= MEMO_LENGTH:
+            if len(self) >= MEMO // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = got = tuple(got)  # tuples of numbers leave the garbage collector
+        return got
+
+
 class Codec:
     """Encodes and decodes whole texts with the loaded values."""
 
@@ -81,15 +108,21 @@ class Codec:
         self.merges, self.strings, self.special = spec["merges"], spec["strings"], spec["special"]
         self.inner, self.last, self.glue = spec["inner"], spec["last"], spec["glue"]
         self.pieces = regex.compile(spec["pattern"].replace(r"\s", SPACE)).findall
+        # ASCII texts need no Unicode classes, and the plain module is faster.
+        plain = spec["pattern"].replace(r"\s", ASCII_SPACE).replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9")
+        self.ascii_pieces = re.compile(plain).findall if r"\p" not in plain else self.pieces
         marks = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
         self.cut = regex.compile(f"({marks})").split if marks else lambda text: [text]
-        self.memo: dict[str, list[int]] = {}
+        self.memo = Memo(self.merge)
+        self.piece_ids = self.memo.__getitem__
 
     def merge(self, piece: str) -> list[int]:
         raw = piece.encode("utf-8", "surrogatepass")
         ids = [self.inner[b] for b in raw]
         ids[-1] = self.last[raw[-1]]
         n = len(ids)
+        if n <= SCANNED:
+            return self.scan(ids)
         after = [*range(1, n), -1]
         before = list(range(-1, n - 1))
         merges = self.merges
@@ -110,15 +143,22 @@ class Codec:
                     heapq.heappush(queue, (hit[0], a, ids[a], ids[b]))
         return [k for k in ids if k >= 0]
 
-    def piece_ids(self, piece: str) -> list[int]:
-        got = self.memo.get(piece)
-        if got is None:
-            got = self.merge(piece)
-            if len(piece) <= MEMO_LENGTH:
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
-                self.memo[piece] = got
-        return got
+    def scan(self, ids: list[int]) -> list[int]:
+        """Merge a short piece: the ranks of its adjacent pairs in a list, the lowest taken each time."""
+        find = self.merges.get
+        hits = [find(pair, NO_MERGE) for pair in zip(ids, ids[1:])]
+        while hits:
+            best = min(hits)
+            if best is NO_MERGE:
+                break
+            i = hits.index(best)
+            ids[i] = best[1]
+            del ids[i + 1], hits[i]
+            if i:
+                hits[i - 1] = find((ids[i - 1], ids[i]), NO_MERGE)
+            if i < len(hits):
+                hits[i] = find((ids[i], ids[i + 1]), NO_MERGE)
+        return ids
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -128,7 +168,8 @@ class Codec:
             elif part:
                 part = unicodedata.normalize("NFC", part)
                 part = part.lower() if "Σ" not in part else "".join(map(str.lower, part))
-                out.extend(chain.from_iterable(map(self.piece_ids, self.pieces(part))))
+                pieces = self.ascii_pieces(part) if part.isascii() else self.pieces(part)
+                out.extend(chain.from_iterable(map(self.piece_ids, pieces)))
         return out
 
     def decode(self, ids) -> str:

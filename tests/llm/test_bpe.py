@@ -42,3 +42,18 @@ def test_table(spark):
         ids = LIBRARY.encode(texts[r["row"]["doc_id"]] or "", add_special_tokens=False).ids
         assert r["ids"] == ids and r["decoded"] == LIBRARY.decode(ids, skip_special_tokens=False)
     assert tokenize(empty(spark), PATH).count() == 0
+
+
+def test_frequent_pieces_stay_in_the_memo(monkeypatch):
+    merged = []
+
+    class Counting(Codec):
+        def merge(self, piece):
+            merged.append(piece)
+            return super().merge(piece)
+
+    monkeypatch.setattr("airwave.llm.bpe.MEMO", 20)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    text = " ".join(f"common {a}{b}q" for a in letters for b in letters)
+    assert Counting(load(PATH)).encode(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+    assert merged.count("common") == 1
