@@ -34,6 +34,8 @@ columns travel in the struct column ``row`` and cannot clash.
 
 from __future__ import annotations
 
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +44,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airwave.llm.common import binary_texts, drop_stage, extended, fmix, rows_of, stage
+from airwave.llm.common import drop_stage, extended, fmix, rows_of, stage
 
 BLOCK_BYTES = 8 << 20
 BUCKET_HASHES = 2_000_000
+PIECE = 65_536
 LAST = np.iinfo(np.int64).max
 
 HASHES = "block long, bucket long, level int, a binary, b binary, doc binary, docs binary"
@@ -81,57 +84,75 @@ class Block:
     """The documents of one block, in (id, text) order, as one array of word hashes.
 
     The words themselves are not held: as objects they take many times the text.
+    Rows and texts stay the Arrow buffers they came in.  What is computed for
+    every word is computed for ``PIECE`` of them at a time, so that a task holds
+    one number a word and what it found.
     """
 
     def __init__(self, rows: pa.Table, id_col: str, text_col: str):
-        row = rows.column("row").combine_chunks()
-        texts = binary_texts(row.field(text_col))
-        ids = [LAST if i is None else i for i in row.field(id_col).to_pylist()]
-        order = sorted(range(len(ids)), key=lambda k: (ids[k], texts[k] or b""))
-        self.row = row.take(pa.array(order, pa.int64()))
-        self.ids = np.array([ids[k] for k in order], dtype=np.int64)
-        self.texts = [texts[k] or b"" for k in order]
-        hashes = [np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w)) for w in map(bytes.split, self.texts)]
-        self.n = np.array([len(x) for x in hashes], dtype=np.int64)
-        self.end = np.cumsum(self.n)
-        self.h = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        self.doc = np.repeat(np.arange(len(self.n)), self.n)
-
-    def starts(self, n: int) -> np.ndarray:
+        self.row = rows.column("row").combine_chunks()
+        self.texts = self.row.field(text_col).cast(pa.binary())
+        ids = [LAST if i is None else i for i in self.row.field(id_col).to_pylist()]
+        twice = Counter(ids)
+        self.order = sorted(range(len(ids)), key=lambda k: (ids[k], self.text(k) if twice[ids[k]] > 1 else b""))
+        self.ids = np.array([ids[k] for k in self.order], dtype=np.int64)
+        hashes, self.end = array("Q"), np.empty(len(ids), np.int64)
+        for at, k in enumerate(self.order):
+            hashes.extend(map(xxhash.xxh3_64_intdigest, self.text(k).split()))
+            self.end[at] = len(hashes)
+        self.n = np.diff(self.end, prepend=0)
+        self.h = np.frombuffer(hashes, np.uint64)
+
+    def text(self, k: int) -> bytes:
+        return self.texts[k].as_py() or b""
+
+    def doc(self, at: np.ndarray) -> np.ndarray:
+        """Which documents positions lie in."""
+        return np.searchsorted(self.end, at, side="right")
+
+    def starts(self, at: np.ndarray, n: int) -> np.ndarray:
         """Which positions start a run of n words inside one document."""
-        room = max(0, len(self.h) - n + 1)
-        return np.arange(room) + n <= self.end[self.doc[:room]]
+        return at + n <= self.end[self.doc(at)]
 
     def anchors(self, full: int) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of half-length windows, and which positions are the smallest within some full window."""
+        """Half-length windows that are the smallest within some full window: positions and hashes."""
         half = (full + 1) // 2
-        base = windows(self.h, half)
         span = full - half + 1
-        least = sliding(base, span, np.minimum)
-        if not len(least):
-            return base, np.zeros(len(base), bool)
-        least = np.where(self.starts(full), least, np.uint64(0))
-        pad = np.zeros(span - 1, np.uint64)
-        best = sliding(np.concatenate([pad, least, pad]), span, np.maximum)
-        return base, best == base
+        places, hashes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        for lo in range(0, len(self.h), PIECE):
+            left = max(0, lo - span + 1)
+            base = windows(self.h[left:lo + PIECE + full - 1], half)
+            least = sliding(base, span, np.minimum)
+            if not len(least):
+                continue
+            least = np.where(self.starts(np.arange(left, left + len(least)), full), least, np.uint64(0))
+            pad = np.zeros(span - 1, np.uint64)
+            best = sliding(np.concatenate([pad, least, pad]), span, np.maximum)
+            at = np.flatnonzero((best == base)[:lo + PIECE - left])
+            at = at[at >= lo - left]
+            places.append(at + left)
+            hashes.append(base[at])
+        return np.concatenate(places), np.concatenate(hashes)
 
     def near(self, at: np.ndarray, full: int) -> np.ndarray:
-        """Starts of full windows that contain a half-length window starting at a marked position."""
-        half = (full + 1) // 2
-        span = full - half + 1
-        valid = self.starts(full)
-        marks = np.concatenate([[0], np.cumsum(at)])
-        first = np.arange(len(valid))
-        return np.flatnonzero(valid & (marks[first + span] > marks[first]))
-
-
-def wide(h: np.ndarray, n: int) -> np.ndarray:
-    """96-bit hashes of all runs of n words, as records that sort by both lanes."""
-    a = windows(h, n, 1)
-    out = np.empty(len(a), dtype=[("a", "<u8"), ("b", "<u4")])
-    out["a"] = a
-    out["b"] = windows(h, n, 2) >> np.uint64(32)
-    return out
+        """Starts of full windows that contain a half-length window starting at one of the (ascending) positions."""
+        span = full - (full + 1) // 2 + 1
+        first = np.maximum(at - span + 1, np.concatenate([[0], at[:-1] + 1])) if len(at) else at
+        size = at + 1 - first
+        found = np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
+        return found[self.starts(found, full)]
+
+    def wide(self, at: np.ndarray, n: int) -> np.ndarray:
+        """96-bit hashes of the runs of n words at (ascending) positions, as records that sort by both lanes."""
+        out = np.empty(len(at), dtype=[("a", "<u8"), ("b", "<u4")])
+        step = max(PIECE, n)
+        for lo in range(0, len(self.h), step):
+            i, j = np.searchsorted(at, [lo, lo + step])
+            if i < j:
+                h, here = self.h[lo:lo + step + n - 1], at[i:j] - lo
+                out["a"][i:j] = windows(h, n, 1)[here]
+                out["b"][i:j] = windows(h, n, 2)[here] >> np.uint64(32)
+        return out
 
 
 def cut(a: np.ndarray, buckets: int) -> np.ndarray:
@@ -237,7 +258,7 @@ class Survivors:
 
     def __init__(self, block: Block, at: np.ndarray, length: int):
         self.at = at
-        hashes = wide(block.h, length)[at] if len(at) else np.empty(0, dtype=[("a", "<u8"), ("b", "<u4")])
+        hashes = block.wide(at, length)
         order = np.lexsort((at, hashes["b"], hashes["a"]))
         ranked = hashes[order]
         fresh = np.ones(len(order), bool)
@@ -248,7 +269,7 @@ class Survivors:
         self.of[order] = group
         self.first = order[fresh]
         self.times = np.bincount(group, minlength=len(self.unique))
-        self.docs = block.ids[block.doc[at[self.first]]] if len(at) else np.empty(0, np.int64)
+        self.docs = block.ids[block.doc(at[self.first])]
 
     def repeated(self, shared: np.ndarray) -> np.ndarray:
         """Positions of windows that occur at least twice in all blocks together."""
@@ -263,24 +284,21 @@ class Survivors:
 
 def first_level(block: Block, full: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Anchor positions, their distinct hashes, which hash each has, how often each stands in this block."""
-    base, chosen = block.anchors(full)
-    at = np.flatnonzero(chosen)
-    unique, of, times = np.unique(base[at], return_inverse=True, return_counts=True)
+    at, hashes = block.anchors(full)
+    unique, of, times = np.unique(hashes, return_inverse=True, return_counts=True)
     return at, unique, of, times
 
 
 def second_level(block: Block, full: int, buckets: int, answers: dict) -> Survivors:
     at, unique, of, times = first_level(block, full)
     keep = (answered(unique, buckets, answers) | (times > 1))[of]
-    marks = np.zeros(len(block.h) + 1, np.int64)
-    marks[at[keep]] = 1
-    return Survivors(block, block.near(marks[: len(block.h)], full), full)
+    return Survivors(block, block.near(at[keep], full), full)
 
 
 def doubled(block: Block, repeated: np.ndarray, length: int) -> np.ndarray:
     """Starts of windows of twice the length whose halves both repeat."""
     both = np.intersect1d(repeated, repeated - length, assume_unique=True)
-    return both[block.starts(2 * length)[both]] if len(both) and len(block.h) >= 2 * length else both[:0]
+    return both[block.starts(both, 2 * length)]
 
 
 class Plan:
@@ -349,20 +367,21 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         now = replay(block, got, full, buckets, 1)
         _, later = two_bits(now.unique, buckets, got.get(1, {}))
         at = now.repeats(later)
-        edge = np.zeros(len(block.h) + 1, np.int64)
-        edge[at] += 1
-        edge[at + full] -= 1
-        gone = np.cumsum(edge)[:-1] > 0
-        texts, removed = [], []
-        for text, size, end in zip(block.texts, block.n, block.end):
-            off = gone[end - size:end]
-            n = int(off.sum())
-            removed.append(n)
-            words = text.split()
-            kept = words if not n else [w for w, o in zip(words, off) if not o]
-            texts.append(b" ".join(kept))
-        return pa.table({"row": block.row, "n_words": pa.array(block.n, pa.int64()),
-                         "n_removed": pa.array(removed, pa.int64()),
+        size = len(block.order)
+        n_words, removed, texts = np.empty(size, np.int64), np.zeros(size, np.int64), [b""] * size
+        cuts = np.searchsorted(at, np.concatenate([[0], block.end]))
+        for k, n, end, i, j in zip(block.order, block.n, block.end, cuts[:-1], cuts[1:]):
+            kept = block.text(k).split()
+            n_words[k] = n
+            if i < j:
+                edge = np.zeros(n + 1, np.int64)
+                edge[at[i:j] - (end - n)] += 1
+                edge[at[i:j] - (end - n) + full] -= 1
+                gone = np.cumsum(edge)[:-1] > 0
+                removed[k] = gone.sum()
+                kept = [w for w, off in zip(kept, gone) if not off]
+            texts[k] = b" ".join(kept)
+        return pa.table({"row": block.row, "n_words": pa.array(n_words), "n_removed": pa.array(removed),
                          "kept_text": pa.array(texts, pa.binary()).cast(pa.string())})
 
     def guarded(key, rows, got):
@@ -405,7 +424,7 @@ def longest_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for level in range(1, depth):
             now = replay(block, got, full, buckets, level)
             shared, _ = two_bits(now.unique, buckets, got.get(level, {}))
-            best[np.unique(block.doc[now.repeated(shared)])] = full << (level - 1)
+            best[np.array(block.order)[np.unique(block.doc(now.repeated(shared)))]] = full << (level - 1)
         return pa.table({"row": block.row, "longest_repeat": pa.array(best, pa.int64())})
 
     return plan.rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(finish, out)

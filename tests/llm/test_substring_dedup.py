@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from fixtures import awkward_texts, documents, empty, prose
 
-from airwave.llm.substring_dedup import Block, dedup_substrings, longest_repeats
+from airwave.llm.substring_dedup import Block, dedup_substrings, longest_repeats, second_level
 
 
 def brute(rows, size):
@@ -68,3 +68,24 @@ def test_block_holds_no_word_objects():
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert len(block.h) == 100_000 and held < len(text) + 30 * len(block.h)
+
+
+def test_levels_work_piece_by_piece():
+    text = prose(9, 500_000, 50_000)
+    rows = pa.table({"row": pa.array([{"doc_id": 1, "text": text}])})
+    block = Block(rows, "doc_id", "text")
+    tracemalloc.start()
+    found = second_level(block, 20, 1, {})
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert not len(found.at) and peak < 40 * len(block.h)
+
+
+def test_pieces_join_without_a_seam(monkeypatch):
+    texts = [prose(k, 300, 40) for k in range(6)] + ["", "a b"]
+    rows = pa.table({"row": pa.array([{"doc_id": k, "text": t} for k, t in enumerate(texts)])})
+    whole = {n: second_level(Block(rows, "doc_id", "text"), n, 1, {}).at.tolist() for n in (1, 2, 5)}
+    anchors = Block(rows, "doc_id", "text").anchors(20)
+    monkeypatch.setattr("airwave.llm.substring_dedup.PIECE", 7)
+    assert whole == {n: second_level(Block(rows, "doc_id", "text"), n, 1, {}).at.tolist() for n in (1, 2, 5)}
+    assert [x.tolist() for x in Block(rows, "doc_id", "text").anchors(20)] == [x.tolist() for x in anchors]
