@@ -41,7 +41,7 @@ an empty result; documents with the same id are reported each on their own.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain, repeat
 
 import numpy as np
@@ -59,7 +59,8 @@ MIN_CHUNK = 64
 BLOCK = 8
 GROUPS = (32, 256)
 SHARD_BYTES = 8 << 20
-BATCH_WORDS = 400_000
+BATCH_WORDS = 65_536
+GATHERED = 1 << 20
 SLACK = 1e-9
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -184,13 +185,13 @@ class Index:
                     advance(t, target)
 
 
-def batches_of(texts: list[str | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """Runs of split texts of bounded word number."""
+def batches_of(texts: Iterable[str | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """Runs of split texts of bounded word number (a shorter text counts as a chunk); a long text is split whole."""
     at, held, n = 0, [], 0
     for k, t in enumerate(texts):
         words = words_of(t)
         held.append(words)
-        n += len(words)
+        n += max(len(words), MIN_CHUNK)
         if n >= BATCH_WORDS:
             yield at, held
             at, held, n = k + 1, [], 0
@@ -223,9 +224,15 @@ def passages(docs: list[list[bytes]], index: Index, chunk: int, threshold: float
         if not len(used):
             return
         terms = what[needed[where]]
-        starts = np.concatenate([[0], np.cumsum(edge[used + 1] - edge[used])])[:-1]
+        ends = np.cumsum(edge[used + 1] - edge[used])
         bound = np.zeros((n, largest.shape[1]), np.float32)
-        bound[used] = np.add.reduceat(largest[terms], starts, axis=0)
+        lo = 0
+        while lo < len(used):  # rows of the table are gathered for some chunks at a time, one at least
+            passed = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, passed + GATHERED // largest.shape[1], side="right")))
+            starts = np.concatenate([[passed], ends[lo:hi - 1]]) - passed
+            bound[used[lo:hi]] = np.add.reduceat(largest[terms[passed:ends[hi - 1]]], starts, axis=0)
+            lo = hi
         bound[:-1] += np.where(same[:-1, None], bound[1:], 0)
         # Single precision sums are off by far less than this margin.
         open_at &= bound.max(axis=1) >= threshold - 1e-3
@@ -302,7 +309,7 @@ def searcher(shared, chunk: int, threshold: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for b in batches:
-            for at, split in batches_of(b.column(1).to_pylist()):
+            for at, split in batches_of(x.as_py() for x in b.column(1)):
                 hits = matches(split, index, chunk, threshold, overlap)
                 if hits:
                     at_row, item, values = zip(*((at + d, index.ids[i], v) for (d, i), v in sorted(hits.items())))
@@ -333,7 +340,7 @@ def sieve(shared, column: int, chunk: int, threshold: float, overlap: float):
         index = shared.value
         for b in batches:
             clean = np.ones(b.num_rows, bool)
-            for at, split in batches_of(b.column(column).to_pylist()):
+            for at, split in batches_of(x.as_py() for x in b.column(column)):
                 for d, _ in matches(split, index, chunk, threshold, overlap):
                     clean[at + d] = False
             yield b.filter(pa.array(clean))

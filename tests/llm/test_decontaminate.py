@@ -2,9 +2,12 @@
 
 import math
 import random
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import awkward_texts, documents, empty, prose
 
@@ -49,6 +52,19 @@ def test_bounds_never_lose_a_passage():
                     assert (d, start) in kept
 
 
+@pytest.mark.parametrize("words", [400, 3])
+def test_a_batch_of_documents_is_taken_piece_by_piece(words):
+    index = index_of([(i, prose(i, 30, 300)) for i in range(200)])
+    texts = [prose(1000 + d % 50, words, 300) for d in range(300_000 // words if words > 3 else 20_000)]
+    texts[7] = prose(3, 30, 300)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    tracemalloc.start()
+    kept = list(decontaminate.sieve(SimpleNamespace(value=index), 0, 64, 0.6, 0.8)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(b.num_rows for b in kept) == len(texts) - 1 and peak < 32e6
+
+
 def test_planted_items_are_found(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BATCH_WORDS", 500)
     items = [(i, prose(2000 + i, 8 + 7 * (i % 9), 3000)) for i in range(40)] + [(None, "x"), (90, None), (91, "  "),

@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 from fixtures import awkward_texts, documents, empty, prose
 from test_simhash import brute_components, brute_fingerprint
@@ -10,7 +11,7 @@ from test_substring_dedup import brute as brute_cut
 from tokenizers import Tokenizer
 
 import public_tokenizers
-from airwave.llm.common import stage, table
+from airwave.llm.common import BATCH_BYTES, stage, table
 from airwave.llm.decontaminate import words_of
 from airwave.llm.language_id import learn, predict
 
@@ -78,3 +79,19 @@ def test_texts_of_an_unlearned_script_do_not_go_by_chance(spark):
     docs = learned.unionByName(spark.createDataFrame(rows, learned.schema))
     kept = corpus_pipeline.language_stage(spark, docs, SF)
     assert sorted(r["doc_id"] for r in kept.collect()) == [*range(60), 100, 101]
+
+
+def test_stages_hand_small_batches_to_python(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    docs = documents(spark, [prose(i, 30, 900) * 20 for i in range(4000)]).coalesce(1)
+    for _, step in corpus_pipeline.STAGES:
+        spark.conf.unset(BATCH_BYTES)
+        step(spark, docs, SF)
+        assert max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect()) < 5 << 20
+    spark.conf.set(BATCH_BYTES, "1m")
+    corpus_pipeline.language_stage(spark, docs, SF)
+    assert spark.conf.get(BATCH_BYTES) == "1m"
+    spark.conf.unset(BATCH_BYTES)
