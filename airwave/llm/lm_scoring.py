@@ -53,9 +53,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections import defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -95,9 +93,21 @@ SHAPES = {"e": (SLOTS + 1, DIM), "q": (DIM, DIM), "k": (DIM, DIM), "v": (DIM, DI
 
 
 # ------------------------------------------------------------------ blocks
-def words_of(raw: bytes | None) -> list[bytes]:
-    """Lower-cased words; bytes.split() and bytes.lower() know ASCII only, as the contract does."""
-    return (raw or b"").lower().split()
+def numbered(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(number of each word, each text's end among them, distinct words): lower-cased words, numbered as they first appear.
+
+    bytes.lower() knows ASCII only, as the contract does.
+    """
+    raw = np.frombuffer(b" ".join(texts).lower() + b" ", np.uint8)
+    white = (raw == 32) | (raw - np.uint8(9) < 5)
+    edges = np.flatnonzero(np.diff(white, prepend=True))  # start, end, start, end, ...
+    offsets = np.concatenate([[0], np.cumsum(edges[1::2] - edges[::2])])
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(raw[~white])]
+    words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).dictionary_encode()
+    ends = np.searchsorted(edges[::2], np.cumsum([len(t) + 1 for t in texts]))
+    _, cuts, data = words.dictionary.buffers()
+    cuts, data = np.frombuffer(cuts, np.int64)[:len(words.dictionary) + 1].tolist(), data.to_pybytes() if data else b""
+    return words.indices.to_numpy(), ends, [data[i:j] for i, j in zip(cuts, cuts[1:])]
 
 
 class Encoder:
@@ -114,12 +124,16 @@ class Encoder:
         Words go in as one text, and each is told by the space its ids start
         with.  Words that hold white space beyond ASCII go one by one.
         """
+        whole = b"".join(map(b" %b".__mod__, words)).decode("utf-8", "replace")
+        if not SPACES.search(whole):
+            ids = np.array(self.coder.encode_ordinary(whole), np.uint16)
+            first = np.flatnonzero(self.starts[ids])
+            if len(words) == len(first):
+                return ids, np.append(first[1:], len(ids)).astype(np.int32)[:len(words)]
         text = [w.decode("utf-8", "replace") for w in words]
         plain = [w for w in text if not SPACES.search(w)]
         ids = np.array(self.coder.encode_ordinary("".join(f" {w}" for w in plain)), np.uint16)
         first = np.flatnonzero(self.starts[ids])
-        if len(plain) == len(text) == len(first):
-            return ids, np.append(first[1:], len(ids)).astype(np.int32)[:len(text)]
         told = iter(np.split(ids, first[1:])) if len(plain) == len(first) > 0 else None
         coded = [self.coder.encode_ordinary(f" {w}") if told is None or SPACES.search(w) else next(told) for w in text]
         return (np.array([i for c in coded for i in c], np.uint16), np.cumsum([len(c) for c in coded], dtype=np.int32))
@@ -161,46 +175,42 @@ def blocks_of(docs: DataFrame, learns: Column, path: str, pattern: str, text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(ranks.value, pattern).encode
         part, number = TaskContext.get().partitionId(), 0
-        index: dict[bytes, int] = defaultdict(count().__next__)
         docs_in, flags, size = [], [], 0
         held: list[pa.Array] = []
 
         def close() -> pa.RecordBatch:
-            nonlocal number, index, docs_in, flags, size, held
-            ends = np.cumsum([len(d) for d in docs_in], dtype=np.int64)
-            flat = np.concatenate(docs_in)
-            keys = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, index)), ">u8").reshape(-1, 2)
+            nonlocal number, docs_in, flags, size, held
+            flat, ends, words = numbered(docs_in)
+            keys = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), ">u8").reshape(-1, 2)
             order = np.lexsort((keys[:, 1], keys[:, 0]))
             place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order))
             flat = place[flat]
-            counts = np.bincount(flat[np.repeat(np.array(flags), [len(d) for d in docs_in])], minlength=len(index))
-            words = list(index)
+            counts = np.bincount(flat[np.repeat(np.array(flags), np.diff(ends, prepend=0))], minlength=len(words))
             ids, sub_ends = encode([words[k] for k in order])
             rows = pa.concat_arrays(held)
             out = pa.RecordBatch.from_arrays(
-                [pa.array([part << 32 | number]), pa.array([len(index)]), pa.array([keys[order].astype("<u8").tobytes()]),
+                [pa.array([part << 32 | number]), pa.array([len(words)]), pa.array([keys[order].astype("<u8").tobytes()]),
                  pa.array([packed(counts)]), pa.array([ids.tobytes()]), pa.array([packed(sub_ends)]),
                  pa.array([packed(flat)]), pa.array([ends.tobytes()]), pa.array([np.array(flags, bool).tobytes()]),
                  pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)],
                 names=[*(f.split()[0] for f in BLOCK.split(", ")), "rows"])
             number += 1
-            index, docs_in, flags, size, held = defaultdict(count().__next__), [], [], 0, []
+            docs_in, flags, size, held = [], [], 0, []
             return out
 
         for b in batches:
             texts, first = b.column("text"), 0
             use = b.column("learns").to_pylist()
             for k in range(b.num_rows):
-                raw = texts[k].as_py()
-                if docs_in and size + len(raw or b"") > BLOCK_BYTES:
+                raw = texts[k].as_py() or b""
+                if docs_in and size + len(raw) > BLOCK_BYTES:
                     held.append(b.column("row").slice(first, k - first))
                     first = k
                     yield close()
-                words = words_of(raw)
-                docs_in.append(np.fromiter(map(index.__getitem__, words), np.int32, len(words)))
+                docs_in.append(raw)
                 flags.append(use[k])
-                size += len(raw or b"")
+                size += len(raw)
             held.append(b.column("row").slice(first))
         if docs_in:
             yield close()
@@ -260,16 +270,19 @@ def windows(slots: np.ndarray, lengths: np.ndarray, start: int, context: int, st
     room = context + count * stride
     base = np.cumsum(room) - room
     first = np.cumsum(lengths) - lengths
-    shift = np.repeat(base + context - first, lengths) + np.arange(len(slots))
+    shift = np.repeat(base + context - first, lengths)
+    shift += np.arange(len(slots))
     laid = np.full(int(room.sum()), PAD, np.int32)
     before = np.empty_like(slots)
     before[1:] = slots[:-1]
     before[first] = start
     laid[shift] = before
-    target = np.full(len(laid), -1, np.int64)
-    target[shift] = np.arange(len(slots))
+    target = np.full(len(laid), -1, np.int32)
+    target[shift] = np.arange(len(slots), dtype=np.int32)
+    if not context:
+        return laid.reshape(-1, stride), target.reshape(-1, stride)
     of = np.repeat(base - stride * (np.cumsum(count) - count), count) + stride * np.arange(int(count.sum()))
-    return laid[of[:, None] + np.arange(context + stride)], target[of[:, None] + context + np.arange(stride)]
+    return laid.take(of[:, None] + np.arange(context + stride)), target.take(of[:, None] + context + np.arange(stride))
 
 
 def clusters(pairs: np.ndarray) -> np.ndarray:
@@ -342,7 +355,8 @@ def log_probabilities(model: Model, block: Block) -> np.ndarray:
     pad = np.zeros((len(e), 1), np.float32)
     pad[PAD] = -1e4
     queries = np.hstack([e @ w["q"] * np.float32(DIM ** -0.5), np.ones_like(pad)])
-    keys, values = np.hstack([e @ w["k"], pad]), np.hstack([e @ w["v"], np.ones_like(pad)])
+    held = np.hstack([e @ w["k"], pad, e @ w["v"], np.ones_like(pad)])
+    keys, values = held[:, :DIM + 1], held[:, DIM + 1:]
     bias = (w["b"][DISTANCE] + CAUSAL)[CONTEXT:]
     hidden, logits = e @ w["w"][:DIM] + w["c"], e @ w["u"][:DIM] + model.prior
     from_mix, mix_logits, hidden_logits = w["w"][DIM:], w["u"][DIM:2 * DIM], w["u"][2 * DIM:]
@@ -355,18 +369,19 @@ def log_probabilities(model: Model, block: Block) -> np.ndarray:
     out = np.empty(len(slots))
     for lo in range(0, len(inputs), SCORED):
         x, to = inputs[lo:lo + SCORED], targets[lo:lo + SCORED].reshape(-1)
-        a = queries[x[:, CONTEXT:]] @ keys[x].transpose(0, 2, 1)
+        seen = held.take(x, 0)
+        a = queries.take(x[:, CONTEXT:], 0) @ seen[..., :DIM + 1].transpose(0, 2, 1)
         a += bias
         if most_a > SAFE:
             np.minimum(a, SAFE, out=a)
-        mixed = np.exp(a, out=a) @ values[x]
+        mixed = np.exp(a, out=a) @ seen[..., DIM + 1:]
         asked = x[:, CONTEXT:].reshape(-1)
         valid = np.flatnonzero(to >= 0)
-        asked, to, mixed = asked[valid], to[valid], mixed.reshape(-1, DIM + 1)[valid]
+        asked, to, mixed = asked.take(valid), to.take(valid), mixed.reshape(-1, DIM + 1).take(valid, 0)
         mix = mixed[:, :DIM] / mixed[:, DIM:]
-        r = hidden[asked]
+        r = hidden.take(asked, 0)
         r += mix @ from_mix
-        g = logits[asked]
+        g = logits.take(asked, 0)
         g += mix @ mix_logits
         g += np.maximum(r, 0, out=r) @ hidden_logits
         if most_g > SAFE:
@@ -383,29 +398,41 @@ def gradients(w: dict, prior: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple
     flat = x.reshape(-1)
     one, out = np.ones((DIM, 1), np.float32), np.ones(CLASSES, np.float32)
     mixers = np.hstack([w["q"] * scale, w["k"], w["v"]])
-    e = w["e"][flat]
+    e = w["e"].take(flat, 0)
+    o = np.empty((len(flat), 2 * DIM + HIDDEN), e.dtype)
+    mix, r = o[:, DIM:2 * DIM], o[:, 2 * DIM:]
+    o[:, :DIM] = e
     q, k, v = (m.reshape(*x.shape, DIM) for m in np.split(e @ mixers, 3, axis=1))
     a = q @ k.transpose(0, 2, 1)
     a += w["b"][DISTANCE] + CAUSAL
-    a += np.where(x == PAD, np.float32(-1e9), np.float32(0))[:, None, :]
+    # Later places are masked already, so PAD keys count only in front of a target.
+    ok, pads = y >= 0, x == PAD
+    if (np.logical_or.accumulate(pads, 1) & ok.reshape(x.shape)).any():
+        a += np.where(pads, np.float32(-1e9), np.float32(0))[:, None, :]
     # No maximum is taken off: only what lies beyond SAFE is clipped, and an empty sum is kept from 0 / 0.
-    np.exp(np.minimum(a, SAFE, out=a), out=a)
+    if a.max(initial=0) > SAFE:
+        np.minimum(a, SAFE, out=a)
+    np.exp(a, out=a)
     a /= np.maximum(a @ np.ones((a.shape[-1], 1), np.float32), 1e-30)
-    mix = (a @ v).reshape(-1, DIM)
-    r = np.maximum(e @ w["w"][:DIM] + mix @ w["w"][DIM:] + w["c"], 0)
-    o = np.concatenate([e, mix, r], 1)
+    np.matmul(a, v, out=mix.reshape(*x.shape, DIM))
+    h = e @ w["w"][:DIM]
+    h += mix @ w["w"][DIM:]
+    h += w["c"]
+    np.maximum(h, 0, out=r)
     g = o @ w["u"]
-    g += prior[flat]
-    np.exp(np.minimum(g, SAFE, out=g), out=g)
-    ok = y >= 0
+    g += prior.take(flat, 0)
+    if g.max(initial=0) > SAFE:
+        np.minimum(g, SAFE, out=g)
+    np.exp(g, out=g)
     g *= (ok / np.maximum(g @ out, 1e-30) / max(1, ok.sum())).astype(np.float32)[:, None]
     at = np.flatnonzero(ok)
-    g[at, y[at]] -= np.float32(1 / max(1, len(at)))
+    g.reshape(-1)[at * CLASSES + y[at]] -= np.float32(1 / max(1, len(at)))
     d = {"u": o.T @ g}
     back = g @ w["u"].T
     hidden = back[:, 2 * DIM:] * (r > 0)
     d["w"], d["c"] = o[:, :2 * DIM].T @ hidden, np.ones(len(hidden), np.float32) @ hidden
-    dh = back[:, :2 * DIM] + hidden @ w["w"].T
+    dh = hidden @ w["w"].T
+    dh += back[:, :2 * DIM]
     dc = np.ascontiguousarray(dh[:, DIM:])
     through = (dc * mix) @ one  # what each place's weights share: the sum of da * a over its keys
     dc = dc.reshape(*x.shape, DIM)
@@ -414,14 +441,20 @@ def gradients(w: dict, prior: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple
     da *= a
     d["b"] = np.bincount(DISTANCE.reshape(-1), weights=(da.sum(0) * (BACK >= 0)).reshape(-1), minlength=WINDOW)
     back = da.transpose(0, 2, 1)
-    moved = np.concatenate([da @ k, back @ q, a.transpose(0, 2, 1) @ dc], -1).reshape(-1, 3 * DIM)
+    moved = np.empty((len(flat), 3 * DIM), e.dtype)
+    parts = moved.reshape(*x.shape, 3 * DIM)
+    for part, left, right in zip(np.split(parts, 3, axis=2), (da, back, a.transpose(0, 2, 1)), (k, q, dc)):
+        np.matmul(left, right, out=part)
     d["q"], d["k"], d["v"] = np.split(e.T @ moved, 3, axis=1)
     d["q"] = d["q"] * scale
-    de = dh[:, :DIM] + moved @ mixers.T
-    order = np.argsort(flat, kind="stable")
-    first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+    de = moved @ mixers.T
+    de += dh[:, :DIM]
+    short = flat.astype(np.uint16)  # SLOTS + 1 values: sorted by counting
+    order = np.argsort(short, kind="stable")
+    short = short.take(order)
+    first = np.flatnonzero(np.concatenate([[True], short[1:] != short[:-1]]))
     d["e"] = np.zeros(SHAPES["e"], np.float32)
-    d["e"][flat[order[first]]] = np.add.reduceat(de[order], first, axis=0)
+    d["e"][short[first]] = np.add.reduceat(de.take(order, 0), first, axis=0)
     return d, len(at)
 
 
@@ -430,8 +463,13 @@ def train_task(model: Model, blocks: Iterator[Block], turn: int, least: int) ->
 
     A task with fewer than ``least`` steps of its own goes on with the windows of the next rounds, then again.
     """
-    w = {n: a.copy() for n, a in model.weights.items()}
-    first, second = ({n: np.zeros_like(a) for n, a in w.items()} for _ in range(2))
+    # Adam takes the weights in two vectors: the biases, whose gradient is in double precision, and all others.
+    others = [n for n in SHAPES if n != "b"]
+    flat = np.concatenate([model.weights[n].reshape(-1) for n in others])
+    cuts = np.cumsum([model.weights[n].size for n in others])[:-1]
+    w = {n: part.reshape(SHAPES[n]) for n, part in zip(others, np.split(flat, cuts))} | {"b": model.weights["b"].copy()}
+    vectors = (flat, w["b"])
+    first, second = ([np.zeros_like(a) for a in vectors] for _ in range(2))
     step, seen = 0, 0
     kept: list[tuple] = []
 
@@ -443,11 +481,10 @@ def train_task(model: Model, blocks: Iterator[Block], turn: int, least: int) ->
             d, n = gradients(w, model.prior, x[lo:lo + BATCH], y[lo:lo + BATCH].reshape(-1))
             step, seen = step + 1, seen + n
             rate = RATE / (1 + turn) * min(1.0, step / 50)
-            for name, a in w.items():
-                first[name] += np.float32(0.1) * (d[name] - first[name])
-                second[name] += np.float32(0.02) * (d[name] ** 2 - second[name])
-                a -= (rate * first[name] / (1 - 0.9 ** step) / (np.sqrt(second[name] / (1 - 0.98 ** step)) + 1e-8)).astype(
-                    np.float32)
+            for a, g, m, v in zip(vectors, (np.concatenate([d[n].reshape(-1) for n in others]), d["b"]), first, second):
+                m += np.float32(0.1) * (g - m)
+                v += np.float32(0.02) * (g ** 2 - v)
+                a -= (rate * m / (1 - 0.9 ** step) / (np.sqrt(v / (1 - 0.98 ** step)) + 1e-8)).astype(np.float32)
 
     for block in blocks:
         chosen = np.repeat(block.learns, block.lengths)
@@ -455,14 +492,17 @@ def train_task(model: Model, blocks: Iterator[Block], turn: int, least: int) ->
             continue
         slots = model.slot[block.ids[chosen]]
         x, to = windows(slots, block.lengths[block.learns], model.start, 0, WINDOW)
-        y = np.where(to >= 0, model.cls[slots][to], -1)
+        cls = np.append(model.cls.take(slots), -1)  # target -1: none
+
+        def picked(some: np.ndarray) -> tuple:
+            return x.take(some, 0), cls.take(to.take(some, 0), mode="wrap")
+
         at = fmix(np.arange(len(x), dtype=np.uint64) + np.uint64(block.number * 0x9E3779B97F4A7C15 % (1 << 64)))
         share, order = (at // np.uint64(ROUNDS)).argsort(), at % np.uint64(ROUNDS)
         mine = share[order[share] == turn]
-        steps(x[mine], y[mine], 1 << 62)
+        steps(*picked(mine), 1 << 62)
         if step < least and sum(len(a) for a, _ in kept) < least * BATCH:
-            others = share[order[share] != turn][:least * BATCH]
-            kept.append((x[others], y[others]))
+            kept.append(picked(share[order[share] != turn][:least * BATCH]))
     while seen and step < least:
         before = step
         for x, y in kept:

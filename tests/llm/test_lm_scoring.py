@@ -34,6 +34,26 @@ def brute_base(texts: list, learns: list) -> list:
              sum(math.log10((counts[w] + 1) / (every + distinct + 1)) for w in [*words(t), end])) for t in texts]
 
 
+@pytest.mark.parametrize("texts", [
+    TEXTS, [""], ["", ""], ["  ", "one"], [bytes(range(256)), b"\xff\xfe A a\x0b\x0cB", b"\t\n\r"]])
+def test_words_are_numbered_as_they_appear(texts):
+    raw = [t if isinstance(t, bytes) else (t or "").encode() for t in texts]
+    numbers, ends, distinct = lm_scoring.numbered(raw)
+    split = [t.lower().split() for t in raw]
+    assert distinct == list(dict.fromkeys(w for t in split for w in t))
+    assert [distinct[k] for k in numbers] == [w for t in split for w in t]
+    assert ends.tolist() == np.cumsum([len(t) for t in split]).tolist()
+
+
+def test_subwords_of_words_one_by_one():
+    coder = lm_scoring.Encoder(lm_scoring.read_ranks(PATH), PATTERN)
+    for some in ([], [b"one"], [b"one", b"caf\xc3\xa9", b"don't", b"12345"], [b"a\xc2\xa0b", b"x"], [b"\xff\xc3", b"\xe2\x82", b"y"],
+                 sorted({w for t in TEXTS for w in words(t)} and {w.encode() for t in TEXTS for w in words(t)})):
+        ids, ends = coder.encode(some)
+        got = [p.tolist() for p in np.split(ids, ends)[:len(some)]]
+        assert got == [CODER.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in some]
+
+
 def scored(docs, learns):
     got = lm_scoring.score(docs, learns, PATH, PATTERN).collect()
     return {r["row"]["doc_id"]: r for r in got}
@@ -158,6 +178,44 @@ def test_every_learning_window_trains(monkeypatch):
     assert sorted(np.concatenate(seen).tolist()) == sorted(want.tolist())
 
 
+def test_steps_are_plain_adam(monkeypatch):
+    """The two vectors of the steps move every weight as Adam on each array alone does."""
+    model, rng = small_model(5)
+    block = object.__new__(lm_scoring.Block)
+    block.number, block.lengths, block.learns = 3, np.array([900, 5, 3000]), np.ones(3, bool)
+    block.ids = rng.integers(0, 5000, block.lengths.sum()).astype(np.int32)
+    taken = []
+    real = lm_scoring.gradients
+
+    def kept(w, prior, x, y):
+        d, n = real(w, prior, x, y)
+        taken.append({k: np.array(g) for k, g in d.items()})
+        return d, n
+
+    monkeypatch.setattr(lm_scoring, "gradients", kept)
+    got, _ = lm_scoring.train_task(model, iter([block]), 0, 30)
+    assert len(taken) >= 30
+    for name, start in model.weights.items():
+        a, m, v = start.copy(), np.zeros_like(start), np.zeros_like(start)
+        for step, d in enumerate(taken, 1):
+            m += np.float32(0.1) * (d[name] - m)
+            v += np.float32(0.02) * (d[name] ** 2 - v)
+            rate = lm_scoring.RATE * min(1.0, step / 50)
+            a -= (rate * m / (1 - 0.9 ** step) / (np.sqrt(v / (1 - 0.98 ** step)) + 1e-8)).astype(np.float32)
+        assert got[name].shape == a.shape and np.array_equal(got[name], a), name
+
+
+def test_what_fills_the_places_behind_the_end_moves_nothing():
+    model, rng = small_model(6)
+    x = rng.integers(0, lm_scoring.SLOTS, (4, lm_scoring.WINDOW))
+    y = rng.integers(0, lm_scoring.CLASSES, x.shape)
+    y[1, 20:], y[2, 1:] = -1, -1
+    filled = np.where(y < 0, lm_scoring.PAD, x)
+    (d, n), (same, m) = (lm_scoring.gradients(model.weights, model.prior, some, y.reshape(-1)) for some in (x, filled))
+    assert n == m == (y >= 0).sum() and not same["e"][lm_scoring.PAD].any()
+    assert all(np.allclose(d[name], same[name], rtol=1e-5, atol=1e-8) for name in d)
+
+
 def test_held_out_gain(spark):
     """Attention and pair counts beat single subwords by far; on learning documents the model beats the word base."""
     got = REGISTRY["op13_lm_scoring"](spark, "/root/testdata/sf0.01").toPandas()
